@@ -31,6 +31,7 @@ from rostersync.plans import assign, enrich
 from rostersync.plans.mart import group_type, mart
 from rostersync.sources.schemas import MART_COLUMNS
 from rostersync.sources.sinks import as_table, as_view
+from rostersync.sources.tables import Inputs, Sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -553,15 +554,29 @@ def mart_of_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(mart(changes, inputs.lookup, staged=True))
 
 
+def _stored_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The stand-ins written as tables and loaded by name, as a user's own inputs are."""
+    root = f"{staging_dir(spark)}/{spark.sparkContext.applicationId}/inputs-{uuid.uuid4().hex}"
+    made = S.inputs(spark, sf_dir)
+    for name, df in (
+        ("dim_workforce", made.workforce),
+        ("okta_user", made.accounts),
+        ("dim_school", made.schools),
+        ("looker_user_group", made.lookup),
+    ):
+        as_table(df, path=f"{root}/{name}.parquet")
+    return Inputs.from_sources(Sources(spark, root))
+
+
 @register(O.full_mart())
 def assignment_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through ``run``, which shares what both sides have in common."""
-    return _text(assign.run(S.inputs(spark, sf_dir), _config(spark, sf_dir)))
+    """The same through ``run``, which shares what both sides have in common, from stored inputs."""
+    return _text(assign.run(_stored_inputs(spark, sf_dir), _config(spark, sf_dir)))
 
 
 @register(O.full_mart("set"))
 def assignment_run_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text(assign.run(S.inputs(spark, sf_dir), _config(spark, sf_dir, mode="set")))
+    return _text(assign.run(_stored_inputs(spark, sf_dir), _config(spark, sf_dir, mode="set")))
 
 
 # --- checks and sinks --------------------------------------------------------------------------

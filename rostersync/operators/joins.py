@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,22 +28,24 @@ def _spread(df: DataFrame, ways: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(ways)).cast("int")
 
 
-def attach(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
+def attach(
+    left: DataFrame, right: DataFrame, on: Mapping[str, str], null_safe: Collection[str] = ()
+) -> DataFrame:
     """LEFT JOIN ``left`` to a ``right`` side, on ``left`` column -> ``right`` column equality.
 
-    The right key columns are dropped. Left rows with a NULL key can match nothing; a salt spreads
-    them instead of sending all to one task. The salt also gives the right side an exchange of its
+    The right key columns are dropped. Left columns in ``null_safe`` match NULL with NULL; rows with
+    another key NULL can match nothing, and a salt spreads them instead of sending all to one task. The salt also gives the right side an exchange of its
     own when it is an aggregate on the same key, which lets adaptive execution split a hot left key.
     """
     keys = {f"__k{i}": pair for i, pair in enumerate(on.items())}
     side = right.withColumnsRenamed({r: k for k, (_, r) in keys.items()})
     # Always 0, but not a constant the optimizer could fold out of the join keys.
     side = side.withColumn("__salt_r", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
-    lost = _any_null([F.col(l) for l in on])
+    lost = _any_null([F.col(l) for l in on if l not in null_safe])
     rows = left.withColumn("__salt_l", F.when(lost, _spread(left, SPREAD) + 1).otherwise(0))
     test = F.col("__salt_l") == F.col("__salt_r")
     for k, (l, _) in keys.items():
-        test = test & (F.col(l) == F.col(k))
+        test = test & (F.col(l).eqNullSafe(F.col(k)) if l in null_safe else F.col(l) == F.col(k))
     return rows.join(side, test, "left").drop("__salt_l", "__salt_r", *keys)
 
 

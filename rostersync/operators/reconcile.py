@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rostersync.operators.joins import attach, attach_many
 from rostersync.operators.sets import union_all
+from rostersync.operators.staging import materialise
 
 KEY, VALUE, STATUS, STAMP = (
     "workday_employee_number",
@@ -22,15 +23,27 @@ KEY, VALUE, STATUS, STAMP = (
 )
 
 
-def _spread_of_groups(df: DataFrame, key: str, value: str, *more: str) -> DataFrame:
-    """Per key (and ``more``): smallest and largest group, and whether a row has none."""
+def _groups(df: DataFrame, key: str, value: str, *more: str) -> DataFrame:
+    """The distinct (key, ``more``, group) of rows with a key; few columns, copies gone map-side."""
     return (
         df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in more])
+        .select(
+            F.col(key).alias("__key"),
+            *[F.col(c).alias(f"__{c}") for c in more],
+            F.col(value).alias("__value"),
+        )
+        .distinct()
+    )
+
+
+def _extent(groups: DataFrame, *by: str) -> DataFrame:
+    """Per key (and ``by``): smallest and largest group, and whether a row has none."""
+    return (
+        groups.groupBy(*by)
         .agg(
-            F.min(value).alias("__lo"),
-            F.max(value).alias("__hi"),
-            F.bool_or(F.col(value).isNull()).alias("__gap"),
+            F.min("__value").alias("__lo"),
+            F.max("__value").alias("__hi"),
+            F.bool_or(F.col("__value").isNull()).alias("__gap"),
         )
         .withColumn("__seen", F.lit(True))
     )
@@ -47,40 +60,66 @@ def _differs(value: str) -> Column:
 
 
 def _added(current: DataFrame, previous: DataFrame, key: str, value: str, status: str) -> DataFrame:
-    joined = attach(current, _spread_of_groups(previous, key, value), {key: "__key"})
+    against = _extent(_groups(previous, key, value), "__key")
     kept = [c for c in current.columns if c != status]
+    joined = attach(current, against, {key: "__key"})
     return joined.where(_differs(value)).select(*kept, F.lit("add").alias(status))
 
 
 def _removed(
-    previous: DataFrame, current: DataFrame, key: str, value: str, status: str, stamp: str
+    previous: DataFrame,
+    current: DataFrame,
+    key: str,
+    value: str,
+    status: str,
+    stamp: str,
+    staged: bool = False,
 ) -> DataFrame:
-    own = [c for c in previous.columns if c not in (key, stamp, status)]
-    against = _spread_of_groups(current, key, value, stamp)
-    gone = (
-        attach_many(previous, against, {key: "__key"})
-        .where(_differs(value))
-        .select(
-            *own,
-            F.when(F.col("__seen"), F.col(key)).alias(key),
-            F.col(f"__{stamp}").alias(stamp),
-            F.lit("remove").alias(status),
+    """Each previous row once per current stamp of its key, then once per status it has there.
+
+    Its group stands where it is the smallest or the largest there. In between, which takes three
+    groups at one key and stamp, a list of the groups in between tells.
+    """
+    at = f"__{stamp}"
+    groups = _groups(current, key, value, stamp)
+    if staged:
+        groups = materialise(groups, "groups")
+    extent = _extent(groups, "__key", at)
+    inner = (
+        groups.where(F.col("__value").isNotNull())
+        .join(
+            extent.select(F.col("__key").alias("__key2"), F.col(at).alias("__at2"), "__lo", "__hi"),
+            (F.col("__key") == F.col("__key2")) & F.col(at).eqNullSafe(F.col("__at2")),
         )
+        .where((F.col("__value") > F.col("__lo")) & (F.col("__value") < F.col("__hi")))
+        .select("__key", at, "__value", F.lit(True).alias("__inner"))
     )
-    # A row stands where its own group is held; one without group stands where any group is held.
-    held = (
-        current.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-        .select(
-            F.col(key).alias("__key"),
-            F.col(stamp).alias(f"__{stamp}"),
-            F.explode(F.array(F.col(value), F.lit(None))).alias("__value"),
-        )
-        .distinct()
+    if staged:
+        inner = materialise(inner, "inner")
+    joined = attach_many(previous, extent, {key: "__key"})
+    joined = attach(
+        joined.withColumnRenamed(at, "__stamp"),
+        inner.withColumnRenamed(at, "__stamp2"),
+        {key: "__key", "__stamp": "__stamp2", value: "__value"},
+        null_safe=["__stamp"],
+    )
+    own = F.col(value)
+    holds = F.col("__seen") & (
+        (own.isNull() & F.col("__hi").isNotNull())
+        | (own == F.col("__lo"))
+        | (own == F.col("__hi"))
+        | F.coalesce("__inner", F.lit(False))
+    )
+    outcomes = F.array_compact(
+        F.array(F.when(_differs(value), F.lit("remove")), F.when(holds, F.col(status)))
+    )
+    kept = [c for c in previous.columns if c not in (key, stamp, status)]
+    return joined.select(
+        *kept,
+        F.when(F.col("__seen"), F.col(key)).alias(key),
+        F.col("__stamp").alias(stamp),
+        F.explode(outcomes).alias(status),
     )
-    stands = previous.join(
-        held, (F.col(key) == F.col("__key")) & F.col(value).eqNullSafe(F.col("__value"))
-    ).select(*own, key, F.col(f"__{stamp}").alias(stamp), status)
-    return gone.union(stands)
 
 
 def diff_added(
@@ -111,12 +150,18 @@ def diff_removed(
 
 
 def _pairwise(
-    previous: DataFrame, current: DataFrame, key: str, value: str, status: str, stamp: str
+    previous: DataFrame,
+    current: DataFrame,
+    key: str,
+    value: str,
+    status: str,
+    stamp: str,
+    staged: bool,
 ) -> DataFrame:
     columns = [*[c for c in current.columns if c != status], status]
     return union_all(
         _added(current, previous, key, value, status).select(*columns),
-        _removed(previous, current, key, value, status, stamp).select(*columns),
+        _removed(previous, current, key, value, status, stamp, staged).select(*columns),
     )
 
 
@@ -149,10 +194,14 @@ def reconcile_rows(
     status: str = STATUS,
     stamp: str = STAMP,
     mode: str = "pairwise",
+    staged: bool = False,
 ) -> DataFrame:
-    """``reconcile`` before duplicates are removed, for callers that remove them later anyway."""
+    """``reconcile`` before duplicates are removed, for callers that remove them later anyway.
+
+    ``staged`` writes down the narrow lists of current groups that several joins read.
+    """
     if mode == "pairwise":
-        return _pairwise(previous, current, key, value, status, stamp)
+        return _pairwise(previous, current, key, value, status, stamp, staged)
     if mode == "set":
         return _as_sets(previous, current, key, value, status)
     raise ValueError(f"mode must be 'pairwise' or 'set', not {mode!r}")

@@ -173,6 +173,7 @@ def run(inputs: Inputs, config: Config = Config()) -> DataFrame:
         previous.select(*ASSIGNMENT_COLUMNS),
         current,
         mode=config.mode,
+        staged=True,
     )
     return mart(
         trim_value(changes),
