@@ -255,11 +255,13 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def sql(final: str, *needs: str) -> str:
-    """``final`` with the relations it needs as common table expressions in front."""
+def sql(final: str, *needs: str, given: tuple[str, ...] = ()) -> str:
+    """``final`` with the relations it needs, except ``given`` ones, in front of it."""
     ordered: list[str] = []
 
     def visit(name: str) -> None:
+        if name in given:
+            return
         for other in RELATIONS[name][0]:
             visit(other)
         if name not in ordered:
@@ -281,12 +283,12 @@ def as_text(relation: str, columns: tuple[str, ...], times: tuple[str, ...]) ->
 TIMES = ("okta_hire_date", "esd_dateofhire", "exitdate", "lst_updt_ts", "okta_lastupdated", "workday_employee_number", "dwh_workforce_id")
 
 
-def full_mart(mode: str = "pairwise") -> str:
+def full_mart(mode: str = "pairwise", given: tuple[str, ...] = ()) -> str:
     if mode == "set":
         rows, needs = _set_diff("latest_new", "latest_old", _PLAIN), ("latest_new", "latest_old")
     else:
         rows, needs = "SELECT * FROM added UNION SELECT * FROM removed", ("added", "removed")
-    return sql(as_text(f"({_mart(rows)})", MART_COLUMNS, TIMES), *needs, "lk")
+    return sql(as_text(f"({_mart(rows)})", MART_COLUMNS, TIMES), *needs, "lk", given=given)
 
 
 BASE_TEXT = as_text("base_new", BASE_COLUMNS, TIMES)

@@ -40,7 +40,7 @@ def text_key(col: Column, strip_zeros: bool = False) -> Column:
     key = col.cast("string")
     if not strip_zeros:
         return key
-    bare = F.ltrim(F.lit("0"), key)
+    bare = F.ltrim(key, F.lit("0"))
     return F.when(bare == "", F.when(key != "", "0").otherwise(key)).otherwise(bare)
 
 

@@ -12,7 +12,7 @@ OPS = ("is", "like", "unlike")
 
 
 @dataclass(frozen=True)
-class Test:
+class Condition:
     """One column against several values. ``is`` and ``like`` want any of them, ``unlike`` none.
 
     ``is`` compares exactly; ``like`` and ``unlike`` take LIKE patterns and ignore case. A NULL
@@ -33,27 +33,27 @@ class Rule:
     """``label`` for rows that pass all tests; with ``suffix``, `` (<that column>)`` is appended."""
 
     label: str
-    tests: tuple[Test, ...]
+    tests: tuple[Condition, ...]
     suffix: str | None = None
 
 
-def is_(column: str, *values: str) -> Test:
-    return Test(column, "is", values)
+def is_(column: str, *values: str) -> Condition:
+    return Condition(column, "is", values)
 
 
-def like(column: str, *patterns: str) -> Test:
-    return Test(column, "like", patterns)
+def like(column: str, *patterns: str) -> Condition:
+    return Condition(column, "like", patterns)
 
 
-def unlike(column: str, *patterns: str) -> Test:
-    return Test(column, "unlike", patterns)
+def unlike(column: str, *patterns: str) -> Condition:
+    return Condition(column, "unlike", patterns)
 
 
 def _lowered(column: str) -> str:
     return f"__lower_{column}"
 
 
-def _test_column(test: Test) -> Column:
+def _test_column(test: Condition) -> Column:
     if test.op == "is":
         return F.col(test.column).isin(*test.values)
     hits = [F.col(_lowered(test.column)).like(v.lower()) for v in test.values]

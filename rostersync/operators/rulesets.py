@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from rostersync.operators.rules import Rule, Test, is_, like, unlike
+from rostersync.operators.rules import Rule, Condition, is_, like, unlike
 
 
 @dataclass(frozen=True)
@@ -25,24 +25,24 @@ class People:
     schooling_heads: tuple[str, ...] = ("dan.example",)
 
 
-def _title(*patterns: str) -> Test:
+def _title(*patterns: str) -> Condition:
     return like("okta_title", *patterns)
 
 
-def _dept(*values: str) -> Test:
+def _dept(*values: str) -> Condition:
     return is_("okta_department", *values)
 
 
-def _dept_like(*patterns: str) -> Test:
+def _dept_like(*patterns: str) -> Condition:
     return like("okta_department", *patterns)
 
 
-def _at_school(label: str, *tests: Test, types: tuple[str, ...] = ("ES", "MS", "HS")) -> Rule:
+def _at_school(label: str, *tests: Condition, types: tuple[str, ...] = ("ES", "MS", "HS")) -> Rule:
     """A rule for staff of a school of one of the types; the label ends in the school's long name."""
     return Rule(label, (is_("school_type_abbrev", *types), *tests), suffix="school_model")
 
 
-def _anywhere(label: str, *tests: Test) -> Rule:
+def _anywhere(label: str, *tests: Condition) -> Rule:
     return Rule(label, tests)
 
 
