@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostersync.functions.text import matches_part, text_key
+from rostersync.operators.staging import materialise
 
 # NULL keys are spread over this many join keys, a hot key over up to this many.
 SPREAD = 256
@@ -55,45 +56,60 @@ def attach_many(
     on: Mapping[str, str],
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    staged: bool = False,
 ) -> DataFrame:
     """LEFT JOIN to a ``right`` side that may repeat a key, any number of times.
 
     Adaptive execution cannot split the right side of a left join, so hot right keys are salted:
     their rows go to ``salts`` buckets by content, and a left row with such a key is copied once per
     bucket that is really occupied, so no copy stays without its match. The list of hot keys is
-    broadcast; it holds fewer than rows / ``hot_rows`` entries.
+    broadcast; it holds fewer than rows / ``hot_rows`` entries. ``staged`` writes that list down
+    first: it is then found once however often the join runs, and where it is empty nothing is salted.
     """
     keys = {f"__k{i}": pair for i, pair in enumerate(on.items())}
+    hot_names = [f"{k}h" for k in keys]
     side = right.withColumnsRenamed({r: k for k, (_, r) in keys.items()})
     side = side.where(~_any_null([F.col(k) for k in keys]))
-    side = side.withColumn("__bucket", _spread(side, salts))
     hot = (
-        side.groupBy(*keys)
-        .agg(F.count("*").alias("__n"), F.collect_set("__bucket").alias("__buckets"))
+        side.groupBy(*[F.col(k).alias(h) for k, h in zip(keys, hot_names)])
+        .agg(F.count("*").alias("__n"))
         .where(F.col("__n") > hot_rows)
-        .select(*[F.col(k).alias(f"{k}h") for k in keys], "__buckets")
+        .select(*hot_names, F.lit(True).alias("__hot"))
     )
+    if staged:
+        hot = materialise(hot, "hot")
+        if hot.isEmpty():
+            return attach(left, right, on)
 
-    def same(columns: list[str]) -> Column:
+    def same(columns: Iterable[str]) -> Column:
         test = F.lit(True)
-        for k, c in zip(keys, columns):
-            test = test & (F.col(c) == F.col(f"{k}h"))
+        for c, h in zip(columns, hot_names):
+            test = test & (F.col(c) == F.col(h))
         return test
 
-    hot_names = [f"{k}h" for k in keys]
+    bucket = _spread(side, salts)
     side = (
-        side.join(F.broadcast(hot), same(list(keys)), "left")
-        .withColumn("__salt_r", F.when(F.col("__buckets").isNull(), 0).otherwise(F.col("__bucket")))
-        .drop("__buckets", "__bucket", *hot_names)
+        side.withColumn("__bucket", bucket)
+        .join(F.broadcast(hot), same(keys), "left")
+        .withColumn("__salt_r", F.when(F.col("__hot"), F.col("__bucket")).otherwise(0))
+    )
+    # Hot keys times buckets, at most.
+    occupied = (
+        side.where("__hot")
+        .select(*hot_names, "__bucket")
+        .distinct()
+        .groupBy(*hot_names)
+        .agg(F.collect_set("__bucket").alias("__buckets"))
     )
     lost = _any_null([F.col(l) for l in on])
     alone = F.array(F.when(lost, _spread(left, SPREAD) + salts).otherwise(0))
     rows = (
         left.withColumn("__alone", alone)
-        .join(F.broadcast(hot), same(list(on)), "left")
+        .join(F.broadcast(occupied), same(on), "left")
         .withColumn("__salt_l", F.explode(F.coalesce("__buckets", "__alone")))
         .drop("__alone", "__buckets", *hot_names)
     )
+    side = side.drop("__bucket", "__hot", *hot_names)
     test = F.col("__salt_l") == F.col("__salt_r")
     for k, (l, _) in keys.items():
         test = test & (F.col(l) == F.col(k))
@@ -108,6 +124,7 @@ def join_identity(
     strip_zeros: bool = False,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    staged: bool = False,
 ) -> DataFrame:
     """Workers LEFT JOIN accounts on the identifiers compared as text; fans out per account.
 
@@ -115,7 +132,9 @@ def join_identity(
     """
     left = workers.withColumn("__worker", text_key(F.col(worker_key), strip_zeros))
     right = accounts.withColumn("__account", text_key(F.col(account_key), strip_zeros)).drop(account_key)
-    return attach_many(left, right, {"__worker": "__account"}, hot_rows, salts).drop("__worker")
+    return attach_many(left, right, {"__worker": "__account"}, hot_rows, salts, staged).drop(
+        "__worker"
+    )
 
 
 def with_active_account(

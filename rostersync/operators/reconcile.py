@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostersync.operators.joins import attach, attach_many
+from rostersync.operators.joins import HOT_ROWS, SALTS, attach, attach_many
 from rostersync.operators.sets import union_all
 from rostersync.operators.staging import materialise
 
@@ -74,6 +74,8 @@ def _removed(
     status: str,
     stamp: str,
     staged: bool = False,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Each previous row once per current stamp of its key, then once per status it has there.
 
@@ -96,7 +98,7 @@ def _removed(
     )
     if staged:
         inner = materialise(inner, "inner")
-    joined = attach_many(previous, extent, {key: "__key"})
+    joined = attach_many(previous, extent, {key: "__key"}, hot_rows, salts, staged)
     joined = attach(
         joined.withColumnRenamed(at, "__stamp"),
         inner.withColumnRenamed(at, "__stamp2"),
@@ -149,22 +151,6 @@ def diff_removed(
     return out.select(*previous.columns).distinct()
 
 
-def _pairwise(
-    previous: DataFrame,
-    current: DataFrame,
-    key: str,
-    value: str,
-    status: str,
-    stamp: str,
-    staged: bool,
-) -> DataFrame:
-    columns = [*[c for c in current.columns if c != status], status]
-    return union_all(
-        _added(current, previous, key, value, status).select(*columns),
-        _removed(previous, current, key, value, status, stamp, staged).select(*columns),
-    )
-
-
 def _as_sets(previous: DataFrame, current: DataFrame, key: str, value: str, status: str) -> DataFrame:
     """Compare (key, group) pairs as sets; rows without a group are no assignment."""
     columns = [*[c for c in current.columns if c != status], status]
@@ -195,13 +181,19 @@ def reconcile_rows(
     stamp: str = STAMP,
     mode: str = "pairwise",
     staged: bool = False,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """``reconcile`` before duplicates are removed, for callers that remove them later anyway.
 
     ``staged`` writes down the narrow lists of current groups that several joins read.
     """
     if mode == "pairwise":
-        return _pairwise(previous, current, key, value, status, stamp, staged)
+        columns = [*[c for c in current.columns if c != status], status]
+        gone = _removed(previous, current, key, value, status, stamp, staged, hot_rows, salts)
+        return union_all(
+            _added(current, previous, key, value, status).select(*columns), gone.select(*columns)
+        )
     if mode == "set":
         return _as_sets(previous, current, key, value, status)
     raise ValueError(f"mode must be 'pairwise' or 'set', not {mode!r}")

@@ -49,24 +49,38 @@ def unlike(column: str, *patterns: str) -> Condition:
     return Condition(column, "unlike", patterns)
 
 
-def _lowered(column: str) -> str:
-    return f"__lower_{column}"
+def _text(test: Condition) -> str:
+    """The helper column a test reads: the column, lowered for patterns, with '' in place of NULL."""
+    return f"__exact_{test.column}" if test.op == "is" else f"__lower_{test.column}"
 
 
-def _test_column(test: Condition) -> Column:
+def _holds(test: Condition) -> Column:
+    """Never NULL, which keeps the generated code short."""
+    text = F.col(_text(test))
     if test.op == "is":
-        return F.col(test.column).isin(*test.values)
-    hits = [F.col(_lowered(test.column)).like(v.lower()) for v in test.values]
-    out = hits[0] if test.op == "like" else ~hits[0]
-    for hit in hits[1:]:
-        out = (out | hit) if test.op == "like" else (out & ~hit)
+        out = text.isin(*test.values)
+    else:
+        out = text.like(test.values[0].lower())
+        for value in test.values[1:]:
+            out = out | text.like(value.lower())
+    if test.op == "unlike":
+        out = ~out
+    if test.op == "unlike" or not all(v.strip("%") for v in test.values):
+        out = out & F.col(test.column).isNotNull()
     return out
 
 
-def _label(rule: Rule) -> Column:
-    if rule.suffix is None:
-        return F.lit(rule.label)
-    return F.concat(F.lit(f"{rule.label} ("), F.col(rule.suffix), F.lit(")"))
+def _label(rules: Sequence[Rule], number: str) -> Column:
+    """The label of a rule number, from a constant list; some labels take a column in brackets."""
+    at = F.col(number) + 1
+    label = F.element_at(F.array(*[F.lit(r.label) for r in rules]), at)
+    suffixes = sorted({r.suffix for r in rules if r.suffix is not None})
+    out = None
+    for suffix in suffixes:
+        has = F.element_at(F.array(*[F.lit(r.suffix == suffix) for r in rules]), at)
+        full = F.concat(label, F.lit(" ("), F.col(suffix), F.lit(")"))
+        out = F.when(has, full) if out is None else out.when(has, full)
+    return label if out is None else out.otherwise(label)
 
 
 def classify(
@@ -77,19 +91,40 @@ def classify(
 ) -> DataFrame:
     """Add ``name``: the label of the first rule that holds, else column ``default``, else NULL.
 
-    One CASE expression over columns lowered once; no shuffle and no Python per row.
+    One CASE expression gives the number of the rule; no shuffle and no Python per row. Texts are
+    lowered once and a test that several rules share is computed once. Besides saving time, that
+    keeps the generated method of the longer set below the size (8,000 bytes) from which the JVM no
+    longer compiles it.
     """
-    texts = sorted({t.column for r in rules for t in r.tests if t.op != "is"})
-    rows = df.withColumns({_lowered(c): F.lower(c) for c in texts}) if texts else df
+    if not rules:
+        raise ValueError("no rules")
+    tests = [t for r in rules for t in r.tests]
+    texts = {}
+    for test in tests:
+        whole = F.col(test.column)
+        texts[_text(test)] = F.coalesce(whole if test.op == "is" else F.lower(whole), F.lit(""))
+    shared = {t: f"__test_{i}" for i, t in enumerate(dict.fromkeys(tests)) if tests.count(t) > 1}
+    rows = df.withColumns(texts)
+    if shared:
+        rows = rows.withColumns({c: _holds(t) for t, c in shared.items()})
+
+    def cost(test: Condition) -> int:
+        return 0 if test in shared else 1 if test.op == "is" else 2
+
     chain = None
-    for rule in rules:
-        holds = _test_column(rule.tests[0])
-        for test in rule.tests[1:]:
-            holds = holds & _test_column(test)
-        chain = F.when(holds, _label(rule)) if chain is None else chain.when(holds, _label(rule))
+    for number, rule in enumerate(rules):
+        holds = [F.col(shared[t]) if t in shared else _holds(t) for t in sorted(rule.tests, key=cost)]
+        test = holds[0]
+        for more in holds[1:]:
+            test = test & more
+        chain = F.when(test, number) if chain is None else chain.when(test, number)
     otherwise = F.lit(None).cast("string") if default is None else F.col(default)
-    group = otherwise if chain is None else chain.otherwise(otherwise)
-    return rows.withColumn(name, group).drop(*[_lowered(c) for c in texts])
+    group = F.when(F.col("__rule").isNull(), otherwise).otherwise(_label(rules, "__rule"))
+    return (
+        rows.withColumn("__rule", chain)
+        .withColumn(name, group)
+        .drop(*texts, *shared.values(), "__rule")
+    )
 
 
 def repeated_rules(rules: Sequence[Rule]) -> list[int]:

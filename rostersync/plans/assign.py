@@ -129,7 +129,12 @@ def _shared_latest(inputs: Inputs, config: Config) -> DataFrame:
             staged=True,
         )
     base = enrich.with_accounts(
-        workers, enrich.account_rows(inputs.accounts), config.strip_zeros, config.hot_rows, config.salts
+        workers,
+        enrich.account_rows(inputs.accounts),
+        config.strip_zeros,
+        config.hot_rows,
+        config.salts,
+        staged=True,
     )
     flagged = flag_latest(
         base,
@@ -174,6 +179,8 @@ def run(inputs: Inputs, config: Config = Config()) -> DataFrame:
         current,
         mode=config.mode,
         staged=True,
+        hot_rows=config.hot_rows,
+        salts=config.salts,
     )
     return mart(
         trim_value(changes),

@@ -67,10 +67,11 @@ def with_accounts(
     strip_zeros: bool = False,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    staged: bool = False,
 ) -> DataFrame:
     """Renamed workers LEFT JOIN renamed accounts."""
     return join_identity(
-        workers, accounts, "workday_employee_number", "employee_number", strip_zeros, hot_rows, salts
+        workers, accounts, "workday_employee_number", "employee_number", strip_zeros, hot_rows, salts, staged
     ).select(*BASE_COLUMNS)
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rostersync.operators.rules import Rule, Condition, classify, is_, like, repeated_rules, unlike
+from rostersync.operators.staging import materialise
 from rostersync.operators.rulesets import People, current_rules, legacy_rules
 
 SCHEMA = (
@@ -199,3 +200,13 @@ def test_no_python_and_one_stage(spark):
 def test_unknown_test_is_refused():
     with pytest.raises(ValueError):
         Condition("a", "matches", ("x",))
+
+
+def test_generated_methods_stay_small_enough_to_be_compiled(spark):
+    import re
+
+    df = materialise(spark.createDataFrame([_person("x")] * 3, SCHEMA))
+    for rules, default in ((legacy_rules(), None), (current_rules(), "group_name")):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        text = classify(df, rules, default)._jdf.queryExecution().explainString(mode)
+        assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) < 8000
