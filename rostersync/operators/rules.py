@@ -120,8 +120,10 @@ def classify(
         chain = F.when(test, number) if chain is None else chain.when(test, number)
     otherwise = F.lit(None).cast("string") if default is None else F.col(default)
     group = F.when(F.col("__rule").isNull(), otherwise).otherwise(_label(rules, "__rule"))
+    # The one-element explode is a fence: a filter on the group, which the optimizer would otherwise
+    # push below the rules as a second copy of them all, stays above it.
     return (
-        rows.withColumn("__rule", chain)
+        rows.withColumn("__rule", F.explode(F.array(chain)))
         .withColumn(name, group)
         .drop(*texts, *shared.values(), "__rule")
     )

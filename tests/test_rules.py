@@ -210,3 +210,11 @@ def test_generated_methods_stay_small_enough_to_be_compiled(spark):
         mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
         text = classify(df, rules, default)._jdf.queryExecution().explainString(mode)
         assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) < 8000
+
+
+def test_filter_on_the_group_does_not_copy_the_rules(spark):
+    df = materialise(spark.createDataFrame([_person("assessment lead", "Support", HS), _person("x")], SCHEMA))
+    kept = classify(df, legacy_rules()).where(F.col("looker_user_group").isNotNull())
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("StartsWith(") == 1
+    assert kept.count() == 1
