@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,26 +24,32 @@ def _any_null(cols: list[Column]) -> Column:
     return test
 
 
-def _spread(df: DataFrame, ways: int) -> Column:
+def _spread(df: DataFrame, ways: int, by: Sequence[str] | None) -> Column:
     """A number below ``ways`` fixed by the row's content, so a re-run task repeats it."""
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(ways)).cast("int")
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in by or df.columns]), F.lit(ways)).cast("int")
 
 
 def attach(
-    left: DataFrame, right: DataFrame, on: Mapping[str, str], null_safe: Collection[str] = ()
+    left: DataFrame,
+    right: DataFrame,
+    on: Mapping[str, str],
+    null_safe: Collection[str] = (),
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """LEFT JOIN ``left`` to a ``right`` side, on ``left`` column -> ``right`` column equality.
 
     The right key columns are dropped. Left columns in ``null_safe`` match NULL with NULL; rows with
     another key NULL can match nothing, and a salt spreads them instead of sending all to one task. The salt also gives the right side an exchange of its
     own when it is an aggregate on the same key, which lets adaptive execution split a hot left key.
+    The salt is a hash of ``spread_by``, by default of all left columns; naming a few that the query
+    reads anyway keeps the scan narrow.
     """
     keys = {f"__k{i}": pair for i, pair in enumerate(on.items())}
     side = right.withColumnsRenamed({r: k for k, (_, r) in keys.items()})
     # Always 0, but not a constant the optimizer could fold out of the join keys.
     side = side.withColumn("__salt_r", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
     lost = _any_null([F.col(l) for l in on if l not in null_safe])
-    rows = left.withColumn("__salt_l", F.when(lost, _spread(left, SPREAD) + 1).otherwise(0))
+    rows = left.withColumn("__salt_l", F.when(lost, _spread(left, SPREAD, spread_by) + 1).otherwise(0))
     test = F.col("__salt_l") == F.col("__salt_r")
     for k, (l, _) in keys.items():
         test = test & (F.col(l).eqNullSafe(F.col(k)) if l in null_safe else F.col(l) == F.col(k))
@@ -57,6 +63,9 @@ def attach_many(
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
     staged: bool = False,
+    spread_by: Sequence[str] | None = None,
+    bucket_by: Sequence[str] | None = None,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """LEFT JOIN to a ``right`` side that may repeat a key, any number of times.
 
@@ -65,13 +74,19 @@ def attach_many(
     bucket that is really occupied, so no copy stays without its match. The list of hot keys is
     broadcast; it holds fewer than rows / ``hot_rows`` entries. ``staged`` writes that list down
     first: it is then found once however often the join runs, and where it is empty nothing is salted.
+    ``spread_by`` and ``bucket_by`` name the columns the salts of the two sides are hashed from;
+    ``count_from`` is a cheaper relation with the right keys, each at least as often, to find hot keys in.
     """
     keys = {f"__k{i}": pair for i, pair in enumerate(on.items())}
     hot_names = [f"{k}h" for k in keys]
     side = right.withColumnsRenamed({r: k for k, (_, r) in keys.items()})
     side = side.where(~_any_null([F.col(k) for k in keys]))
+    counted = (right if count_from is None else count_from).select(
+        *[F.col(r).alias(h) for (_, r), h in zip(keys.values(), hot_names)]
+    )
     hot = (
-        side.groupBy(*[F.col(k).alias(h) for k, h in zip(keys, hot_names)])
+        counted.where(~_any_null([F.col(h) for h in hot_names]))
+        .groupBy(*hot_names)
         .agg(F.count("*").alias("__n"))
         .where(F.col("__n") > hot_rows)
         .select(*hot_names, F.lit(True).alias("__hot"))
@@ -79,7 +94,7 @@ def attach_many(
     if staged:
         hot = materialise(hot, "hot")
         if hot.isEmpty():
-            return attach(left, right, on)
+            return attach(left, right, on, spread_by=spread_by)
 
     def same(columns: Iterable[str]) -> Column:
         test = F.lit(True)
@@ -87,7 +102,8 @@ def attach_many(
             test = test & (F.col(c) == F.col(h))
         return test
 
-    bucket = _spread(side, salts)
+    renamed = {r: k for k, (_, r) in keys.items()}
+    bucket = _spread(side, salts, [renamed.get(c, c) for c in bucket_by or ()])
     side = (
         side.withColumn("__bucket", bucket)
         .join(F.broadcast(hot), same(keys), "left")
@@ -102,7 +118,7 @@ def attach_many(
         .agg(F.collect_set("__bucket").alias("__buckets"))
     )
     lost = _any_null([F.col(l) for l in on])
-    alone = F.array(F.when(lost, _spread(left, SPREAD) + salts).otherwise(0))
+    alone = F.array(F.when(lost, _spread(left, SPREAD, spread_by) + salts).otherwise(0))
     rows = (
         left.withColumn("__alone", alone)
         .join(F.broadcast(occupied), same(on), "left")
@@ -125,16 +141,22 @@ def join_identity(
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
     staged: bool = False,
+    spread_by: Sequence[str] | None = None,
+    bucket_by: Sequence[str] | None = None,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Workers LEFT JOIN accounts on the identifiers compared as text; fans out per account.
 
     The account key is dropped: where it matched it equals the worker's.
     """
     left = workers.withColumn("__worker", text_key(F.col(worker_key), strip_zeros))
-    right = accounts.withColumn("__account", text_key(F.col(account_key), strip_zeros)).drop(account_key)
-    return attach_many(left, right, {"__worker": "__account"}, hot_rows, salts, staged).drop(
-        "__worker"
+    number = text_key(F.col(account_key), strip_zeros).alias("__account")
+    right = accounts.select(*[c for c in accounts.columns if c != account_key], number)
+    counted = None if count_from is None else count_from.select(number)
+    joined = attach_many(
+        left, right, {"__worker": "__account"}, hot_rows, salts, staged, spread_by, bucket_by, counted
     )
+    return joined.drop("__worker")
 
 
 def with_active_account(
@@ -174,11 +196,17 @@ def join_lookup(
     return df.join(side, test, "left")
 
 
-def exists_flag(df: DataFrame, keys: DataFrame, on: Mapping[str, str], name: str) -> DataFrame:
+def exists_flag(
+    df: DataFrame,
+    keys: DataFrame,
+    on: Mapping[str, str],
+    name: str,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
     """A boolean column: is the row's key among ``keys``? Never fans out, NULL keys give false."""
     side = keys.select(*on.values()).distinct().withColumn("__hit", F.lit(True))
     return (
-        attach(df, side, on)
+        attach(df, side, on, spread_by=spread_by)
         .withColumn(name, F.coalesce("__hit", F.lit(False)))
         .drop("__hit")
     )

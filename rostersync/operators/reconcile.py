@@ -59,10 +59,15 @@ def _differs(value: str) -> Column:
     )
 
 
+def _others(df: DataFrame, *used: str) -> list[str]:
+    """A few columns to spread NULL keys by: the first that are neither key, group nor status."""
+    return [c for c in df.columns if c not in used][:3] or df.columns
+
+
 def _added(current: DataFrame, previous: DataFrame, key: str, value: str, status: str) -> DataFrame:
     against = _extent(_groups(previous, key, value), "__key")
     kept = [c for c in current.columns if c != status]
-    joined = attach(current, against, {key: "__key"})
+    joined = attach(current, against, {key: "__key"}, spread_by=_others(current, key, value, status))
     return joined.where(_differs(value)).select(*kept, F.lit("add").alias(status))
 
 
@@ -98,12 +103,16 @@ def _removed(
     )
     if staged:
         inner = materialise(inner, "inner")
-    joined = attach_many(previous, extent, {key: "__key"}, hot_rows, salts, staged)
+    spread_by = _others(previous, key, value, status, stamp)
+    joined = attach_many(
+        previous, extent, {key: "__key"}, hot_rows, salts, staged, spread_by, ["__key", at]
+    )
     joined = attach(
         joined.withColumnRenamed(at, "__stamp"),
         inner.withColumnRenamed(at, "__stamp2"),
         {key: "__key", "__stamp": "__stamp2", value: "__value"},
         null_safe=["__stamp"],
+        spread_by=spread_by,
     )
     own = F.col(value)
     holds = F.col("__seen") & (
@@ -165,8 +174,9 @@ def _as_sets(previous: DataFrame, current: DataFrame, key: str, value: str, stat
         )
 
     both = {key: "__key", value: "__value"}
-    gained = attach(new, pairs(old), both).where(F.col("__seen").isNull())
-    mirror = attach(old, pairs(new), both).withColumn(
+    gained = attach(new, pairs(old), both, spread_by=_others(new, key, value, status))
+    gained = gained.where(F.col("__seen").isNull())
+    mirror = attach(old, pairs(new), both, spread_by=_others(old, key, value, status)).withColumn(
         status, F.when(F.col("__seen"), F.col(status)).otherwise("remove")
     )
     return union_all(gained.withColumn(status, F.lit("add")).select(*columns), mirror.select(*columns))

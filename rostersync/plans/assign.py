@@ -54,7 +54,10 @@ def _directory(inputs: Inputs, config: Config) -> DataFrame:
 def _as_previous(rows: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
     """Latest rows with departments -> school, older rules, constant status."""
     placed = enrich.attach_school(
-        rows, enrich.school_dim(inputs.schools, config.previous_year), config.prefix_only
+        rows,
+        enrich.school_dim(inputs.schools, config.previous_year),
+        config.prefix_only,
+        spread_by=enrich.PERSON,
     )
     return (
         classify(placed, legacy_rules(config.people))
@@ -66,31 +69,61 @@ def _as_previous(rows: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
 def _as_current(rows: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
     """Latest active rows with departments -> school, lookup, current rules, overrides."""
     placed = enrich.attach_school(
-        rows, enrich.school_dim(inputs.schools, config.current_year), config.prefix_only
+        rows,
+        enrich.school_dim(inputs.schools, config.current_year),
+        config.prefix_only,
+        spread_by=enrich.PERSON,
     )
     found = enrich.lookup_group(placed, enrich.user_groups(inputs.lookup), config.literal_lookup)
     grouped = classify(found, current_rules(), default="group_name")
     if config.overrides is not None:
-        grouped = enrich.apply_overrides(grouped, config.overrides)
+        grouped = enrich.apply_overrides(grouped, config.overrides, spread_by=enrich.PERSON)
     return grouped
 
 
-def previous_groups(inputs: Inputs, config: Config = Config()) -> DataFrame:
-    """The older assignment: one group per latest account record, inactive people included.
+def _with_accounts(
+    workers: DataFrame, inputs: Inputs, config: Config, scope: tuple[str, ...] = (), staged: bool = False
+) -> DataFrame:
+    """Workers and their accounts, workers thinned out before where that is safe.
 
-    Ranking needs only dates of worker and account, and the joins after it add columns or rows but
-    drop none, so the latest records are picked before departments, schools and rules.
+    A worker row older than another of the same number (and ``scope``) can be no account's latest
+    when the shared order alone decides. Dropping it keeps a number that is hot on both sides of the
+    account join from multiplying.
     """
-    base = enrich.worker_base(
-        inputs.workforce, inputs.accounts, True, config.strip_zeros, config.hot_rows, config.salts
+    if config.previous_filter is None and config.null_key == "rank":
+        workers = latest_with_ties(
+            workers,
+            ["workday_employee_number", *scope],
+            [F.col("okta_hire_date"), F.col("esd_dateofhire").cast("date")],
+            config.nulls,
+            staged=staged,
+        )
+    return enrich.with_accounts(
+        workers,
+        inputs.accounts,
+        config.strip_zeros,
+        config.hot_rows,
+        config.salts,
+        staged,
     )
-    if config.previous_filter is not None:
-        base = base.where(config.previous_filter)
+
+
+def _latest_with_department(base: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
+    """Ranking needs only dates of worker and account, and the joins after it drop no row, so the
+    latest records are picked before departments, schools and rules are looked up."""
     latest = latest_with_ties(
         base, ["okta_users_id"], enrich.latest_order(), config.nulls, config.null_key
     )
-    with_department = enrich.inherit_department(latest, _directory(inputs, config))
-    return _as_previous(with_department, inputs, config)
+    return enrich.inherit_department(latest, _directory(inputs, config), spread_by=enrich.PERSON)
+
+
+def previous_groups(inputs: Inputs, config: Config = Config()) -> DataFrame:
+    """The older assignment: one group per latest account record, inactive people included."""
+    workers = enrich.worker_rows(inputs.workforce, rewrite=True).distinct()
+    base = _with_accounts(workers, inputs, config)
+    if config.previous_filter is not None:
+        base = base.where(config.previous_filter)
+    return _as_previous(_latest_with_department(base, inputs, config), inputs, config)
 
 
 def current_groups(inputs: Inputs, config: Config = Config()) -> DataFrame:
@@ -98,15 +131,9 @@ def current_groups(inputs: Inputs, config: Config = Config()) -> DataFrame:
 
     Keeps the lookup's ``title``, ``department`` and ``group_name`` beside the assignment columns.
     """
-    active = inputs.workforce.where(F.col("active") == "Yes")
-    base = enrich.worker_base(
-        active, inputs.accounts, False, config.strip_zeros, config.hot_rows, config.salts
-    )
-    latest = latest_with_ties(
-        base, ["okta_users_id"], enrich.latest_order(), config.nulls, config.null_key
-    )
-    with_department = enrich.inherit_department(latest, _directory(inputs, config))
-    return _as_current(with_department, inputs, config).select(
+    workers = enrich.active_only(enrich.worker_rows(inputs.workforce)).distinct()
+    base = _with_accounts(workers, inputs, config)
+    return _as_current(_latest_with_department(base, inputs, config), inputs, config).select(
         *[c for c in ASSIGNMENT_COLUMNS if c != "user_group_status"], "title", "department", "group_name"
     )
 
@@ -115,27 +142,10 @@ def _shared_latest(inputs: Inputs, config: Config) -> DataFrame:
     """Records that are latest for either side, with departments and one flag per side.
 
     Both sides read the same people, so the account join, the ranking and the department join run
-    once. Where nothing but the shared order decides, workers are thinned out before the account
-    join: a worker row older than another of the same number and activity can be no account's
-    latest, and dropping it keeps a number that is hot on both sides from multiplying.
+    once.
     """
     workers = enrich.worker_rows(inputs.workforce)
-    if config.previous_filter is None and config.null_key == "rank":
-        workers = latest_with_ties(
-            workers,
-            ["workday_employee_number", "esd_isactive"],
-            [F.col("okta_hire_date"), F.col("esd_dateofhire").cast("date")],
-            config.nulls,
-            staged=True,
-        )
-    base = enrich.with_accounts(
-        workers,
-        enrich.account_rows(inputs.accounts),
-        config.strip_zeros,
-        config.hot_rows,
-        config.salts,
-        staged=True,
-    )
+    base = _with_accounts(workers, inputs, config, ("esd_isactive",), staged=True)
     flagged = flag_latest(
         base,
         ["okta_users_id"],
@@ -147,15 +157,18 @@ def _shared_latest(inputs: Inputs, config: Config) -> DataFrame:
     if config.null_key == "keep_all":
         lost = F.col("okta_users_id").isNull()
         kept = F.lit(True) if config.previous_filter is None else config.previous_filter
+        active = F.col("esd_isactive") == "Yes"
         flagged = flagged.withColumns(
             {
                 "__previous": F.col("__previous") | (lost & F.coalesce(kept, F.lit(False))),
-                "__current": F.col("__current") | (lost & F.coalesce(F.col("esd_isactive") == "Yes", F.lit(False))),
+                "__current": F.col("__current") | (lost & F.coalesce(active, F.lit(False))),
             }
         )
     latest = flagged.where(F.col("__previous") | F.col("__current"))
     directory = materialise(_directory(inputs, config), "directory")
-    return materialise(enrich.inherit_department(latest, directory), "latest")
+    return materialise(
+        enrich.inherit_department(latest, directory, spread_by=enrich.PERSON), "latest"
+    )
 
 
 def run(inputs: Inputs, config: Config = Config()) -> DataFrame:

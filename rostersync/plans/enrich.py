@@ -20,6 +20,9 @@ from rostersync.operators.joins import (
 from rostersync.operators.rulesets import SCHOOL_MODELS
 from rostersync.operators.staging import broadcast_if_small
 
+# Columns of an assignment row that tell rows apart and that every step reads anyway.
+PERSON = ("workday_employee_number", "okta_users_id")
+
 # Worker columns, as input name -> output name.
 _WORKER_NAMES = {
     "worker_id": "workday_employee_number",
@@ -69,9 +72,19 @@ def with_accounts(
     salts: int = SALTS,
     staged: bool = False,
 ) -> DataFrame:
-    """Renamed workers LEFT JOIN renamed accounts."""
+    """Renamed workers LEFT JOIN the distinct accounts."""
     return join_identity(
-        workers, accounts, "workday_employee_number", "employee_number", strip_zeros, hot_rows, salts, staged
+        workers,
+        account_rows(accounts),
+        "workday_employee_number",
+        "employee_number",
+        strip_zeros,
+        hot_rows,
+        salts,
+        staged,
+        spread_by=["okta_hire_date", "esd_dateofhire", "lst_updt_ts"],
+        bucket_by=["okta_users_id", "okta_lastupdated"],
+        count_from=accounts,
     ).select(*BASE_COLUMNS)
 
 
@@ -89,7 +102,7 @@ def worker_base(
     and the join of two distinct relations on the whole account row is distinct again.
     """
     workers = worker_rows(workforce, rewrite_title).distinct()
-    return with_accounts(workers, account_rows(accounts), strip_zeros, hot_rows, salts)
+    return with_accounts(workers, accounts, strip_zeros, hot_rows, salts)
 
 
 def manager_directory(
@@ -113,10 +126,13 @@ def manager_directory(
     return single_valued(held, "full_name", "okta_department")
 
 
-def inherit_department(workers: DataFrame, managers: DataFrame) -> DataFrame:
+def inherit_department(
+    workers: DataFrame, managers: DataFrame, spread_by: Sequence[str] | None = None
+) -> DataFrame:
     """Own department, else the manager's, with ``dept_source`` telling which.
 
-    The own department stays as ``okta_department_original``.
+    The own department stays as ``okta_department_original``. ``spread_by``, here and below: the
+    columns that spread rows whose key is NULL.
     """
     side = managers.select("full_name", F.col("okta_department").alias("__inherited"))
     own = F.col("okta_department_original")
@@ -125,6 +141,7 @@ def inherit_department(workers: DataFrame, managers: DataFrame) -> DataFrame:
             workers.withColumnRenamed("okta_department", "okta_department_original"),
             side,
             {"okta_manager": "full_name"},
+            spread_by=spread_by,
         )
         .withColumn("okta_department", F.coalesce(own, F.col("__inherited")))
         .withColumn(
@@ -149,14 +166,22 @@ def school_dim(schools: DataFrame, year_id: int) -> DataFrame:
     )
 
 
-def attach_school(workers: DataFrame, schools: DataFrame, prefix_only: bool = False) -> DataFrame:
+def attach_school(
+    workers: DataFrame,
+    schools: DataFrame,
+    prefix_only: bool = False,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
     """Type of the school named by the worker's company; a school of two types gives two rows.
 
     Distinct workers stay distinct, so no further pass over the wide rows is needed.
     """
     key = normalise_company(F.col("company"), prefix_only)
     return attach(
-        workers.withColumn("__school", key), broadcast_if_small(schools), {"__school": "esd_school_name"}
+        workers.withColumn("__school", key),
+        broadcast_if_small(schools),
+        {"__school": "esd_school_name"},
+        spread_by=spread_by,
     ).drop("__school")
 
 
@@ -175,7 +200,11 @@ def lookup_group(workers: DataFrame, groups: DataFrame, literal: bool = False) -
 
 
 def apply_overrides(
-    df: DataFrame, overrides: DataFrame, key: str = "okta_email", value: str = "looker_user_group"
+    df: DataFrame,
+    overrides: DataFrame,
+    key: str = "okta_email",
+    value: str = "looker_user_group",
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Replace the group of the people listed in ``overrides`` (``key``, ``override_group``).
 
@@ -183,7 +212,7 @@ def apply_overrides(
     """
     side = overrides.groupBy(F.col(key).alias("__who")).agg(F.min("override_group").alias("__override"))
     return (
-        attach(df, broadcast_if_small(side), {key: "__who"})
+        attach(df, broadcast_if_small(side), {key: "__who"}, spread_by=spread_by)
         .withColumn(value, F.coalesce("__override", F.col(value)))
         .drop("__override")
     )

@@ -2,24 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostersync.operators.joins import exists_flag
 from rostersync.operators.rank import global_dense_rank
 from rostersync.operators.staging import materialise
-from rostersync.plans.enrich import user_groups
+from rostersync.plans.enrich import PERSON, user_groups
 from rostersync.sources.schemas import ASSIGNMENT_COLUMNS, MART_COLUMNS
 
 
-def group_type(df: DataFrame, lookup: DataFrame, trim_both: bool = False) -> DataFrame:
+def group_type(
+    df: DataFrame,
+    lookup: DataFrame,
+    trim_both: bool = False,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
     """``network`` if the group is one of the lookup's, else (also for NULL) ``schooling``.
 
     The lookup side is compared as written; ``trim_both`` drops its outer blanks first.
     """
     name = F.col("group_name")
     names = user_groups(lookup).select((F.trim(name) if trim_both else name).alias("group_name"))
-    flagged = exists_flag(df, names.where(F.col("group_name").isNotNull()), {"looker_user_group": "group_name"}, "__net")
+    flagged = exists_flag(
+        df,
+        names.where(F.col("group_name").isNotNull()),
+        {"looker_user_group": "group_name"},
+        "__net",
+        spread_by=spread_by,
+    )
     return flagged.withColumn(
         "user_group_type", F.when(F.col("__net"), "network").otherwise("schooling")
     ).drop("__net")
@@ -43,7 +56,7 @@ def mart(
         rows = materialise(rows, "reconciled")
     ranked = global_dense_rank(rows, ["lst_updt_ts"], nulls, "rnk", rank_strategy)
     return (
-        group_type(ranked, lookup, trim_both)
+        group_type(ranked, lookup, trim_both, PERSON)
         .withColumnRenamed("workday_employee_number", "dwh_workforce_id")
         .select(*MART_COLUMNS)
     )
