@@ -49,9 +49,12 @@ def matches_part(text: Column, part: Column, literal: bool = False) -> Column:
 
     ``part`` is data used as a LIKE pattern: ``%`` and ``_`` are wildcards, empty text matches all
     non-NULL text, NULL matches nothing. Backslashes are doubled so they stand for themselves.
-    ``literal`` compares plainly, without wildcards.
+    ``literal`` compares plainly, without wildcards; so does a part that has none, which saves
+    compiling a pattern per row.
     """
+    plain = F.contains(F.lower(text), F.lower(part))
     if literal:
-        return F.contains(F.lower(text), F.lower(part))
+        return plain
     escaped = F.replace(part, F.lit("\\"), F.lit("\\\\"))
-    return F.ilike(text, F.concat(F.lit("%"), escaped, F.lit("%")))
+    pattern = F.ilike(text, F.concat(F.lit("%"), escaped, F.lit("%")))
+    return F.when(part.contains("%") | part.contains("_"), pattern).otherwise(plain)
