@@ -5,6 +5,17 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+PARTITION_BYTES = 192 * 1024 * 1024
+
+
+def partitions_for(input_bytes: int) -> int:
+    """Shuffle partitions that keep one partition of a full-width shuffle in executor memory.
+
+    Too many does little harm, as adaptive execution merges small ones; too few spills.
+    """
+    return max(200, -(-input_bytes // PARTITION_BYTES))
+
+
 def build_session(
     app: str = "rostersync",
     master: str | None = None,
