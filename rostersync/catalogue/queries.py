@@ -26,7 +26,7 @@ from rostersync.operators.reconcile import diff_added, diff_removed, reconcile
 from rostersync.operators.rules import Rule, classify, like, unlike
 from rostersync.operators.rulesets import current_rules, legacy_rules
 from rostersync.operators.sets import union_all, union_distinct
-from rostersync.operators.staging import staging_dir
+from rostersync.operators.staging import materialise, staging_dir
 from rostersync.plans import assign, enrich
 from rostersync.plans.mart import group_type, mart
 from rostersync.sources.schemas import MART_COLUMNS
@@ -547,10 +547,11 @@ def current_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(O.full_mart())
 def mart_of_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each step on its own: both assignments, ``reconcile``, ``mart``."""
+    """Each step on its own: both assignments stored, then ``reconcile`` and ``mart``."""
     inputs, config = S.inputs(spark, sf_dir), _config(spark, sf_dir)
-    current = assign.current_groups(inputs, config).select(*_CURRENT)
-    changes = reconcile(assign.previous_groups(inputs, config), current)
+    previous = materialise(assign.previous_groups(inputs, config), "previous")
+    current = materialise(assign.current_groups(inputs, config).select(*_CURRENT), "current")
+    changes = reconcile(previous, current, staged=True)
     return _text(mart(changes, inputs.lookup, staged=True))
 
 

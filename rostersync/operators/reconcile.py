@@ -221,12 +221,16 @@ def reconcile(
     status: str = STATUS,
     stamp: str = STAMP,
     mode: str = "pairwise",
+    staged: bool = False,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Added, removed and standing rows, each once, with the group trimmed afterwards.
 
     ``mode="pairwise"`` compares each row with every row of its key, so a person with several groups
     may be told to both add and remove one. ``mode="set"`` compares (key, group) pairs, which cannot
-    contradict itself; there each row keeps its own side's key and stamp.
+    contradict itself; there each row keeps its own side's key and stamp. ``staged`` as in
+    ``reconcile_rows``.
     """
-    rows = reconcile_rows(previous, current, key, value, status, stamp, mode)
+    rows = reconcile_rows(previous, current, key, value, status, stamp, mode, staged, hot_rows, salts)
     return trim_value(rows.distinct(), value)

@@ -6,14 +6,16 @@ from pyspark.sql import SparkSession
 
 
 PARTITION_BYTES = 192 * 1024 * 1024
+MOST_PARTITIONS = 50_000
 
 
 def partitions_for(input_bytes: int) -> int:
-    """Shuffle partitions that keep one partition of a full-width shuffle in executor memory.
+    """Shuffle partitions for a full-width shuffle of the input.
 
-    Too many does little harm, as adaptive execution merges small ones; too few spills.
+    Adaptive execution merges partitions that turn out small but never adds any, so start high. Past
+    ``MOST_PARTITIONS`` the bookkeeping of blocks costs more than larger partitions, which spill.
     """
-    return max(200, -(-input_bytes // PARTITION_BYTES))
+    return min(max(200, -(-input_bytes // PARTITION_BYTES)), MOST_PARTITIONS)
 
 
 def build_session(

@@ -15,6 +15,7 @@ from rostersync.operators.joins import (
     with_active_account,
 )
 from rostersync.operators.sets import union_all, union_distinct
+from rostersync.session import partitions_for
 from rostersync.operators.staging import broadcast_if_small, is_small, materialise, staging_dir
 
 
@@ -165,3 +166,24 @@ def test_staging(spark, settings):
     assert is_small(df, rows=2) and not is_small(df, rows=1) and not is_small(df, size=1)
     big = spark.range(1000)
     assert "broadcast" not in broadcast_if_small(big, rows=10)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as Fake
+
+    def session(master, named):
+        return Fake(
+            conf=Fake(get=lambda key, default=None: named),
+            sparkContext=Fake(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None),
+        )
+
+    assert staging_dir(session("spark://host", "s3://shared/")) == "s3://shared"
+    with pytest.raises(RuntimeError):
+        staging_dir(session("spark://host", None))
+    assert staging_dir(session("local[2]", None))
+
+
+def test_partitions_follow_the_input():
+    assert partitions_for(1) == 200
+    assert partitions_for(10**12) == 4968
+    assert partitions_for(100 * 10**12) == 50_000

@@ -118,3 +118,20 @@ def test_bad_arguments(spark):
         global_dense_rank(df, ["v"], nulls="middle")
     with pytest.raises(ValueError):
         global_dense_rank(df, ["v"], strategy="naive")
+
+
+def test_hot_null_key_is_split_by_adaptive_execution(spark, settings):
+    """A third of the rows without a key, all tied: the comparing join is split, no task gets them all."""
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="2KB",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
+        adaptive__advisoryPartitionSizeInBytes="4KB",
+    )
+    df = spark.range(0, 60000, 1, 8).select(
+        "id", F.when(F.col("id") % 3 != 0, F.concat(F.lit("k"), F.col("id") % 1000)).alias("k"), F.lit(1).alias("v")
+    )
+    got = latest_with_ties(df, ["k"], [F.col("v")])
+    assert len(got.collect()) == 60000
+    assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
