@@ -39,8 +39,10 @@ def attach(
     """LEFT JOIN ``left`` to a ``right`` side, on ``left`` column -> ``right`` column equality.
 
     The right key columns are dropped. Left columns in ``null_safe`` match NULL with NULL; rows with
-    another key NULL can match nothing, and a salt spreads them instead of sending all to one task. The salt also gives the right side an exchange of its
-    own when it is an aggregate on the same key, which lets adaptive execution split a hot left key.
+    another key NULL can match nothing, and a salt spreads them instead of sending all to one task.
+    The salt also gives the right side an exchange of its own when it is an aggregate on the same
+    key, which lets adaptive execution split a hot left key.
+
     The salt is a hash of ``spread_by``, by default of all left columns; naming a few that the query
     reads anyway keeps the scan narrow.
     """

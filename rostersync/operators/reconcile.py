@@ -121,15 +121,14 @@ def _removed(
         | (own == F.col("__hi"))
         | F.coalesce("__inner", F.lit(False))
     )
-    outcomes = F.array_compact(
-        F.array(F.when(_differs(value), F.lit("remove")), F.when(holds, F.col(status)))
-    )
+    # True for gone, False for standing; a status may itself be NULL, so it is not what is listed.
+    outcomes = F.array_compact(F.array(F.when(_differs(value), True), F.when(holds, False)))
     kept = [c for c in previous.columns if c not in (key, stamp, status)]
-    return joined.select(
+    return joined.withColumn("__gone", F.explode(outcomes)).select(
         *kept,
         F.when(F.col("__seen"), F.col(key)).alias(key),
         F.col("__stamp").alias(stamp),
-        F.explode(outcomes).alias(status),
+        F.when(F.col("__gone"), "remove").otherwise(F.col(status)).alias(status),
     )
 
 

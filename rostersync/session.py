@@ -29,6 +29,9 @@ def build_session(
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Split hot partitions earlier than by default (256 MB, 5 times the median).
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "128MB")
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "3")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

@@ -161,3 +161,10 @@ def test_unknown_mode(spark):
     side = _relation(spark, CURRENT)
     with pytest.raises(ValueError):
         reconcile(side, side, stamp="ts", mode="both", **NAMES)
+
+
+def test_rows_without_status_are_kept(spark):
+    old = spark.createDataFrame([("1", "A", 1, None), ("2", "A", 1, None)], SCHEMA)
+    new = spark.createDataFrame([("1", "A", 2, None), ("2", "B", 2, None)], SCHEMA)
+    got = diff_removed(old, new, stamp="ts", **NAMES)
+    assert rows(got) == [("1", "A", 2, None), ("2", "A", 2, "remove")]
