@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -54,13 +56,12 @@ def slices(batches: Iterable[pa.RecordBatch], text: int, most_bytes: int = 16 <<
 
 def words_as_ids(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, dict[bytes, int]]:
     """Words of all texts as numbers, the words per text, and the numbering (exact, no hashing)."""
-    numbers: dict[bytes, int] = {}
-    give = numbers.setdefault
+    numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
     flat: list[int] = []
     counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         if text:
             words = text.split()
             counts[i] = len(words)
-            flat += [give(w, len(numbers)) for w in words]
+            flat.extend(map(numbers.__getitem__, words))
     return np.array(flat, np.int64), counts, numbers

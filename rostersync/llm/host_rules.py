@@ -102,15 +102,14 @@ def shrunk_rates(fails: DataFrame, rules: Mapping[str, str]) -> DataFrame:
             (F.sum(rule) / F.sum("n")).alias(f"m_{rule}"),
             (F.sum(F.col("n") * rate * rate) / F.sum("n")).alias(f"s_{rule}"),
         ]
-    prior = fails.agg(*moments)
-    both = fails.join(F.broadcast(prior))  # one row
+    prior = fails.agg(*moments).first()  # one row
     rates = []
     for rule in rules:
-        mean = F.col(f"m_{rule}")
-        spread = F.greatest(F.col(f"s_{rule}") - mean * mean, F.lit(1e-12))
-        weight = F.least(F.greatest(mean * (1 - mean) / spread - 1, F.lit(1.0)), F.lit(1e6))
-        rates.append(((F.col(rule) + weight * mean) / (F.col("n") + weight)).alias(rule))
-    return both.select("host", *rates)
+        mean = prior[f"m_{rule}"] or 0.0
+        spread = max((prior[f"s_{rule}"] or 0.0) - mean * mean, 1e-12)
+        weight = min(max(mean * (1 - mean) / spread - 1, 1.0), 1e6)
+        rates.append(((F.col(rule) + F.lit(weight * mean)) / (F.col("n") + F.lit(weight))).alias(rule))
+    return fails.select("host", *rates)
 
 
 def judge(

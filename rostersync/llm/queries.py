@@ -11,8 +11,13 @@ from rostersync.llm import oracle as O
 from rostersync.llm.common import n_words
 from rostersync.llm.host_rules import judge
 from rostersync.llm.interleave import interleave
+from rostersync.llm.language import fit, held_out, identify
+from rostersync.llm.lattice import near_vectors
 from rostersync.llm.line_spread import drop_shared_lines
 from rostersync.llm.mixing import mix
+from rostersync.llm.ngram_join import similar_documents
+from rostersync.llm.pieces import encode
+from rostersync.llm.resample import resample
 from rostersync.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +57,11 @@ def op2_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", F.md5("clean").alias("clean_md5"))
 
 
+@register()
+def op3_lattice_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 @register(O.HOST_RULES)
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(_table(spark, sf_dir, "documents"))
@@ -68,7 +78,34 @@ def op5_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register()
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    named = identify(docs, fit(docs))
+    return named.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@register()
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @register()
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@register()
+def op9_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets are documents labelled good; as large a share is kept as they have of the labels."""
+    labels = _table(spark, sf_dir, "labels")
+    good = F.coalesce(F.col("quality") == 1, F.lit(False))
+    share = labels.agg(F.avg(good.cast("int"))).first()[0]
+    learned = labels.filter(good & ~held_out(F.col("doc_id"))).select("doc_id")
+    return resample(_table(spark, sf_dir, "documents"), learned, share or 0.0)
+
+
+@register()
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(_table(spark, sf_dir, "documents"), size=5, least="0.8")
