@@ -104,3 +104,23 @@ def drop_shared_lines(
         F.greatest(F.coalesce(F.size(pieces), F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
     )
+
+
+def without_shared_lines(docs: DataFrame, min_sites: int = 3, doc_id: str = "doc_id", text: str = "text", site: str = "source", length: str = "n_chars") -> DataFrame:
+    """The input with clean texts and, where there is such a column, their lengths in ``length``.
+
+    Documents that had words and lost all of them are copies line by line; they go.
+    """
+    cleaned = drop_shared_lines(docs, min_sites, doc_id, text, site)
+    left = F.coalesce(F.col("clean").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kinds = dict(docs.dtypes)
+
+    def column(name: str) -> Column:
+        old = F.col("row")[name]
+        if name == text:
+            return F.col("clean").alias(name)
+        if name == length:
+            return F.when(F.col("n_removed") > 0, F.length("clean").cast(kinds[name])).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return cleaned.filter((F.col("n_removed") == 0) | left).select(*[column(c) for c in docs.columns])

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostersync.llm.common import col
+from rostersync.llm.common import col, packed
 from rostersync.operators.staging import broadcast_if_small, materialise
 
 KEY_BITS, BUCKET_BITS = 60, 12
@@ -119,6 +119,18 @@ def cuts(rows: DataFrame, weights: Sequence[int], shares: Sequence[float], most:
     return materialise(joined.groupBy("source", "source_size").agg(F.sort_array(F.collect_list("cut")).alias("cuts")), "mix-cuts")
 
 
+def _copies(found: DataFrame, key: Column, size: Column) -> Column:
+    """Copies of a document for each share, given its source's ``cuts``."""
+    taken = F.transform(found["cuts"], lambda c: c["passes"] + (key <= c["threshold"]).cast("long"))
+    return F.when(size > 0, taken).otherwise(F.transform(found["cuts"], lambda c: F.lit(0).cast("long")))
+
+
+def _narrow(docs: DataFrame, size: Column, doc_id: str, source: str, seed: int) -> DataFrame:
+    own = col(doc_id)
+    size = F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("long")
+    return docs.select(own.alias("doc_id"), col(source).alias("source"), size.alias("size"), mix_key(own, seed).alias("key"))
+
+
 def mix(
     docs: DataFrame,
     size: Column,
@@ -137,21 +149,11 @@ def mix(
     sources without any size take nothing. Rows with one id are taken or left together. An empty table
     gives no rows. Columns other than id, source and size do not matter.
     """
-    own = col(doc_id)
-    rows = materialise(
-        docs.select(
-            own.alias("doc_id"),
-            col(source).alias("source"),
-            F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("long").alias("size"),
-            mix_key(own, seed).alias("key"),
-        ),
-        "mix-rows",
-    )
-    found = cuts(rows, weights, shares, most)
-    taken = F.transform("cuts", lambda c: c["passes"] + (F.col("key") <= c["threshold"]).cast("long"))
+    rows = materialise(_narrow(docs, size, doc_id, source, seed), "mix-rows")
+    found = broadcast_if_small(cuts(rows, weights, shares, most))
     return (
-        rows.join(broadcast_if_small(found), rows["source"].eqNullSafe(found["source"]))
-        .withColumn("nested", F.when(F.col("size") > 0, taken).otherwise(F.transform("cuts", lambda c: F.lit(0).cast("long"))))
+        rows.join(found, rows["source"].eqNullSafe(found["source"]))
+        .withColumn("nested", _copies(found, F.col("key"), F.col("size")))
         .select(
             "doc_id",
             "size",
@@ -161,3 +163,25 @@ def mix(
             "nested",
         )
     )
+
+
+def mixture(
+    docs: DataFrame,
+    size: Column,
+    weights: Sequence[int] = (5, 2, 1),
+    share: float = 1.5,
+    most: float = 2.0,
+    doc_id: str = "doc_id",
+    source: str = "source",
+    seed: int = 17,
+) -> DataFrame:
+    """The mixed rows themselves, with the columns of the input, each as often as ``mix`` says.
+
+    A row's copies follow from its source and key, so no row is moved to find them.
+    """
+    rows = materialise(_narrow(docs, size, doc_id, source, seed), "mix-rows")
+    found = broadcast_if_small(cuts(rows, weights, (share,), most))
+    whole = packed(docs, source=col(source), key=mix_key(col(doc_id), seed), size=size)
+    often = F.element_at(_copies(found, F.col("key"), F.col("size")), -1)
+    mixed = whole.join(found, whole["source"].eqNullSafe(found["source"])).select("row", often.alias("often"))
+    return mixed.filter("often > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "often")).alias("copy")).select("row.*")

@@ -10,9 +10,9 @@ first, overlaps per pair in the end.
 3. Of the texts left, all n-grams are counted per fragment among themselves; a text needs ceil(t n) that
    another one has, too.
 4. Those that are left are grouped by the rarest n-grams they share (again a prefix, now by frequency).
-   In each group all are compared with one of them; what is then still apart within a group is compared
-   pair by pair. Groups of near copies thus cost a comparison per text, and no link between classes is
-   lost.
+   In each group all are compared with one of them; for what is then still apart within a group, pairs
+   are made of n-grams that the one in the middle does not have. Groups of near copies thus cost a few
+   comparisons per text, and no link between classes is lost.
 """
 
 from __future__ import annotations
@@ -25,11 +25,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rostersync.llm.common import col, slices, words_as_ids
+from rostersync.llm.common import col, packed, slices, words_as_ids
 from rostersync.llm.components import components
 from rostersync.operators.staging import materialise
 
@@ -147,8 +147,8 @@ def _list_shared(table: pa.Table) -> pa.Table:
     return pa.table({"node": node, "gram": gram, "nodes": nodes.astype(np.int64)})
 
 
-def _overlaps(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
-    """The pairs (a, b) that are similar enough: overlaps per fragment, summed per pair."""
+def _overlaps(pairs: DataFrame, segments: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, b) -> with ``common``, ``n_a`` and ``n_b``: overlaps per fragment, summed per pair."""
     x = segments.select(F.col("node").alias("a"), "part", F.col("grams").alias("x"))
     y = segments.select(F.col("node").alias("b"), "part", F.col("grams").alias("y"))
     common = (
@@ -159,20 +159,42 @@ def _overlaps(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, t: Fracti
         .agg(F.sum("common").alias("common"))
     )
     n = lambda side: sizes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"))
+    return materialise(common.join(n("a"), "a").join(n("b"), "b"), "ngram-overlaps")
+
+
+def _similar(overlaps: DataFrame, t: Fraction) -> DataFrame:
     union = F.col("n_a") + F.col("n_b") - F.col("common")
-    return common.join(n("a"), "a").join(n("b"), "b").filter(F.col("common") * t.denominator >= union * t.numerator).select("a", "b")
+    return overlaps.filter(F.col("common") * t.denominator >= union * t.numerator).select("a", "b")
+
 
+def _each_once(pairs: DataFrame) -> DataFrame:
+    """Pairs of members (x, y), the smaller node first."""
+    x, y = F.col("x.node"), F.col("y.node")
+    return pairs.filter(x != y).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
-def _fitting(pairs: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs whose sizes allow the similarity, each once, the smaller node first."""
-    small, large = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
-    return (
-        pairs.filter((F.col("x") != F.col("y")) & (small * t.denominator >= large * t.numerator))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+
+def _may_be_similar(t: Fraction) -> Column:
+    """Do sizes allow members x and y to be similar, if they share an n-gram of their prefixes?
+
+    The smaller set has a similar larger one only if that n-gram is among its first
+    n - ceil(2 t / (1 + t) n) + 1, which ``early`` says.
+    """
+    x, y = F.col("x"), F.col("y")
+    x_first = (x["n"] < y["n"]) | ((x["n"] == y["n"]) & (x["node"] < y["node"]))
+    return F.when(x_first, x["early"] & (x["n"] * t.denominator >= y["n"] * t.numerator)).otherwise(
+        y["early"] & (y["n"] * t.denominator >= x["n"] * t.numerator)
     )
 
 
+def _classes(groups: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of groups with their classes so far, and the largest class of each group that has several."""
+    placed = groups.join(components(links), "node", "left").select("gram", "node", "member", F.coalesce("root", "node").alias("root"))
+    placed = materialise(placed, "ngram-placed")
+    classes = placed.groupBy("gram", "root").agg(F.count("*").alias("members")).groupBy("gram")
+    main = classes.agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("classes"))
+    return placed, main.filter("classes > 1").select("gram", "main")
+
+
 def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str, size: int, t: Fraction) -> DataFrame:
     """Links (a, b) between nodes that connect exactly what all links connect."""
     fragments = max(LEAST_FRAGMENTS, -(-described.count() // FRAGMENT_DOCS))
@@ -192,31 +214,79 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     whole = body.join(left, body["id"].eqNullSafe(left["doc_id"]) & (body["key"] == left["text_key"]), "left_semi").select("text")
     whole = whole.mapInArrow(partial(_whole, size=size, fragments=fragments), rows)
     grams = materialise(whole.groupBy("fragment").applyInArrow(_list_shared, "node long, gram long, nodes long"), "ngram-shared")
-    enough = grams.groupBy("node").agg(F.count("*").alias("shared")).join(left.select("node", "n"), "node").filter(F.col("shared") >= need)
-    sizes = materialise(enough.select("node", "n", (F.col("shared") - need + 1).alias("most")), "ngram-sizes")
+    enough = grams.groupBy("node").agg(F.count("*").alias("shared"), F.sum("nodes").alias("weight")).join(left.select("node", "n"), "node")
+    enough = enough.filter(F.col("shared") >= need)
+    # A text whose n-grams many others have is near to many.
+    sizes = enough.select("node", "n", "shared", (F.col("weight") / F.col("n")).alias("middle"))
+    sizes = materialise(sizes, "ngram-sizes")
     grams = materialise(grams.join(sizes, "node"), "ngram-grams")
     # Step 4. The rarest n-grams a text shares; those that no other has come first and need no row.
-    place = F.row_number().over(Window.partitionBy("node").orderBy("nodes", "gram"))
-    groups = materialise(grams.withColumn("place", place).filter("place <= most").select("gram", "node", "n"), "ngram-groups")
+    place = F.row_number().over(Window.partitionBy("node").orderBy("nodes", "gram")) + F.col("n") - F.col("shared")
+    early = F.col("n") - F.ceil(F.col("n") * (2 * t.numerator) / (t.numerator + t.denominator)) + 1
+    groups = (
+        grams.withColumn("place", place)
+        .filter(F.col("place") <= F.col("n") - need + 1)
+        .select("gram", "node", "middle", F.struct("node", "n", (F.col("place") <= early).alias("early")).alias("member"))
+    )
+    groups = materialise(groups, "ngram-groups")
     part = F.pmod(F.shiftright("gram", 60), F.lit(OVERLAP_FRAGMENTS))
     segments = materialise(grams.groupBy("node", part.alias("part")).agg(F.collect_set("gram").alias("grams")), "ngram-segments")
-    centre = groups.groupBy("gram").agg(F.min(F.struct("node", "n")).alias("centre"), F.count("*").alias("members")).filter("members > 1")
-    to_centre = groups.join(centre, "gram").select(
-        F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("centre.node").alias("y"), F.col("centre.n").alias("n_y")
-    )
-    compared = materialise(_fitting(to_centre, t), "ngram-pairs")
-    links = materialise(_overlaps(compared, segments, sizes, t), "ngram-links")
-    root = components(links)
-    placed = groups.join(root, "node", "left").select("gram", "node", "n", F.coalesce("root", "node").alias("root"))
-    placed = materialise(placed, "ngram-placed")
-    # In each group all but its largest class are compared with the members of other classes.
-    classes = placed.groupBy("gram", "root").agg(F.count("*").alias("members"))
-    main = classes.groupBy("gram").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("classes"))
-    apart = placed.join(main.filter("classes > 1"), "gram").filter("root <> main")
-    other = placed.select("gram", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("root").alias("root_y"))
-    rest = apart.select("gram", F.col("node").alias("x"), F.col("n").alias("n_x"), "root").join(other, "gram").filter("root <> root_y")
-    rest = materialise(_fitting(rest, t).join(compared, ["a", "b"], "left_anti"), "ngram-pairs")
-    return links.unionByName(materialise(_overlaps(rest, segments, sizes, t), "ngram-links"))
+    x = F.col("member").alias("x")
+    # Each with the one in the middle of its group.
+    centre = groups.groupBy("gram").agg(F.max_by("member", F.struct("middle", "node")).alias("y"))
+    compared = materialise(_each_once(groups.join(centre, "gram").select(x, "y")), "ngram-pairs")
+    overlaps = _overlaps(compared, segments, sizes)
+    links = _similar(overlaps, t)
+    # Those outside their group's largest class with any one of it.
+    placed, main = _classes(groups, links)
+    outside = placed.join(main, "gram").filter("root <> main").select("gram", x)
+    inside = placed.join(main, "gram").filter("root = main")
+    any_ = inside.groupBy("gram").agg(F.min_by("member", F.xxhash64("gram", "node")).alias("y"))
+    pairs = _each_once(outside.join(any_, "gram").filter(_may_be_similar(t)))
+    pairs = materialise(pairs.join(compared, ["a", "b"], "left_anti"), "ngram-pairs")
+    compared, links = compared.unionByName(pairs), links.unionByName(_similar(_overlaps(pairs, segments, sizes), t))
+    # Those still outside with members of other classes. What x shares with a middle c, |x & c|, may be
+    # too little for a similar y, whose overlap with x must be t / (1 + t) (n_x + n_y). Then they share
+    # enough of what x has and c has not, so y is looked for there; it is little, and rare.
+    placed, main = _classes(groups, links)
+    other_way = overlaps.select(F.col("b").alias("a"), F.col("a").alias("b"), "common")
+    middle = overlaps.select("a", "b", "common").unionByName(other_way).groupBy(F.col("a").alias("of"))
+    middle = middle.agg(F.max_by("b", F.struct("common", "b")).alias("c"), F.max("common").alias("with_c"))
+    outside = placed.join(main, "gram").filter("root <> main")
+    outside = outside.join(middle, outside["node"] == middle["of"], "left").select("gram", x, "root", "c", "with_c")
+    outside = materialise(outside, "ngram-outside")
+    enough = F.coalesce(F.col("with_c") * (t.numerator + t.denominator) >= (F.col("x.n") + F.col("y.n")) * t.numerator, F.lit(True))
+    other = placed.select("gram", F.col("member").alias("y"), F.col("root").alias("root_y"))
+    pairs = _each_once(outside.join(other, "gram").filter((F.col("root") != F.col("root_y")) & enough & _may_be_similar(t)))
+    alone = outside.filter("c IS NOT NULL").select("x.node", "root", "c", "with_c").distinct()
+    in_c = grams.select(F.col("node").alias("c"), "gram")
+    besides = grams.join(alone, "node").join(in_c, ["c", "gram"], "left_anti")
+    place = F.row_number().over(Window.partitionBy("node").orderBy("nodes", "gram")) + F.col("n") - F.col("shared")
+    most = F.col("n") - F.col("with_c") - F.greatest(need - F.col("with_c"), F.lit(1)) + 1
+    besides = besides.withColumn("place", place).filter(F.col("place") <= most)
+    besides = besides.select("gram", F.struct("node", "n").alias("x"), "root", "with_c")
+    other = grams.select("gram", F.struct("node", "n").alias("y")).join(components(links), F.col("y.node") == F.col("node"), "left")
+    other = other.select("gram", "y", F.coalesce("root", "y.node").alias("root_y"))
+    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    near = small * t.denominator >= large * t.numerator
+    pairs = pairs.unionByName(_each_once(besides.join(other, "gram").filter((F.col("root") != F.col("root_y")) & ~enough & near)))
+    pairs = materialise(pairs.distinct().join(compared, ["a", "b"], "left_anti"), "ngram-pairs")
+    return links.unionByName(_similar(_overlaps(pairs, segments, sizes), t))
+
+
+def _described(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    rows = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).cast("string").alias("text"), F.xxhash64(col(text)).alias("text_key"))
+    described = rows.mapInArrow(partial(_describe, size=size), "doc_id long, text_key long, n long, node long")
+    return materialise(described, "ngram-docs")
+
+
+def _placed(described: DataFrame, links: DataFrame) -> DataFrame:
+    """Every node with its first document and its component's first document (null ids last)."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    nodes = described.filter("n > 0").groupBy("node").agg(first).join(components(links), "node", "left")
+    nodes = materialise(nodes.select("node", "first", F.coalesce("root", "node").alias("root")), "ngram-classes")
+    classes = nodes.groupBy("root").agg(F.min("first").alias("least"))
+    return nodes.join(classes, "root").select("node", "least")
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, least: str | float = "0.8") -> DataFrame:
@@ -229,15 +299,28 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Other columns are not looked at. N-grams and sets are compared by 64-bit hashes.
     """
     t = Fraction(str(least))
-    rows = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).cast("string").alias("text"), F.xxhash64(col(text)).alias("text_key"))
-    described = rows.mapInArrow(partial(_describe, size=size), "doc_id long, text_key long, n long, node long")
-    described = materialise(described, "ngram-docs")
-    root = components(similar_nodes(docs, described, text, doc_id, size, t))
-    smallest = described.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
-    whole = smallest.join(root, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    whole = materialise(whole, "ngram-classes")
-    classes = whole.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = whole.join(classes, "root").select("node", "component_id")
+    described = _described(docs, doc_id, text, size)
+    placed = _placed(described, similar_nodes(docs, described, text, doc_id, size, t))
+    of = placed.select("node", F.col("least.doc_id").alias("component_id"))
     linked = described.filter("n > 0").join(of, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = described.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(empty)
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, least: str | float = "0.8") -> DataFrame:
+    """The input with one row of each component, that of the smallest id, and all rows without n-grams.
+
+    Where equal rows share the smallest id, one of them stays.
+    """
+    t = Fraction(str(least))
+    described = _described(docs, doc_id, text, size)
+    placed = _placed(described, similar_nodes(docs, described, text, doc_id, size, t))
+    best = placed.select("least.doc_id", "least.text_key").distinct()
+    rows = described.filter("n > 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"))
+    again = (rows["doc_id"].eqNullSafe(best["doc_id"])) & (rows["text_key"] == best["text_key"])
+    rows = materialise(rows.join(best, again, "left_semi").unionByName(described.filter("n = 0").select("doc_id", "text_key", F.lit(0).cast("long").alias("rows")).distinct()), "ngram-kept")
+    whole = packed(docs, id=col(doc_id).cast("long"), key=F.xxhash64(col(text)))
+    on = lambda some: whole["id"].eqNullSafe(some["doc_id"]) & (whole["key"] == some["text_key"])
+    once, more = rows.filter("rows < 2"), rows.filter("rows > 1")
+    repeated = whole.join(more, on(more), "left_semi").groupBy("id", "key").agg(F.first("row").alias("row"))
+    return whole.join(once, on(once), "left_semi").select("row.*").unionByName(repeated.select("row.*"))
