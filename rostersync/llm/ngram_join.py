@@ -17,6 +17,7 @@ first, overlaps per pair in the end.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from fractions import Fraction
 from functools import partial
@@ -27,7 +28,6 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rostersync.llm.common import col, packed, slices, words_as_ids
 from rostersync.llm.components import components
@@ -147,19 +147,13 @@ def _list_shared(table: pa.Table) -> pa.Table:
     return pa.table({"node": node, "gram": gram, "nodes": nodes.astype(np.int64)})
 
 
-def _overlaps(pairs: DataFrame, segments: DataFrame, sizes: DataFrame) -> DataFrame:
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) -> with ``common``, ``n_a`` and ``n_b``: overlaps per fragment, summed per pair."""
-    x = segments.select(F.col("node").alias("a"), "part", F.col("grams").alias("x"))
-    y = segments.select(F.col("node").alias("b"), "part", F.col("grams").alias("y"))
-    common = (
-        pairs.join(x, "a")
-        .join(y, ["b", "part"])
-        .select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("common"))
-        .groupBy("a", "b")
-        .agg(F.sum("common").alias("common"))
-    )
-    n = lambda side: sizes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"))
-    return materialise(common.join(n("a"), "a").join(n("b"), "b"), "ngram-overlaps")
+    side = lambda name, parts: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("parts").alias(parts))
+    partial_ = F.zip_with("x", "y", lambda p, q: F.size(F.array_intersect(p, q)).cast("long"))
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    common = F.aggregate(partial_, F.lit(0).cast("long"), lambda total, one: total + one)
+    return materialise(both.select("a", "b", "n_a", "n_b", common.alias("common")), "ngram-overlaps")
 
 
 def _similar(overlaps: DataFrame, t: Fraction) -> DataFrame:
@@ -177,11 +171,13 @@ def _may_be_similar(t: Fraction) -> Column:
     """Do sizes allow members x and y to be similar, if they share an n-gram of their prefixes?
 
     The smaller set has a similar larger one only if that n-gram is among its first
-    n - ceil(2 t / (1 + t) n) + 1, which ``early`` says.
+    n - ceil(2 t / (1 + t) n) + 1, which ``early`` says. Neither may have too few n-grams that occur
+    elsewhere.
     """
     x, y = F.col("x"), F.col("y")
+    enough = F.least(x["shared"], y["shared"]) * (t.numerator + t.denominator) >= (x["n"] + y["n"]) * t.numerator
     x_first = (x["n"] < y["n"]) | ((x["n"] == y["n"]) & (x["node"] < y["node"]))
-    return F.when(x_first, x["early"] & (x["n"] * t.denominator >= y["n"] * t.numerator)).otherwise(
+    return enough & F.when(x_first, x["early"] & (x["n"] * t.denominator >= y["n"] * t.numerator)).otherwise(
         y["early"] & (y["n"] * t.denominator >= x["n"] * t.numerator)
     )
 
@@ -213,29 +209,30 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     body = docs.select(col(doc_id).alias("id"), F.xxhash64(col(text)).alias("key"), col(text).cast("string").alias("text"))
     whole = body.join(left, body["id"].eqNullSafe(left["doc_id"]) & (body["key"] == left["text_key"]), "left_semi").select("text")
     whole = whole.mapInArrow(partial(_whole, size=size, fragments=fragments), rows)
-    grams = materialise(whole.groupBy("fragment").applyInArrow(_list_shared, "node long, gram long, nodes long"), "ngram-shared")
-    enough = grams.groupBy("node").agg(F.count("*").alias("shared"), F.sum("nodes").alias("weight")).join(left.select("node", "n"), "node")
-    enough = enough.filter(F.col("shared") >= need)
+    grams = whole.groupBy("fragment").applyInArrow(_list_shared, "node long, gram long, nodes long")
+    # From here a row per text: its shared n-grams, the rarest first, and by ranges of the global order.
+    sets = grams.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("nodes", "gram"))).alias("shared"), F.sum("nodes").alias("weight"))
+    sets = sets.join(left.select("node", "n"), "node").filter(F.size("shared") >= need)
+    width = 64 - int(math.log2(OVERLAP_FRAGMENTS))
+    ranges = range(-OVERLAP_FRAGMENTS // 2, OVERLAP_FRAGMENTS // 2)
+    within = lambda f: F.filter("grams", lambda gram: F.shiftright(gram, width) == f)
+    parts = F.array(*[within(f) for f in ranges])
     # A text whose n-grams many others have is near to many.
-    sizes = enough.select("node", "n", "shared", (F.col("weight") / F.col("n")).alias("middle"))
-    sizes = materialise(sizes, "ngram-sizes")
-    grams = materialise(grams.join(sizes, "node"), "ngram-grams")
+    sets = sets.select("node", "n", (F.col("weight") / F.col("n")).alias("middle"), F.col("shared.gram").alias("grams"))
+    sets = materialise(sets.withColumn("parts", parts), "ngram-sets")
+    shared = F.size("grams").cast("long")
     # Step 4. The rarest n-grams a text shares; those that no other has come first and need no row.
-    place = F.row_number().over(Window.partitionBy("node").orderBy("nodes", "gram")) + F.col("n") - F.col("shared")
     early = F.col("n") - F.ceil(F.col("n") * (2 * t.numerator) / (t.numerator + t.denominator)) + 1
-    groups = (
-        grams.withColumn("place", place)
-        .filter(F.col("place") <= F.col("n") - need + 1)
-        .select("gram", "node", "middle", F.struct("node", "n", (F.col("place") <= early).alias("early")).alias("member"))
-    )
-    groups = materialise(groups, "ngram-groups")
-    part = F.pmod(F.shiftright("gram", 60), F.lit(OVERLAP_FRAGMENTS))
-    segments = materialise(grams.groupBy("node", part.alias("part")).agg(F.collect_set("gram").alias("grams")), "ngram-segments")
+    first = F.slice("grams", F.lit(1), (shared - need + 1).cast("int"))
+    groups = sets.select("node", "n", "middle", shared.alias("shared"), F.posexplode(first).alias("at", "gram"))
+    place = F.col("at") + 1 + F.col("n") - F.col("shared")
+    member = F.struct("node", "n", "shared", (place <= early).alias("early")).alias("member")
+    groups = materialise(groups.select("gram", "node", "middle", member), "ngram-groups")
     x = F.col("member").alias("x")
     # Each with the one in the middle of its group.
     centre = groups.groupBy("gram").agg(F.max_by("member", F.struct("middle", "node")).alias("y"))
     compared = materialise(_each_once(groups.join(centre, "gram").select(x, "y")), "ngram-pairs")
-    overlaps = _overlaps(compared, segments, sizes)
+    overlaps = _overlaps(compared, sets)
     links = _similar(overlaps, t)
     # Those outside their group's largest class with any one of it.
     placed, main = _classes(groups, links)
@@ -244,7 +241,7 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     any_ = inside.groupBy("gram").agg(F.min_by("member", F.xxhash64("gram", "node")).alias("y"))
     pairs = _each_once(outside.join(any_, "gram").filter(_may_be_similar(t)))
     pairs = materialise(pairs.join(compared, ["a", "b"], "left_anti"), "ngram-pairs")
-    compared, links = compared.unionByName(pairs), links.unionByName(_similar(_overlaps(pairs, segments, sizes), t))
+    compared, links = compared.unionByName(pairs), links.unionByName(_similar(_overlaps(pairs, sets), t))
     # Those still outside with members of other classes. What x shares with a middle c, |x & c|, may be
     # too little for a similar y, whose overlap with x must be t / (1 + t) (n_x + n_y). Then they share
     # enough of what x has and c has not, so y is looked for there; it is little, and rare.
@@ -259,19 +256,21 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     other = placed.select("gram", F.col("member").alias("y"), F.col("root").alias("root_y"))
     pairs = _each_once(outside.join(other, "gram").filter((F.col("root") != F.col("root_y")) & enough & _may_be_similar(t)))
     alone = outside.filter("c IS NOT NULL").select("x.node", "root", "c", "with_c").distinct()
-    in_c = grams.select(F.col("node").alias("c"), "gram")
-    besides = grams.join(alone, "node").join(in_c, ["c", "gram"], "left_anti")
-    place = F.row_number().over(Window.partitionBy("node").orderBy("nodes", "gram")) + F.col("n") - F.col("shared")
-    most = F.col("n") - F.col("with_c") - F.greatest(need - F.col("with_c"), F.lit(1)) + 1
-    besides = besides.withColumn("place", place).filter(F.col("place") <= most)
-    besides = besides.select("gram", F.struct("node", "n").alias("x"), "root", "with_c")
-    other = grams.select("gram", F.struct("node", "n").alias("y")).join(components(links), F.col("y.node") == F.col("node"), "left")
-    other = other.select("gram", "y", F.coalesce("root", "y.node").alias("root_y"))
+    of_c = sets.select(F.col("node").alias("c"), F.col("grams").alias("of_c"))
+    besides = alone.join(sets.select("node", "n", "grams"), "node").join(of_c, "c")
+    besides = besides.select("node", "n", "root", "with_c", shared.alias("shared"), F.posexplode(F.array_except("grams", "of_c")).alias("at", "gram"))
+    before = F.col("at") + F.col("n") - F.col("shared")
+    besides = besides.select("gram", F.struct("node", "n").alias("x"), "root", "with_c", before.alias("before"))
+    other = sets.select(F.explode("grams").alias("gram"), F.struct("node", "n").alias("y"))
+    other = other.join(components(links), F.col("y.node") == F.col("node"), "left").select("gram", "y", F.coalesce("root", "y.node").alias("root_y"))
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
     near = small * t.denominator >= large * t.numerator
-    pairs = pairs.unionByName(_each_once(besides.join(other, "gram").filter((F.col("root") != F.col("root_y")) & ~enough & near)))
+    # Again the first n - (overlap) + 1 of them are enough.
+    soon = (F.col("x.n") - F.col("before")) * (t.numerator + t.denominator) >= (F.col("x.n") + F.col("y.n")) * t.numerator
+    found = besides.join(other, "gram").filter((F.col("root") != F.col("root_y")) & ~enough & near & soon)
+    pairs = pairs.unionByName(_each_once(found))
     pairs = materialise(pairs.distinct().join(compared, ["a", "b"], "left_anti"), "ngram-pairs")
-    return links.unionByName(_similar(_overlaps(pairs, segments, sizes), t))
+    return links.unionByName(_similar(_overlaps(pairs, sets), t))
 
 
 def _described(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
