@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from rostersync.llm.common import col, packed, slices, words_as_ids
 from rostersync.llm.components import components
-from rostersync.operators.staging import materialise
+from rostersync.operators.staging import broadcast_if_small, materialise
 
 #: The prefix of step 2 is longer by a 10th of the set, and so many more n-grams must be shared.
 MORE = 10
@@ -151,7 +151,9 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) -> with ``common``, ``n_a`` and ``n_b``: overlaps per fragment, summed per pair."""
     side = lambda name, parts: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("parts").alias(parts))
     partial_ = F.zip_with("x", "y", lambda p, q: F.size(F.array_intersect(p, q)).cast("long"))
-    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    # Few pairs, as there mostly are, save moving all sets.
+    few = broadcast_if_small(pairs.select("b").distinct())
+    both = side("a", "x").join(broadcast_if_small(pairs), "a").join(side("b", "y").join(few, "b", "left_semi"), "b")
     common = F.aggregate(partial_, F.lit(0).cast("long"), lambda total, one: total + one)
     return materialise(both.select("a", "b", "n_a", "n_b", common.alias("common")), "ngram-overlaps")
 
@@ -207,7 +209,8 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     )
     # Step 3. One text per node.
     body = docs.select(col(doc_id).alias("id"), F.xxhash64(col(text)).alias("key"), col(text).cast("string").alias("text"))
-    whole = body.join(left, body["id"].eqNullSafe(left["doc_id"]) & (body["key"] == left["text_key"]), "left_semi").select("text")
+    few = broadcast_if_small(left.select("doc_id", "text_key"))
+    whole = body.join(few, body["id"].eqNullSafe(left["doc_id"]) & (body["key"] == left["text_key"]), "left_semi").select("text")
     whole = whole.mapInArrow(partial(_whole, size=size, fragments=fragments), rows)
     grams = whole.groupBy("fragment").applyInArrow(_list_shared, "node long, gram long, nodes long")
     # From here a row per text: its shared n-grams, the rarest first, and by ranges of the global order.
@@ -261,13 +264,15 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     besides = besides.select("node", "n", "root", "with_c", shared.alias("shared"), F.posexplode(F.array_except("grams", "of_c")).alias("at", "gram"))
     before = F.col("at") + F.col("n") - F.col("shared")
     besides = besides.select("gram", F.struct("node", "n").alias("x"), "root", "with_c", before.alias("before"))
+    besides = materialise(besides, "ngram-besides")
     other = sets.select(F.explode("grams").alias("gram"), F.struct("node", "n").alias("y"))
-    other = other.join(components(links), F.col("y.node") == F.col("node"), "left").select("gram", "y", F.coalesce("root", "y.node").alias("root_y"))
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
     near = small * t.denominator >= large * t.numerator
     # Again the first n - (overlap) + 1 of them are enough.
     soon = (F.col("x.n") - F.col("before")) * (t.numerator + t.denominator) >= (F.col("x.n") + F.col("y.n")) * t.numerator
-    found = besides.join(other, "gram").filter((F.col("root") != F.col("root_y")) & ~enough & near & soon)
+    found = broadcast_if_small(besides).join(other, "gram").filter((F.col("x.node") != F.col("y.node")) & ~enough & near & soon)
+    roots = components(links).select(F.col("node").alias("of"), F.col("root").alias("root_y"))
+    found = found.join(roots, F.col("y.node") == F.col("of"), "left").filter(F.col("root") != F.coalesce("root_y", "y.node"))
     pairs = pairs.unionByName(_each_once(found))
     pairs = materialise(pairs.distinct().join(compared, ["a", "b"], "left_anti"), "ngram-pairs")
     return links.unionByName(_similar(_overlaps(pairs, sets), t))
