@@ -259,7 +259,7 @@ def identify(docs: DataFrame, model: tuple[Weights, list[str]] | None, text: str
     return rows.mapInArrow(run, schema).select("row.*", "lang_pred", "score")
 
 
-def in_known_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.4) -> DataFrame:
+def in_known_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.3) -> DataFrame:
     """The input without documents whose language is undetermined or scores below ``least``."""
     names = tuple(docs.columns)
     named = identify(docs.select(F.struct(*[col(c) for c in names]).alias("row"), col(text).alias("text")), fit(docs, doc_id, text, lang), "text", ("row",))
