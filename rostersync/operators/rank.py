@@ -57,8 +57,6 @@ def _dense_rank(
     )
     found = values.count()
     few = found <= WINDOW_VALUES
-    if strategy == "distinct" and not few:
-        raise ValueError(f"{found} distinct values are too many for one task; use 'range'")
     sort = descending([F.col(c) for c in order_cols], nulls)
     if few and strategy != "range":
         window = Window.partitionBy(*key_cols).orderBy(*sort)
