@@ -8,9 +8,9 @@ the facts, keeping rules all of whose tests hold and taking the first.
 from __future__ import annotations
 
 from rostersync.catalogue.standins import (
-    CURRENT_PERIOD,
+    CURRENT_SINCE,
     DEPARTMENTS,
-    PREVIOUS_PERIOD,
+    PREVIOUS_UNTIL,
     SNAPSHOT_RULES,
     TITLES,
 )
@@ -44,14 +44,15 @@ SELECT CASE WHEN c_custkey % 89 = 0 THEN NULL WHEN c_custkey % 10 = 1 THEN c_cus
   CASE WHEN c_custkey % 47 <> 0 THEN CAST(CAST(DATE '2010-01-01' + CAST(c_custkey % 50 AS INTEGER) AS DATE) AS VARCHAR) END AS original_hire_date,
   CASE WHEN NOT c_acctbal > 1000 THEN CAST(DATE '2023-01-01' + p_size AS DATE) END AS termination_date,
   CASE WHEN c_custkey % 97 <> 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(c_custkey % 500 AS INTEGER)) END AS lst_updt_ts
-FROM customer JOIN part ON c_custkey = p_partkey"""
+FROM customer LEFT JOIN part ON c_custkey = p_partkey"""
 
 ACCOUNTS = """
 SELECT CAST(CASE WHEN o_orderkey % 4 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS VARCHAR) AS id,
-  CAST(o_custkey AS VARCHAR) AS employee_number, o_orderdate AS lastupdated,
+  CASE WHEN o_custkey % 3 <> 0 AND o_orderpriority <> '2-HIGH' THEN '' ELSE 'N' END || CAST(o_custkey AS VARCHAR) AS employee_number,
+  o_orderdate AS lastupdated,
   CASE WHEN o_orderkey % 50 = 0 THEN 'Ada Example' ELSE nullif(o_orderpriority, '5-LOW') END AS display_name,
   CASE o_orderstatus WHEN 'F' THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
-FROM orders WHERE o_custkey % 3 <> 0 AND o_orderpriority <> '2-HIGH'"""
+FROM orders"""
 
 SCHOOLS = """
 SELECT 'Brand-' || CAST(n_nationkey AS VARCHAR) AS esd_school_name,
@@ -71,9 +72,10 @@ SELECT t, 'school', CASE WHEN length(t) % 2 = 0 THEN 'Regional Operations Manage
 FROM (SELECT DISTINCT business_title AS t FROM wf WHERE business_title IS NOT NULL)"""
 
 OVERRIDES = """
-SELECT lower(c_name) || '@example.org' AS okta_email,
-  CASE c_custkey % 250 WHEN 7 THEN 'Help Desk' ELSE 'Schooling Application' END AS override_group
-FROM customer WHERE c_custkey % 250 IN (7, 8)"""
+SELECT lower(c_name) || '@example.org' AS okta_email, arg_min(g, p) AS override_group
+FROM customer JOIN (VALUES (7, 2, 'Archive'), (7, 1, 'Help Desk'), (8, 1, 'Schooling Application')) AS listed(r, p, g)
+  ON c_custkey % 250 = r
+GROUP BY 1"""
 
 DIRECTORY = """
 SELECT n AS full_name, any_value(d) AS okta_department FROM (
@@ -167,8 +169,8 @@ SELECT * FROM {rows} QUALIFY dense_rank() OVER (PARTITION BY okta_users_id
     CAST(esd_dateofhire AS DATE) DESC NULLS FIRST) = 1"""
 
 
-def _period(since: str, until: str) -> str:
-    rows = f"(SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{since}' AND o_orderdate < TIMESTAMP '{until}')"
+def _period(period: str) -> str:
+    rows = f"(SELECT * FROM orders WHERE {period})"
     return f"""
 SELECT CASE WHEN o_custkey % 101 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS workday_employee_number,
   CAST(o_orderkey AS VARCHAR) AS okta_users_id, looker_user_group,
@@ -248,8 +250,8 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
         ("overridden_new",),
         _latest("(SELECT * FROM overridden_new WHERE esd_isactive = 'Yes')"),
     ),
-    "snap_old": ((), _period(*PREVIOUS_PERIOD)),
-    "snap_new": ((), _period(*CURRENT_PERIOD)),
+    "snap_old": ((), _period(f"o_orderdate < TIMESTAMP '{PREVIOUS_UNTIL}'")),
+    "snap_new": ((), _period(f"o_orderdate >= TIMESTAMP '{CURRENT_SINCE}' OR o_orderdate IS NULL")),
     "added": (("latest_new", "latest_old"), _added("latest_new", "latest_old", _PLAIN)),
     "removed": (("latest_new", "latest_old"), _removed("latest_old", "latest_new", _PLAIN)),
 }

@@ -97,7 +97,7 @@ def workforce(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as workers. Two neighbours share a name, and some share a number."""
     n, size = F.col("c_custkey"), F.col("p_size")
     rows = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "part"), F.col("c_custkey") == F.col("p_partkey")
+        table(spark, sf_dir, "part"), F.col("c_custkey") == F.col("p_partkey"), "left"
     )
     working = F.col("c_acctbal") > 1000
     return rows.select(
@@ -126,20 +126,19 @@ def workforce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as accounts. Two neighbours in four share an account id."""
-    key = F.col("o_orderkey")
-    return (
-        table(spark, sf_dir, "orders")
-        .where((F.col("o_custkey") % 3 != 0) & (F.col("o_orderpriority") != "2-HIGH"))
-        .select(
-            F.when(key % 4 == 1, key - 1).otherwise(key).cast("string").alias("id"),
-            F.col("o_custkey").cast("string").alias("employee_number"),
-            F.col("o_orderdate").alias("lastupdated"),
-            F.when(key % 50 == 0, "Ada Example")
-            .otherwise(F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
-            .alias("display_name"),
-            F.when(F.col("o_orderstatus") == "F", "INACTIVE").otherwise("ACTIVE").alias("status"),
-        )
+    """Orders as accounts. Two neighbours in four share an account id; some have a number no worker has."""
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    known = (customer % 3 != 0) & (F.col("o_orderpriority") != "2-HIGH")
+    return table(spark, sf_dir, "orders").select(
+        F.when(key % 4 == 1, key - 1).otherwise(key).cast("string").alias("id"),
+        F.when(known, customer.cast("string"))
+        .otherwise(F.concat(F.lit("N"), customer.cast("string")))
+        .alias("employee_number"),
+        F.col("o_orderdate").alias("lastupdated"),
+        F.when(key % 50 == 0, "Ada Example")
+        .otherwise(F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
+        .alias("display_name"),
+        F.when(F.col("o_orderstatus") == "F", "INACTIVE").otherwise("ACTIVE").alias("status"),
     )
 
 
@@ -184,14 +183,19 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A few people with a group of their own."""
+    """A few people with a group of their own; half of them are listed twice, the first row counts."""
     n = F.col("c_custkey")
+    once = F.array(F.struct(F.lit(1).alias("priority"), F.lit("Schooling Application").alias("override_group")))
+    twice = F.array(
+        F.struct(F.lit(2).alias("priority"), F.lit("Archive").alias("override_group")),
+        F.struct(F.lit(1).alias("priority"), F.lit("Help Desk").alias("override_group")),
+    )
     return (
         table(spark, sf_dir, "customer")
         .where((n % 250).isin(7, 8))
         .select(
             F.concat(F.lower("c_name"), F.lit("@example.org")).alias("okta_email"),
-            F.when(n % 250 == 7, "Help Desk").otherwise("Schooling Application").alias("override_group"),
+            F.inline(F.when(n % 250 == 7, twice).otherwise(once)),
         )
     )
 
@@ -213,13 +217,15 @@ SNAPSHOT_RULES = (
 )
 
 
-def orders_as_groups(spark: SparkSession, sf_dir: str, since: str, until: str) -> DataFrame:
+#: The older snapshot ends, the newer one begins here; in between orders are in both, and none is in neither.
+PREVIOUS_UNTIL, CURRENT_SINCE = "1999-01-01", "1997-06-01"
+PREVIOUS_PERIOD = f"o_orderdate < TIMESTAMP_NTZ '{PREVIOUS_UNTIL}'"
+CURRENT_PERIOD = f"o_orderdate IS NULL OR o_orderdate >= TIMESTAMP_NTZ '{CURRENT_SINCE}'"
+
+
+def orders_as_groups(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
     """Orders of a period as group assignments: several per key, some without key or group."""
-    rows = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
-        & (F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
-    )
-    grouped = classify(rows, SNAPSHOT_RULES)
+    grouped = classify(table(spark, sf_dir, "orders").where(period), SNAPSHOT_RULES)
     return grouped.select(
         _unless(F.col("o_custkey") % 101 == 0, F.col("o_custkey").cast("string")).alias("workday_employee_number"),
         F.col("o_orderkey").cast("string").alias("okta_users_id"),
@@ -230,13 +236,6 @@ def orders_as_groups(spark: SparkSession, sf_dir: str, since: str, until: str) -
     )
 
 
-PREVIOUS_PERIOD = ("1995-01-01", "1997-07-01")
-CURRENT_PERIOD = ("1996-06-01", "1998-06-01")
-
-
 def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(previous, current)."""
-    return (
-        orders_as_groups(spark, sf_dir, *PREVIOUS_PERIOD),
-        orders_as_groups(spark, sf_dir, *CURRENT_PERIOD),
-    )
+    return orders_as_groups(spark, sf_dir, PREVIOUS_PERIOD), orders_as_groups(spark, sf_dir, CURRENT_PERIOD)

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostersync.functions.text import matches_part, text_key
-from rostersync.operators.staging import materialise
+from rostersync.operators.staging import broadcast_if_small, materialise
 
-# NULL keys are spread over this many join keys, a hot key over up to this many.
+# NULL keys are spread over this many join keys.
 SPREAD = 256
-SALTS = 64
 # A key with more rows than this is hot; a table of N rows has fewer than N / HOT_ROWS of them.
 HOT_ROWS = 1_000_000
+# Buckets of a hot key for each HOT_ROWS rows it has.
+SALTS = 4
 
 
 def _any_null(cols: list[Column]) -> Column:
@@ -24,9 +25,10 @@ def _any_null(cols: list[Column]) -> Column:
     return test
 
 
-def _spread(df: DataFrame, ways: int, by: Sequence[str] | None) -> Column:
+def _spread(df: DataFrame, ways: int | Column, by: Sequence[str] | None) -> Column:
     """A number below ``ways`` fixed by the row's content, so a re-run task repeats it."""
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in by or df.columns]), F.lit(ways)).cast("int")
+    ways = ways if isinstance(ways, Column) else F.lit(ways)
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in by or df.columns]), ways).cast("int")
 
 
 def attach(
@@ -72,10 +74,11 @@ def attach_many(
     """LEFT JOIN to a ``right`` side that may repeat a key, any number of times.
 
     Adaptive execution cannot split the right side of a left join, so hot right keys are salted:
-    their rows go to ``salts`` buckets by content, and a left row with such a key is copied once per
-    bucket that is really occupied, so no copy stays without its match. The list of hot keys is
-    broadcast; it holds fewer than rows / ``hot_rows`` entries. ``staged`` writes that list down
-    first: it is then found once however often the join runs, and where it is empty nothing is salted.
+    their rows go to ``salts`` buckets per ``hot_rows`` rows of the key, by content, and a left row
+    with such a key is copied once per bucket that is really occupied, so no copy stays without its
+    match. The list of hot keys holds fewer than rows / ``hot_rows`` entries, that of buckets at most
+    ``salts`` times as many; both are broadcast. ``staged`` writes them down first: they are then found
+    once however often the join runs, broadcast only if small, and where no key is hot nothing is salted.
     ``spread_by`` and ``bucket_by`` name the columns the salts of the two sides are hashed from;
     ``count_from`` is a cheaper relation with the right keys, each at least as often, to find hot keys in.
     """
@@ -91,12 +94,14 @@ def attach_many(
         .groupBy(*hot_names)
         .agg(F.count("*").alias("__n"))
         .where(F.col("__n") > hot_rows)
-        .select(*hot_names, F.lit(True).alias("__hot"))
+        .select(*hot_names, F.ceil(F.col("__n") * salts / hot_rows).cast("long").alias("__ways"))
     )
+    spread_out = F.broadcast
     if staged:
         hot = materialise(hot, "hot")
         if hot.isEmpty():
             return attach(left, right, on, spread_by=spread_by)
+        spread_out = broadcast_if_small
 
     def same(columns: Iterable[str]) -> Column:
         test = F.lit(True)
@@ -105,29 +110,25 @@ def attach_many(
         return test
 
     renamed = {r: k for k, (_, r) in keys.items()}
-    bucket = _spread(side, salts, [renamed.get(c, c) for c in bucket_by or ()])
+    bucket = _spread(side, F.col("__ways"), [renamed.get(c, c) for c in bucket_by or ()])
     side = (
-        side.withColumn("__bucket", bucket)
-        .join(F.broadcast(hot), same(keys), "left")
-        .withColumn("__salt_r", F.when(F.col("__hot"), F.col("__bucket")).otherwise(0))
-    )
-    # Hot keys times buckets, at most.
-    occupied = (
-        side.where("__hot")
-        .select(*hot_names, "__bucket")
-        .distinct()
-        .groupBy(*hot_names)
-        .agg(F.collect_set("__bucket").alias("__buckets"))
+        side.join(spread_out(hot), same(keys), "left")
+        # No bucket for a key that is not hot.
+        .withColumn("__bucket", bucket)
+        .withColumn("__salt_r", F.coalesce("__bucket", F.lit(0)))
     )
+    occupied = side.where("__ways IS NOT NULL").select(*hot_names, "__bucket").distinct()
+    if staged:
+        occupied = materialise(occupied, "buckets")
     lost = _any_null([F.col(l) for l in on])
-    alone = F.array(F.when(lost, _spread(left, SPREAD, spread_by) + salts).otherwise(0))
+    alone = F.when(lost, _spread(left, SPREAD, spread_by) + 1).otherwise(0)
     rows = (
         left.withColumn("__alone", alone)
-        .join(F.broadcast(occupied), same(on), "left")
-        .withColumn("__salt_l", F.explode(F.coalesce("__buckets", "__alone")))
-        .drop("__alone", "__buckets", *hot_names)
+        .join(spread_out(occupied), same(on), "left")
+        .withColumn("__salt_l", F.coalesce("__bucket", "__alone"))
+        .drop("__alone", "__bucket", *hot_names)
     )
-    side = side.drop("__bucket", "__hot", *hot_names)
+    side = side.drop("__bucket", "__ways", *hot_names)
     test = F.col("__salt_l") == F.col("__salt_r")
     for k, (l, _) in keys.items():
         test = test & (F.col(l) == F.col(k))

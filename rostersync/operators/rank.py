@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostersync.functions.ordering import descending, order_tuple
-from rostersync.operators.staging import BROADCAST_ROWS, broadcast_if_small, materialise
+from rostersync.operators.staging import BROADCAST_ROWS, is_small, materialise
 
 # Up to this many distinct values are ranked by a plain window.
 WINDOW_VALUES = 100_000
@@ -72,8 +72,9 @@ def _dense_rank(
         *key_cols, *[F.col(c).alias(f"{c}v") for c in order_cols], F.col(name).cast("long").alias(name)
     )
     test = _null_safe([*keys, *order_cols], [*key_cols, *[f"{c}v" for c in order_cols]])
-    if found <= BROADCAST_ROWS:
-        side = broadcast_if_small(side)
+    # The written values are as many and as wide as the side, less its rank, and cheap to measure.
+    if found <= BROADCAST_ROWS and is_small(values):
+        side = F.broadcast(side)
     return rows.join(side, test).select(*df.columns, name)
 
 

@@ -60,8 +60,8 @@ def _differs(value: str) -> Column:
 
 
 def _others(df: DataFrame, *used: str) -> list[str]:
-    """A few columns to spread NULL keys by: the first that are neither key, group nor status."""
-    return [c for c in df.columns if c not in used][:3] or df.columns
+    """Columns to spread NULL keys by: all but key, group and status. The answer holds them anyway."""
+    return [c for c in df.columns if c not in used] or df.columns
 
 
 def _added(current: DataFrame, previous: DataFrame, key: str, value: str, status: str) -> DataFrame:
@@ -153,7 +153,8 @@ def diff_removed(
     """Previous rows, as ``remove`` or with their own status where they stand.
 
     Key and ``stamp`` come from the current side, NULL for keys that left it; a key with several
-    current stamps gives one row per stamp, and may be both removed and standing.
+    current stamps gives one row per stamp, and may be both removed and standing. The answer of a key
+    thus grows with its previous rows times its current stamps; ``reconcile(mode="set")`` does not.
     """
     out = _removed(previous, current, key, value, status, stamp)
     return out.select(*previous.columns).distinct()

@@ -141,11 +141,12 @@ def current_groups(inputs: Inputs, config: Config = Config()) -> DataFrame:
 def _shared_latest(inputs: Inputs, config: Config) -> DataFrame:
     """Records that are latest for either side, with departments and one flag per side.
 
-    Both sides read the same people, so the account join, the ranking and the department join run
-    once.
+    Both sides read the same people. The account join is written down, because the ranking reads it
+    twice (best dates per account, then the rows); ranking and department join run once.
     """
     workers = enrich.worker_rows(inputs.workforce)
     base = _with_accounts(workers, inputs, config, ("esd_isactive",), staged=True)
+    base = materialise(base, "base")
     flagged = flag_latest(
         base,
         ["okta_users_id"],
@@ -174,9 +175,10 @@ def _shared_latest(inputs: Inputs, config: Config) -> DataFrame:
 def run(inputs: Inputs, config: Config = Config()) -> DataFrame:
     """The whole chain: both assignments, their reconciliation and the mart.
 
-    Three relations are written to the shared folder and read back (the directory, the latest
-    records, the reconciled rows), besides two narrow lists of contested keys and the distinct time
-    stamps. Duplicates are removed once, at the end, because no join before it multiplies them.
+    Written to the shared folder and read back: workers with accounts, the directory, the latest
+    records, both sides after their rules, the reconciled rows, besides narrow lists (contested keys,
+    lookups, distinct time stamps). The comparison reads each side twice, so that its joins and rules
+    run once. Duplicates are removed once, at the end, because no join before it multiplies them.
     """
     latest = _shared_latest(inputs, config)
     flags = ("__previous", "__current")
@@ -188,8 +190,8 @@ def run(inputs: Inputs, config: Config = Config()) -> DataFrame:
     current = _as_current(latest.where("__current").drop(*flags), inputs, config)
     current = current.select(*[c for c in ASSIGNMENT_COLUMNS if c != "user_group_status"])
     changes = reconcile_rows(
-        previous.select(*ASSIGNMENT_COLUMNS),
-        current,
+        materialise(previous.select(*ASSIGNMENT_COLUMNS), "previous"),
+        materialise(current, "current"),
         mode=config.mode,
         staged=True,
         hot_rows=config.hot_rows,

@@ -18,10 +18,11 @@ from rostersync.operators.joins import (
     with_active_account,
 )
 from rostersync.operators.rulesets import SCHOOL_MODELS
-from rostersync.operators.staging import broadcast_if_small
+from rostersync.operators.staging import broadcast_if_small, materialise
 
-# Columns of an assignment row that tell rows apart and that every step reads anyway.
-PERSON = ("workday_employee_number", "okta_users_id")
+# Columns of an assignment row that tell rows apart and that every step reads anyway; the last two also
+# tell apart rows with neither number nor account.
+PERSON = ("workday_employee_number", "okta_users_id", "okta_email", "lst_updt_ts")
 
 # Worker columns, as input name -> output name.
 _WORKER_NAMES = {
@@ -196,7 +197,7 @@ def user_groups(lookup: DataFrame) -> DataFrame:
 
 def lookup_group(workers: DataFrame, groups: DataFrame, literal: bool = False) -> DataFrame:
     """Group by exact title and department pattern; every match gives a row."""
-    return join_lookup(workers, broadcast_if_small(groups), literal=literal)
+    return join_lookup(workers, broadcast_if_small(materialise(groups, "lookup")), literal=literal)
 
 
 def apply_overrides(
@@ -208,9 +209,14 @@ def apply_overrides(
 ) -> DataFrame:
     """Replace the group of the people listed in ``overrides`` (``key``, ``override_group``).
 
-    Addresses compare exactly. An address listed twice takes the smallest group.
+    Addresses compare exactly. Of an address listed twice the row with the smallest ``priority`` counts
+    (its place in the list; NULL last), the smallest group among equals or where there is no such column.
     """
-    side = overrides.groupBy(F.col(key).alias("__who")).agg(F.min("override_group").alias("__override"))
+    place = [F.col("priority").isNull(), F.col("priority")] if "priority" in overrides.columns else []
+    first = F.min_by("override_group", F.struct(*place, F.col("override_group")))
+    side = overrides.groupBy(F.col(key).alias("__who")).agg(first.alias("__override"))
+    # Staged first: asking for the size of a derived relation would compute it twice.
+    side = materialise(side, "overrides")
     return (
         attach(df, broadcast_if_small(side), {key: "__who"}, spread_by=spread_by)
         .withColumn(value, F.coalesce("__override", F.col(value)))

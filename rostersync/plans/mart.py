@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rostersync.operators.joins import exists_flag
 from rostersync.operators.rank import global_dense_rank
-from rostersync.operators.staging import materialise
+from rostersync.operators.staging import broadcast_if_small, materialise
 from rostersync.plans.enrich import PERSON, user_groups
 from rostersync.sources.schemas import ASSIGNMENT_COLUMNS, MART_COLUMNS
 
@@ -26,9 +26,11 @@ def group_type(
     """
     name = F.col("group_name")
     names = user_groups(lookup).select((F.trim(name) if trim_both else name).alias("group_name"))
+    # About a hundred names, each on many rows: if they are few, no row is shuffled by them.
+    names = materialise(names.where(F.col("group_name").isNotNull()).distinct(), "group-names")
     flagged = exists_flag(
         df,
-        names.where(F.col("group_name").isNotNull()),
+        broadcast_if_small(names),
         {"looker_user_group": "group_name"},
         "__net",
         spread_by=spread_by,
