@@ -7,12 +7,16 @@ first, overlaps per pair in the end.
 1. Texts with equal sets are one node.
 2. Two sets with a Jaccard similarity of t share their first k common n-grams within the first
    n - ceil(t n) + k of either. So a text with fewer shared n-grams there than k has no partner.
-3. Of the texts left, all n-grams are counted per fragment among themselves; a text needs ceil(t n) that
-   another one has, too.
+3. Of the texts left, all n-grams are counted among themselves; a text needs ceil(t n) that another one
+   has, too.
 4. Those that are left are grouped by the rarest n-grams they share (again a prefix, now by frequency).
    In each group all are compared with one of them; for what is then still apart within a group, pairs
    are made of n-grams that the one in the middle does not have. Groups of near copies thus cost a few
    comparisons per text, and no link between classes is lost.
+
+An n-gram that very many texts have is no hot group: in step 2 a task counts what its own texts share and
+sends one row for such an n-gram; in step 3 counting combines in the tasks, and the join that gives the
+counts back is one whose hot partitions adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ FRAGMENT_DOCS, LEAST_FRAGMENTS = 4096, 64
 #: Fragments in which overlaps of pairs are counted.
 OVERLAP_FRAGMENTS = 4
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
+#: Rows of step 2: an n-gram of a node, an n-gram known to be shared, a node with a count (as ``gram``).
+OWN, KNOWN, COUNTED = 0, 1, 2
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -94,14 +100,30 @@ def _describe(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(node.view(np.int64))], names=["doc_id", "text_key", "n", "node"])
 
 
-def _fragment_rows(value: np.ndarray, node: np.ndarray, fragments: int) -> pa.RecordBatch:
-    """Fragments are ranges of the global order, which is that of the hashes."""
-    fragment = ((value >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(fragment), pa.array(value.view(np.int64)), pa.array(node.view(np.int64))], names=["fragment", "gram", "node"])
+def _distinct(gram: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (n-gram, node), and for each the number of nodes its n-gram has."""
+    order = np.lexsort((node, gram))
+    gram, node = gram[order], node[order]
+    new = np.ones(len(gram), bool)
+    new[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
+    gram, node = gram[new], node[new]
+    begin = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])[: len(gram)])
+    nodes = np.diff(np.append(begin, len(gram)))
+    return gram, node, np.repeat(nodes, nodes)
+
+
+def _counted(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    node, n = np.unique(node, return_counts=True)
+    return node, n.astype(np.int64)
 
 
 def _prefixes(batches: Iterable[pa.RecordBatch], size: int, t: Fraction, fragments: int) -> Iterator[pa.RecordBatch]:
-    """N-grams of the prefixes. Copies within a task are sent once."""
+    """N-grams of the prefixes, each to its fragment (a range of the global order, that of the hashes).
+
+    What a slice of texts shares is counted here: the nodes get their counts, and one row tells the
+    fragment that the n-gram is shared. Copies within a task are sent once. A node whose copies lie in
+    several tasks may get too high a count, never one too low.
+    """
     sent: set[int] = set()
     for batch in slices(batches, 0, 8 << 20):
         value, n, node = shingle_sets(_texts(batch.column(0)), size)
@@ -113,38 +135,33 @@ def _prefixes(batches: Iterable[pa.RecordBatch], size: int, t: Fraction, fragmen
         owner = np.repeat(np.arange(len(n)), n)
         place = np.arange(len(value)) - np.repeat(np.cumsum(n) - n, n)
         taken = place < length[owner]
-        yield _fragment_rows(value[taken], node[owner[taken]], fragments)
-
-
-def _whole(batches: Iterable[pa.RecordBatch], size: int, fragments: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 0, 4 << 20):
-        value, n, node = shingle_sets(_texts(batch.column(0)), size)
-        yield _fragment_rows(value, np.repeat(node, n), fragments)
-
-
-def _shared(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a fragment the n-grams that at least two nodes have: n-gram, node, number of nodes."""
-    gram, node = table["gram"].to_numpy(), table["node"].to_numpy()
-    order = np.lexsort((node, gram))
-    gram, node = gram[order], node[order]
-    new = np.ones(len(gram), bool)
-    new[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
-    gram, node = gram[new], node[new]
-    begin = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-    nodes = np.repeat(np.diff(np.append(begin, len(gram))), np.diff(np.append(begin, len(gram))))
-    twice = nodes > 1
-    return gram[twice], node[twice], nodes[twice]
+        gram, node, nodes = _distinct(value[taken], node[owner[taken]])
+        known = np.unique(gram[nodes > 1])
+        counted, counts = _counted(node[nodes > 1])
+        gram, node = gram[nodes == 1], node[nodes == 1]
+        value = np.concatenate([gram, known, counts.view(np.uint64)])
+        kind = np.repeat(np.array([OWN, KNOWN, COUNTED], np.int8), [len(gram), len(known), len(counts)])
+        place = np.concatenate([gram, known, counted])
+        fragment = ((place >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
+        node = np.concatenate([node, known, counted])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(fragment), pa.array(kind), pa.array(value.view(np.int64)), pa.array(node.view(np.int64))], names=["fragment", "kind", "gram", "node"]
+        )
 
 
 def _count_shared(table: pa.Table) -> pa.Table:
-    _, node, _ = _shared(table)
-    node, n = np.unique(node, return_counts=True)
-    return pa.table({"node": node, "shared": n.astype(np.int64)})
+    """A fragment's partial counts: per node its n-grams that another node has, too."""
+    gram, node, kind = table["gram"].to_numpy(), table["node"].to_numpy(), table["kind"].to_numpy()
+    counted, counts, known = node[kind == COUNTED], gram[kind == COUNTED], np.unique(gram[kind == KNOWN])
+    gram, node, nodes = _distinct(gram[kind == OWN], node[kind == OWN])
+    node, n = _counted(node[(nodes > 1) | np.isin(gram, known)])
+    return pa.table({"node": np.concatenate([node, counted]), "shared": np.concatenate([n, counts])})
 
 
-def _list_shared(table: pa.Table) -> pa.Table:
-    gram, node, nodes = _shared(table)
-    return pa.table({"node": node, "gram": gram, "nodes": nodes.astype(np.int64)})
+def _whole(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 0, 4 << 20):
+        value, n, node = shingle_sets(_texts(batch.column(0)), size)
+        yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(np.repeat(node, n).view(np.int64))], names=["gram", "node"])
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -196,23 +213,27 @@ def _classes(groups: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]
 def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str, size: int, t: Fraction) -> DataFrame:
     """Links (a, b) between nodes that connect exactly what all links connect."""
     fragments = max(LEAST_FRAGMENTS, -(-described.count() // FRAGMENT_DOCS))
-    rows = "fragment int, gram long, node long"
     texts = docs.select(col(text).cast("string").alias("text"))
     # Step 2.
-    prefixes = texts.mapInArrow(partial(_prefixes, size=size, t=t, fragments=fragments), rows)
+    prefixes = texts.mapInArrow(partial(_prefixes, size=size, t=t, fragments=fragments), "fragment int, kind byte, gram long, node long")
     shared = prefixes.groupBy("fragment").applyInArrow(_count_shared, "node long, shared long")
     shared = shared.groupBy("node").agg(F.sum("shared").alias("shared"))
     need = F.ceil(F.col("n") * t.numerator / t.denominator).cast("long")
-    nodes = described.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("n").alias("n"))
+    nodes = described.filter("n > 0").groupBy("node", "doc_id", "text_key").agg(F.first("n").alias("n"), F.count("*").alias("rows"))
+    nodes = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "text_key", "rows")).alias("rep"), F.first("n").alias("n"))
     left = materialise(
-        nodes.join(shared, "node").filter(F.col("shared") >= 1 + F.floor(need / MORE)).select("node", "n", "rep.doc_id", "rep.text_key"), "ngram-left"
+        nodes.join(shared, "node").filter(F.col("shared") >= 1 + F.floor(need / MORE)).select("node", "n", "rep.*"), "ngram-left"
     )
     # Step 3. One text per node.
     body = docs.select(col(doc_id).alias("id"), F.xxhash64(col(text)).alias("key"), col(text).cast("string").alias("text"))
-    few = broadcast_if_small(left.select("doc_id", "text_key"))
-    whole = body.join(few, body["id"].eqNullSafe(left["doc_id"]) & (body["key"] == left["text_key"]), "left_semi").select("text")
-    whole = whole.mapInArrow(partial(_whole, size=size, fragments=fragments), rows)
-    grams = whole.groupBy("fragment").applyInArrow(_list_shared, "node long, gram long, nodes long")
+    few = broadcast_if_small(left.select("doc_id", "text_key", "rows"))
+    whole = body.join(few, body["id"].eqNullSafe(left["doc_id"]) & (body["key"] == left["text_key"]))
+    once = whole.filter("rows = 1")
+    if not left.filter("rows > 1").isEmpty():
+        once = once.unionByName(whole.filter("rows > 1").dropDuplicates(["id", "key"]))
+    grams = materialise(once.select("text").mapInArrow(partial(_whole, size=size), "gram long, node long"), "ngram-grams")
+    often = grams.groupBy("gram").agg(F.count("*").alias("nodes")).filter("nodes > 1")
+    grams = grams.join(often, "gram")
     # From here a row per text: its shared n-grams, the rarest first, and by ranges of the global order.
     sets = grams.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("nodes", "gram"))).alias("shared"), F.sum("nodes").alias("weight"))
     sets = sets.join(left.select("node", "n"), "node").filter(F.size("shared") >= need)

@@ -263,7 +263,7 @@ def test_similar_documents_against_all_pairs(spark, odd):
             texts.append(" ".join(words))
     hot = " ".join(f"h{i}" for i in range(60))
     texts += [hot + " " + " ".join(f"u{k}x{i}" for i in range(8 + k % 12)) for k in range(40)] + texts[:20]
-    rows = [(i, t) for i, t in enumerate(texts)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(i, texts[i]) for i in (0, 0, 0, 30)]
     found = {r["doc_id"]: r for r in similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
     sets = [shingles(t) for t in texts]
     links = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
