@@ -39,8 +39,9 @@ from rostersync.operators.staging import broadcast_if_small, materialise
 
 #: The prefix of step 2 is longer by a 10th of the set, and so many more n-grams must be shared.
 MORE = 10
-#: Documents whose n-grams make up a fragment.
-FRAGMENT_DOCS, LEAST_FRAGMENTS = 4096, 64
+#: Documents whose n-grams make up a fragment, and the ranges of the global order that a fragment holds.
+#: Prefixes lie in the lower part of the order, so that a fragment of one range could be full or empty.
+FRAGMENT_DOCS, LEAST_FRAGMENTS, RANGES = 1024, 256, 32
 #: Fragments in which overlaps of pairs are counted.
 OVERLAP_FRAGMENTS = 4
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -118,7 +119,7 @@ def _counted(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefixes(batches: Iterable[pa.RecordBatch], size: int, t: Fraction, fragments: int) -> Iterator[pa.RecordBatch]:
-    """N-grams of the prefixes, each to its fragment (a range of the global order, that of the hashes).
+    """N-grams of the prefixes, each to its fragment (ranges of the global order, that of the hashes).
 
     What a slice of texts shares is counted here: the nodes get their counts, and one row tells the
     fragment that the n-gram is shared. Copies within a task are sent once. A node whose copies lie in
@@ -142,7 +143,7 @@ def _prefixes(batches: Iterable[pa.RecordBatch], size: int, t: Fraction, fragmen
         value = np.concatenate([gram, known, counts.view(np.uint64)])
         kind = np.repeat(np.array([OWN, KNOWN, COUNTED], np.int8), [len(gram), len(known), len(counts)])
         place = np.concatenate([gram, known, counted])
-        fragment = ((place >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
+        fragment = (((place >> np.uint64(32)) * np.uint64(fragments * RANGES) >> np.uint64(32)) % np.uint64(fragments)).astype(np.int32)
         node = np.concatenate([node, known, counted])
         yield pa.RecordBatch.from_arrays(
             [pa.array(fragment), pa.array(kind), pa.array(value.view(np.int64)), pa.array(node.view(np.int64))], names=["fragment", "kind", "gram", "node"]
