@@ -23,6 +23,8 @@ STEPS, HIDDEN = 64, 8
 #: Bounds of the training sample: rows per language, and the characters read of each (a window of the
 #: text at a hashed place).
 SAMPLE_ROWS, SAMPLE_CHARS = 800, 320
+#: Parts of the key in which a language's sample is narrowed down before one task sorts the rest.
+SAMPLE_PARTS = 64
 MOST_LANGUAGES = 256
 ROUNDS, BATCH, RATE = 400, 256, 0.02
 WIDTH = 4096
@@ -221,8 +223,10 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         hash_key(col(doc_id), body, seed=3).alias("key"),
         F.substring(body, (F.pmod(F.xxhash64(body), F.greatest(F.length(body) - SAMPLE_CHARS, F.lit(0)) + 1) + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("window"),
     )
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    sample = rows.withColumn("place", place).filter(F.col("place") <= SAMPLE_ROWS)
+    sample = rows.withColumn("part", F.pmod("key", F.lit(SAMPLE_PARTS)))
+    for by in (("lang", "part"), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("key"))
+        sample = sample.withColumn("place", place).filter(F.col("place") <= SAMPLE_ROWS)
     found = sample.select("lang", "key", F.col("window").cast("binary").alias("window")).limit(MOST_LANGUAGES * SAMPLE_ROWS).collect()
     if not found:
         return None
