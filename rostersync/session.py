@@ -22,9 +22,15 @@ def build_session(
     app: str = "rostersync",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    input_bytes: int | None = None,
     **extra: str,
 ) -> SparkSession:
-    """A session with adaptive execution on; on a cluster leave ``master`` to spark-submit."""
+    """A session with adaptive execution on; on a cluster leave ``master`` to spark-submit.
+
+    ``input_bytes`` sets the shuffle partitions for an input of that size, unless they are given.
+    """
+    if input_bytes and not shuffle_partitions:
+        shuffle_partitions = partitions_for(input_bytes)
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
