@@ -29,6 +29,8 @@ MOST_LANGUAGES = 256
 ROUNDS, BATCH, RATE = 400, 256, 0.02
 WIDTH = 4096
 UNDETERMINED = "und"
+#: How far from chance to certainty a score must come for a document to stay: 0.3 for four languages.
+LEAD = 1 / 15
 
 
 def sigmoid(x: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
@@ -263,8 +265,20 @@ def identify(docs: DataFrame, model: tuple[Weights, list[str]] | None, text: str
     return rows.mapInArrow(run, schema).select("row.*", "lang_pred", "score")
 
 
-def in_known_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.3) -> DataFrame:
-    """The input without documents whose language is undetermined or scores below ``least``."""
+def least_score(languages: int, lead: float) -> float:
+    """The score that is ``lead`` of the way from chance to 1; a single language's score is always 1."""
+    chance = 1 / languages
+    return min(chance + lead * (1 - chance), 1 - 1e-6)
+
+
+def in_known_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", lead: float = LEAD) -> DataFrame:
+    """The input without documents whose language is undetermined or scores below ``least_score``.
+
+    Without a model (no row may be learned from) no language can be told: all documents with a letter stay.
+    """
     names = tuple(docs.columns)
-    named = identify(docs.select(F.struct(*[col(c) for c in names]).alias("row"), col(text).alias("text")), fit(docs, doc_id, text, lang), "text", ("row",))
-    return named.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select("row.*")
+    model = fit(docs, doc_id, text, lang)
+    if model is None:
+        return docs.filter(has_letter(col(text)))
+    named = identify(docs.select(F.struct(*[col(c) for c in names]).alias("row"), col(text).alias("text")), model, "text", ("row",))
+    return named.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score(len(model[1]), lead))).select("row.*")

@@ -275,3 +275,11 @@ def test_similar_documents_against_all_pairs(spark, odd):
     kept = one_of_each(odd)
     assert kept.columns == odd.columns
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([None, 0, 1, 2, 3, 4, 6, *range(8, 15)])
+
+
+def test_least_score_follows_the_number_of_languages(spark):
+    assert [round(language.least_score(n, language.LEAD), 3) for n in (2, 3, 4, 100)] == [0.533, 0.378, 0.3, 0.076]
+    assert language.least_score(1, language.LEAD) < 1
+    docs = spark.createDataFrame([(1, "words", None), (2, "mehr Wörter", None), (3, "12 3", None), (4, None, None)], "doc_id long, text string, lang string")
+    assert language.fit(docs) is None
+    assert sorted(r["doc_id"] for r in language.in_known_language(docs).collect()) == [1, 2]
