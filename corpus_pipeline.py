@@ -21,8 +21,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that three sources or more share stay in their first document only."""
-    return without_shared_lines(docs, min_sites=3)
+    """Lines that two sources or more share stay in their first document only."""
+    return without_shared_lines(docs, min_sites=2)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

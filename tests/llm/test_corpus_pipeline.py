@@ -1,0 +1,12 @@
+"""The stages of the corpus pipeline on small tables."""
+
+import corpus_pipeline
+
+
+def test_lines_of_two_sources_stay_once(spark):
+    shared = "a passage that two sites hold word for word"
+    docs = [(1, f"{shared}\nfirst page", "a"), (2, f"second page\n{shared}", "b"), (3, "third page\ntwice here\ntwice here", "a")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    # Repeats within one source are outside the method.
+    assert kept == {1: f"{shared}\nfirst page", 2: "second page", 3: "third page\ntwice here\ntwice here"}
