@@ -166,7 +166,7 @@ def _whole(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) -> with ``common``, ``n_a`` and ``n_b``: overlaps per fragment, summed per pair."""
+    """(a, b) -> with ``common``, ``n_a`` and ``n_b``: overlaps per slice of the order, added up within the pair's row."""
     side = lambda name, parts: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("parts").alias(parts))
     partial_ = F.zip_with("x", "y", lambda p, q: F.size(F.array_intersect(p, q)).cast("long"))
     # Few pairs, as there mostly are, save moving all sets.
