@@ -25,6 +25,7 @@ STEPS, HIDDEN = 64, 8
 SAMPLE_ROWS, SAMPLE_CHARS = 800, 320
 #: Parts of the key in which a language's sample is narrowed down before one task sorts the rest.
 SAMPLE_PARTS = 64
+#: Languages that may give ``SAMPLE_ROWS`` each; with more, each gives fewer.
 MOST_LANGUAGES = 256
 ROUNDS, BATCH, RATE = 400, 256, 0.02
 WIDTH = 4096
@@ -215,7 +216,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     """A network and its languages, or None if no row may be learned from.
 
     Learns from at most ``SAMPLE_ROWS`` rows a language (those with the smallest hash of id and text),
-    of each a window of ``SAMPLE_CHARS`` characters.
+    of each a window of ``SAMPLE_CHARS`` characters. Of more than ``MOST_LANGUAGES`` languages each gives
+    fewer, as many as another up to one, so that the sample has ``MOST_LANGUAGES * SAMPLE_ROWS`` rows.
     """
     body = col(text)
     rows = docs.filter(
@@ -229,7 +231,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     for by in (("lang", "part"), ("lang",)):
         place = F.row_number().over(Window.partitionBy(*by).orderBy("key"))
         sample = sample.withColumn("place", place).filter(F.col("place") <= SAMPLE_ROWS)
-    found = sample.select("lang", "key", F.col("window").cast("binary").alias("window")).limit(MOST_LANGUAGES * SAMPLE_ROWS).collect()
+    found = sample.select("lang", "key", F.col("window").cast("binary").alias("window"), "place")
+    # Every language's first rows before any language's next ones, so all lose alike.
+    found = found.orderBy("place", "lang").limit(MOST_LANGUAGES * SAMPLE_ROWS).collect()
     if not found:
         return None
     found.sort(key=lambda r: (r["lang"], r["key"], bytes(r["window"])))

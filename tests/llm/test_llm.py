@@ -283,3 +283,16 @@ def test_least_score_follows_the_number_of_languages(spark):
     docs = spark.createDataFrame([(1, "words", None), (2, "mehr Wörter", None), (3, "12 3", None), (4, None, None)], "doc_id long, text string, lang string")
     assert language.fit(docs) is None
     assert sorted(r["doc_id"] for r in language.in_known_language(docs).collect()) == [1, 2]
+
+
+def test_a_full_sample_holds_every_language(spark, monkeypatch):
+    names = [f"l{i:02}" for i in range(12)]
+    docs = spark.createDataFrame([(i, f"text number {i}", names[i * i % 12 if i % 3 else i % 12]) for i in range(600)], "doc_id long, text string, lang string")
+    present = {r["lang"] for r in docs.filter(~language.held_out(F.col("doc_id"))).select("lang").distinct().collect()}
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 20)
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 1)
+    monkeypatch.setattr(language, "train", lambda texts, labels, n: Counter(labels.tolist()))
+    runs = [language.fit(docs.repartition(n)) for n in (2, 7)]
+    counts, languages = runs[0]
+    assert runs[0] == runs[1] and set(languages) == present and sum(counts.values()) == 20
+    assert max(counts.values()) - min(counts.values()) <= 1
