@@ -1,6 +1,17 @@
 """The stages of the corpus pipeline on small tables."""
 
+from collections import Counter, defaultdict
+
 import corpus_pipeline
+import duckdb
+import pytest
+from test_llm import brute_components, shingles
+
+from rostersync.llm import language, oracle
+from rostersync.llm.line_spread import BLANKS
+from rostersync.llm.queries import tokenizer_path
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_lines_of_two_sources_stay_once(spark):
@@ -10,3 +21,74 @@ def test_lines_of_two_sources_stay_once(spark):
     kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, "").collect()}
     # Repeats within one source are outside the method.
     assert kept == {1: f"{shared}\nfirst page", 2: "second page", 3: "third page\ntwice here\ntwice here"}
+
+
+def known(docs, model):
+    weights, languages = model
+    texts = [d["text"] for d in docs]
+    best = language.document_probabilities(weights, [(t or "").encode() for t in texts]).max(axis=1)
+    return [d for d, p in zip(docs, best, strict=True) if any(c.isalpha() for c in d["text"] or "") and p >= language.least_score(len(languages), language.LEAD)]
+
+
+def once(docs):
+    """Lines of two sources or more stay in their first document; documents that lose all words go."""
+    sites, first = defaultdict(set), {}
+    for d in sorted(docs, key=lambda d: d["doc_id"]):
+        for i, line in enumerate(d["text"].split("\n")):
+            sites[line.strip(BLANKS)] |= {d["source"]} - {None}
+            first.setdefault(line.strip(BLANKS), (d["doc_id"], i))
+    found = []
+    for d in docs:
+        lines = [(i, x, x.strip(BLANKS)) for i, x in enumerate(d["text"].split("\n"))]
+        left = [x for i, x, key in lines if not key or len(sites[key]) < 2 or first[key] == (d["doc_id"], i)]
+        text = "\n".join(left)
+        if len(left) == len(lines) or text.split():
+            found.append(d | {"text": text, "n_chars": d["n_chars"] if len(left) == len(lines) else len(text)})
+    return found
+
+
+def apart(docs):
+    docs = sorted(docs, key=lambda d: d["doc_id"])
+    sets = [shingles(d["text"]) for d in docs]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    root = brute_components(len(sets), links)
+    return [d for i, d in enumerate(docs) if root[i] == i]
+
+
+def mixed(docs):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [[d["doc_id"], d["text"], d["source"]] for d in docs])
+    copies = {i: taken // size for i, size, _, _, taken in con.execute(oracle.MIX).fetchall()}
+    return [d for d in docs for _ in range(copies[d["doc_id"]])]
+
+
+def as_counts(docs):
+    return Counter(tuple(sorted(d.items())) for d in docs)
+
+
+def test_run_against_brute_force(spark, tmp_path, monkeypatch):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = [r.asDict() for r in docs.collect()]
+    copy = rows[0] | {"doc_id": 10_003, "source": "elsewhere", "text": rows[0]["text"] + " end"}
+    rows += [rows[0] | {"doc_id": 10_001, "text": "123 456"}, rows[0] | {"doc_id": 10_002, "text": None}, copy]
+    spark.createDataFrame([tuple(r[c] for c in docs.columns) for r in rows], docs.schema).write.parquet(f"{tmp_path}/documents.parquet")
+    made, write = {}, corpus_pipeline.materialise
+
+    def keep(df, label):
+        made[label.removeprefix("pipeline-")] = write(df, label)
+        return made[label.removeprefix("pipeline-")]
+
+    monkeypatch.setattr(corpus_pipeline, "materialise", keep)
+    last = [r.asDict() for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    made = {name: [r.asDict() for r in df.collect()] for name, df in made.items()}
+    model = language.fit(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    before = rows
+    for name, want in {"language": lambda d: known(d, model), "lines": once, "near_duplicates": apart, "mixing": mixed}.items():
+        assert as_counts(made[name]) == as_counts(want(before)), name
+        before = made[name]
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    want = Counter((d["doc_id"], d["lang"], d["source"], tuple(library.encode(d["text"]))) for d in before)
+    assert Counter((r["doc_id"], r["lang"], r["source"], tuple(r["piece_ids"])) for r in last) == want
+    assert len(made["language"]) < len(rows) and len(made["near_duplicates"]) < len(made["language"])
