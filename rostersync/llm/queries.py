@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rostersync.llm import chunk_reuse
 from rostersync.llm import oracle as O
 from rostersync.llm.common import n_words
 from rostersync.llm.host_rules import judge
@@ -109,3 +110,14 @@ def op9_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"), size=5, least="0.8")
+
+
+@register()
+def op12_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("word_bpe_49k.json")
+    tokens = chunk_reuse.decode(chunk_reuse.encode(_table(spark, sf_dir, "documents"), path), path)
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")
+    return tokens.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
