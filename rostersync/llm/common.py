@@ -8,6 +8,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: int, most_bytes: int = 16 <<
     A longer text makes a slice of its own; no text is cut.
     """
     for batch in batches:
-        sizes = np.array([0 if x is None else x for x in pa.compute.binary_length(batch.column(text)).to_pylist()], np.int64)
+        sizes = np.array([0 if x is None else x for x in pc.binary_length(batch.column(text)).to_pylist()], np.int64)
         start, held = 0, 0
         for i, size in enumerate(sizes.tolist()):
             if held and held + size > most_bytes:
