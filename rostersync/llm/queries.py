@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rostersync.llm import chunk_reuse
 from rostersync.llm import oracle as O
 from rostersync.llm.common import n_words
+from rostersync.llm.conversations import repair
 from rostersync.llm.host_rules import judge
 from rostersync.llm.interleave import interleave
 from rostersync.llm.language import fit, held_out, identify
@@ -121,3 +122,34 @@ def op12_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Faults put in by the rows' own checksums; nulls read as one space (a null turn stays one where rows are put in order)."""
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    what = F.crc32(name.cast("binary")) % 20
+    return (
+        conversations.select("conv_id", "turn", what.alias("what"), role.alias("role"), text.alias("text"))
+        .filter("what <> 0")
+        .select(
+            "conv_id", "turn", F.when(F.col("what") == 4, "user").otherwise(F.col("role")).alias("role"),
+            F.when(F.col("what") == 1, "").when(F.col("what") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+            F.explode(F.array_repeat(F.lit(0), F.when(F.col("what") == 3, 2).otherwise(1))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+@register()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    lines = F.transform("repaired", lambda turn: F.concat(F.coalesce(turn["role"], F.lit("")), F.lit(":"), F.coalesce(turn["text"], F.lit(""))))
+    mended = repair(damaged(conversations)).select(
+        F.col("conv_id").alias("c"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.sha2(F.array_join(lines, "\n").cast("binary"), 256).alias("repaired_sha256"),
+    )
+    every = conversations.select("conv_id").distinct()
+    none = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    none |= {"audit": F.coalesce("audit", F.lit("")), "repaired_sha256": F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256))}
+    return every.join(mended, F.col("conv_id").eqNullSafe(F.col("c")), "left").select("conv_id", *[v.alias(k) for k, v in none.items()])
