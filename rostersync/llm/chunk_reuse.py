@@ -34,10 +34,10 @@ from tokenizers import Tokenizer
 from rostersync.llm.common import col, slices
 
 WINDOW = 32  # bytes that a cut depends on
-LEAST, MOST = 128, 2048  # bytes of a chunk, but for the last of a text
-BITS = 8  # one place in 2^BITS is a cut
+LEAST, MOST = 192, 2048  # bytes of a chunk, but for the last of a text
+BITS = 9  # one place in 2^BITS is a cut
 DICTIONARY = 16_384  # chunks that are broadcast, each of at most MOST bytes and as many ids
-CACHE, CHUNK_CACHE = 600_000, 8_192  # words and chunks that a worker remembers
+CACHE, CHUNK_CACHE = 400_000, 4_096  # words and chunks that a worker remembers
 END = (b".", b",", b"!", b"?", b";", b":")
 BLOCK = 4 << 20  # bytes hashed at once
 
@@ -331,17 +331,34 @@ def _added(kept: StructType, name: str, kind) -> StructType:
     return StructType([*kept.fields]).add(name, kind)
 
 
+class Names:
+    """Token names by id, and the library's decoding of a list of ids."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer, self.own = tokenizer, json.loads(tokenizer.to_str()).get("decoder") is not None
+        self.names = {} if self.own else {i: t for t, i in tokenizer.get_vocab().items()}
+
+    def decode(self, ids: list[int | None]) -> str:
+        if self.own:
+            return self.tokenizer.decode([i for i in ids if i is not None and i >= 0], skip_special_tokens=False)
+        try:
+            return " ".join(map(self.names.__getitem__, ids))
+        except KeyError:
+            return " ".join(self.names[i] for i in ids if i in self.names)
+
+
 def encode(
-    docs: DataFrame, tokenizer_file: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), most: int = DICTIONARY
+    docs: DataFrame, tokenizer_file: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), most: int = DICTIONARY, decoded: bool = False
 ) -> DataFrame:
     """``keep`` and ``token_ids`` (array of int) of every whole text, as the library gives them.
 
     No special tokens are added; their strings inside a text become their ids, as the library does by
     default; there is no truncation or padding. Null and empty texts have no ids: an empty array. One row
     per input row, repeated or not; an empty table gives none. Nulls in kept columns stay, all other
-    columns are not looked at, and a kept column called ``token_ids`` is refused. ``most`` chunks of at
+    columns are not looked at, and a kept column called like a result is refused. ``most`` chunks of at
     most ``MOST`` bytes are broadcast with their ids; any other shared chunk is encoded where it is met.
     Tokenizer files whose ids might depend on what lies beyond white space are refused (``check_model``).
+    ``decoded`` adds what ``decode`` gives for the ids, without handing them to another worker.
     """
     with open(tokenizer_file, encoding="utf-8") as file:
         model = file.read()
@@ -350,16 +367,21 @@ def encode(
     reuse = docs.sparkSession.sparkContext.broadcast(Reuse(model, dictionary(texts, model, most)))
     rows = docs.select(*map(col, keep), col(text).cast("string").alias("__text"))
     schema = _added(StructType(rows.schema.fields[:-1]), "token_ids", ArrayType(IntegerType()))
+    if decoded:
+        schema = _added(schema, "decoded", StringType())
     at = len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = reuse.value.open()
+        names = Names(opened.tokenizer) if decoded else None
         for batch in slices(batches, at, 4 << 20):
             ids = [*map(opened.encode, _texts(batch, at))]
             ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
             flat = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], lists], names=schema.names)
+            columns = [*batch.columns[:at], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
+            if names:
+                columns.append(pa.array([names.decode(np.frombuffer(x, "<i4").tolist()) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -373,29 +395,17 @@ def decode(tokens: DataFrame, tokenizer_file: str, token_ids: str = "token_ids",
     """
     with open(tokenizer_file, encoding="utf-8") as file:
         model = file.read()
-    own_decoder = json.loads(model).get("decoder") is not None
     shared = tokens.sparkSession.sparkContext.broadcast(Reuse(model, {}))
     rows = tokens.select(*map(col, keep), col(token_ids).cast("array<int>").alias("__ids"))
     schema = _added(_added(StructType(rows.schema.fields[:-1]), "token_ids", ArrayType(IntegerType())), "decoded", StringType())
     at = len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = shared.value.open().tokenizer
-        if not own_decoder:
-            names = {i: t for t, i in tokenizer.get_vocab().items()}
+        names = Names(shared.value.open().tokenizer)
         for batch in batches:
-            decoded: list[str | None] = []
+            texts: list[str | None] = []
             for start in range(0, batch.num_rows, 256):
-                for ids in batch.column(at).slice(start, 256).to_pylist():
-                    if ids is None:
-                        decoded.append(None)
-                    elif own_decoder:
-                        decoded.append(tokenizer.decode([i for i in ids if i is not None and i >= 0], skip_special_tokens=False))
-                    else:
-                        try:
-                            decoded.append(" ".join(map(names.__getitem__, ids)))
-                        except KeyError:
-                            decoded.append(" ".join(names[i] for i in ids if i in names))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: at + 1], pa.array(decoded, pa.string())], names=schema.names)
+                texts += [None if ids is None else names.decode(ids) for ids in batch.column(at).slice(start, 256).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: at + 1], pa.array(texts, pa.string())], names=schema.names)
 
     return rows.mapInArrow(run, schema)

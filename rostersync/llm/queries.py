@@ -20,6 +20,7 @@ from rostersync.llm.mixing import mix
 from rostersync.llm.ngram_join import similar_documents
 from rostersync.llm.pieces import encode
 from rostersync.llm.resample import resample
+from rostersync.llm.spelling import counts, occurrences, variants
 from rostersync.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,10 +114,25 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"), size=5, least="0.8")
 
 
+def misspelt(runs: DataFrame) -> DataFrame:
+    """One run in 97, by its checksum with the document, loses a letter; a null ``doc_id`` reads as an empty one."""
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "word")
+    h = F.crc32(name.cast("binary"))
+    k = (h % F.length("word")).cast("int")
+    shorter = F.concat(F.left("word", k), F.substring("word", k + 2, F.length("word")))
+    return runs.select("doc_id", F.when(h % 97 == 0, shorter).otherwise(F.col("word")).alias("word"))
+
+
+@register()
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs shorter than five letters have no part in it, whether they lose one or not."""
+    runs = misspelt(occurrences(_table(spark, sf_dir, "documents"), least_letters=5))
+    return variants(counts(runs, least_letters=5, least=3))
+
+
 @register()
 def op12_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path("word_bpe_49k.json")
-    tokens = chunk_reuse.decode(chunk_reuse.encode(_table(spark, sf_dir, "documents"), path), path)
+    tokens = chunk_reuse.encode(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), decoded=True)
     ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")
     return tokens.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
