@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -39,6 +41,11 @@ BITS = 9  # one place in 2^BITS is a cut
 DICTIONARY = 16_384  # chunks that are broadcast, each of at most MOST bytes and as many ids
 CACHE, CHUNK_CACHE = 400_000, 4_096  # words and chunks that a worker remembers
 END = (b".", b",", b"!", b"?", b";", b":")
+#: Letters whose UTF-8 forms no normalizer named below changes but for their case: A to Z and U+00C0 to U+00FF without the two signs.
+LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: How byte-level models write bytes: those that print stand for themselves, the others follow from U+0100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_NAMES = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 BLOCK = 4 << 20  # bytes hashed at once
 
 #: Parts of a tokenizer file for which encoding is the same on both sides of ASCII white space.
@@ -123,24 +130,36 @@ def check_model(model: str) -> None:
 class Words(dict):
     """Word (bytes without ASCII white space) -> its ids as bytes of int32.
 
-    When full, the words become the older half, from which those met again come back. What follows an
-    ASCII letter or digit and is a full stop or the like is a pre-token of its own; where the tokenizer
-    lower-cases, so are capitals of words that look like no added token.
+    When full, the words become the older half, from which those met again come back. A word of Latin
+    letters alone is one pre-token, which the model takes without the steps before it; a full stop or the
+    like after it is the next one. All other words go through the library whole.
     """
 
-    def __init__(self, tokenizer: Tokenizer, lowers: bool):
+    def __init__(self, tokenizer: Tokenizer):
         super().__init__()
-        self.tokenizer, self.lowers, self.older = tokenizer, lowers, {}
+        self.tokenizer, self.model, self.older = tokenizer, tokenizer.model, {}
+        spec = json.loads(tokenizer.to_str())
+        self.lowers = '"Lowercase"' in json.dumps(spec.get("normalizer"))
+        pattern = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])[0]["pattern"]["Regex"]
+        # What stands before the run of letters begins with an apostrophe, and no added token is of letters.
+        before, letters, _ = pattern.partition("[\\p{L}]+|")
+        apart = all(x.startswith("'") for x in before.split("|") if x)
+        self.direct = bool(letters) and apart and not any(LATIN.fullmatch(t["content"].encode()) for t in spec["added_tokens"])
+
+    def letters(self, word: bytes) -> bytes:
+        if self.lowers:
+            word = word.decode().lower().encode()
+        return array("i", [t.id for t in self.model.tokenize(word.decode("latin-1").translate(BYTE_NAMES))]).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            if len(word) > 1 and word[-1:] in END and word[-2:-1].isalnum():
+            if self.direct and LATIN.fullmatch(word):
+                ids = self.letters(word)
+            elif self.direct and word[-1:] in END and LATIN.fullmatch(word, 0, len(word) - 1):
                 ids = self[word[:-1]] + self[word[-1:]]
-            elif self.lowers and word.isalnum() and (low := word.lower()) != word:
-                ids = self[low]
             else:
-                ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<i4").tobytes()
+                ids = array("i", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
         if len(self) >= CACHE // 2:
             self.older = dict(self)
             self.clear()
@@ -170,8 +189,7 @@ class Reuse:
             self.tokenizer = Tokenizer.from_str(self.model)
             self.tokenizer.no_truncation()
             self.tokenizer.no_padding()
-            lowers = '"Lowercase"' in json.dumps(json.loads(self.model).get("normalizer"))
-            self.words = Words(self.tokenizer, lowers)
+            self.words = Words(self.tokenizer)
             self.met: dict[bytes, list[bytes | None]] = {}
         return self
 
