@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +36,9 @@ class Config:
     nulls: str = "first"
     null_key: str = "rank"
     # A condition on worker_base columns (other than the title) that previous rows must meet before
-    # they are ranked.
-    previous_filter: Column | None = None
+    # they are ranked; several that must all hold, each on columns of workers or of accounts alone, let
+    # the run drop workers before they meet their accounts.
+    previous_filter: Column | tuple[Column, ...] | None = None
     mode: str = "pairwise"
     literal_lookup: bool = False
     strip_zeros: bool = False
@@ -81,31 +85,67 @@ def _as_current(rows: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
     return grouped
 
 
+def _conditions(config: Config) -> tuple[Column, ...]:
+    given = config.previous_filter
+    return () if given is None else given if isinstance(given, tuple) else (given,)
+
+
+def _previous_filter(config: Config) -> Column:
+    return reduce(Column.__and__, _conditions(config), F.lit(True))
+
+
+def _reads_only(df: DataFrame, condition: Column) -> bool:
+    try:
+        df.select(condition)
+    except AnalysisException:
+        return False
+    return True
+
+
+def _of_workers(workers: DataFrame, inputs: Inputs, config: Config) -> Column | None:
+    """What the filter of the previous side asks of the worker alone; None where a condition mixes both sides.
+
+    A condition on the account alone has one answer for all workers of an account, so it takes no part in
+    choosing among them.
+    """
+    accounts = enrich.account_rows(inputs.accounts)
+    asked = F.lit(True)
+    for condition in _conditions(config):
+        if _reads_only(workers, condition):
+            asked = asked & condition
+        elif not _reads_only(accounts, condition):
+            return None
+    return asked
+
+
 def _with_accounts(
-    workers: DataFrame, inputs: Inputs, config: Config, scope: tuple[str, ...] = (), staged: bool = False
+    workers: DataFrame, inputs: Inputs, config: Config, scopes: Mapping[str, Column], staged: bool = False
 ) -> DataFrame:
-    """Workers and their accounts, workers thinned out before where that is safe.
+    """Workers and their accounts, without the rows that can be no account's latest within any scope.
 
-    A worker row older than another of the same number (and ``scope``) can be no account's latest
-    when the shared order alone decides. Dropping it keeps a number that is hot on both sides of the
-    account join from multiplying.
+    An account's order is the hire date, the account's own last update, the first hire date: among the
+    workers of a number the best tuple of their two dates decides, whatever the account. So the best
+    workers per number and scope are picked by an aggregation first, and a number that is hot on both sides
+    never makes its pairs. Rows without an account id have no such rank where each of them is kept
+    (``null_key="keep_all"``); they are joined apart, without the accounts that have an id.
     """
-    if config.previous_filter is None and config.null_key == "rank":
-        workers = latest_with_ties(
-            workers,
-            ["workday_employee_number", *scope],
-            [F.col("okta_hire_date"), F.col("esd_dateofhire").cast("date")],
-            config.nulls,
-            staged=staged,
-        )
-    return enrich.with_accounts(
-        workers,
-        inputs.accounts,
-        config.strip_zeros,
-        config.hot_rows,
-        config.salts,
-        staged,
-    )
+    dates = [F.col("okta_hire_date"), F.col("esd_dateofhire").cast("date")]
+    flagged = flag_latest(workers, ["workday_employee_number"], dates, scopes, config.nulls, staged)
+    if config.null_key == "keep_all" and staged:
+        flagged = materialise(flagged, "best-workers")
+    best = reduce(Column.__or__, [F.col(name) for name in scopes])
+    options = (inputs.accounts, config.strip_zeros, config.hot_rows, config.salts, staged)
+    base = enrich.with_accounts(flagged.where(best).drop(*scopes), *options)
+    if config.null_key == "keep_all":
+        within = reduce(Column.__or__, [F.coalesce(c, F.lit(False)) for c in scopes.values()])
+        others = flagged.where(~best & within).drop(*scopes)
+        base = base.unionByName(enrich.with_accounts_of_the_lost(others, *options))
+    return base
+
+
+def _all_pairs(workers: DataFrame, inputs: Inputs, config: Config, staged: bool = False) -> DataFrame:
+    """Workers and their accounts, every pair: for a filter that compares the two."""
+    return enrich.with_accounts(workers, inputs.accounts, config.strip_zeros, config.hot_rows, config.salts, staged)
 
 
 def _latest_with_department(base: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
@@ -120,9 +160,12 @@ def _latest_with_department(base: DataFrame, inputs: Inputs, config: Config) ->
 def previous_groups(inputs: Inputs, config: Config = Config()) -> DataFrame:
     """The older assignment: one group per latest account record, inactive people included."""
     workers = enrich.worker_rows(inputs.workforce, rewrite=True).distinct()
-    base = _with_accounts(workers, inputs, config)
-    if config.previous_filter is not None:
-        base = base.where(config.previous_filter)
+    asked = _of_workers(workers, inputs, config)
+    if asked is None:
+        base = _all_pairs(workers, inputs, config)
+    else:
+        base = _with_accounts(workers, inputs, config, {"__previous": asked})
+    base = base.where(_previous_filter(config))
     return _as_previous(_latest_with_department(base, inputs, config), inputs, config)
 
 
@@ -132,7 +175,7 @@ def current_groups(inputs: Inputs, config: Config = Config()) -> DataFrame:
     Keeps the lookup's ``title``, ``department`` and ``group_name`` beside the assignment columns.
     """
     workers = enrich.active_only(enrich.worker_rows(inputs.workforce)).distinct()
-    base = _with_accounts(workers, inputs, config)
+    base = _with_accounts(workers, inputs, config, {"__current": F.lit(True)})
     return _as_current(_latest_with_department(base, inputs, config), inputs, config).select(
         *[c for c in ASSIGNMENT_COLUMNS if c != "user_group_status"], "title", "department", "group_name"
     )
@@ -145,20 +188,24 @@ def _shared_latest(inputs: Inputs, config: Config) -> DataFrame:
     twice (best dates per account, then the rows); ranking and department join run once.
     """
     workers = enrich.worker_rows(inputs.workforce)
-    base = _with_accounts(workers, inputs, config, ("esd_isactive",), staged=True)
+    active = F.col("esd_isactive") == "Yes"
+    asked = _of_workers(workers, inputs, config)
+    if asked is None:
+        base = _all_pairs(workers, inputs, config, staged=True)
+    else:
+        base = _with_accounts(workers, inputs, config, {"__previous": asked, "__current": active}, staged=True)
     base = materialise(base, "base")
     flagged = flag_latest(
         base,
         ["okta_users_id"],
         enrich.latest_order(),
-        {"__previous": config.previous_filter, "__current": F.col("esd_isactive") == "Yes"},
+        {"__previous": _previous_filter(config), "__current": active},
         config.nulls,
         staged=True,
     )
     if config.null_key == "keep_all":
         lost = F.col("okta_users_id").isNull()
-        kept = F.lit(True) if config.previous_filter is None else config.previous_filter
-        active = F.col("esd_isactive") == "Yes"
+        kept = _previous_filter(config)
         flagged = flagged.withColumns(
             {
                 "__previous": F.col("__previous") | (lost & F.coalesce(kept, F.lit(False))),

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostersync.functions.text import name_key, normalise_company, rewrite_title
+from rostersync.functions.text import name_key, normalise_company, rewrite_title, text_key
 from rostersync.operators.aggregate import single_valued
 from rostersync.operators.joins import (
     HOT_ROWS,
     SALTS,
     attach,
+    exists_flag,
     join_identity,
     join_lookup,
     with_active_account,
@@ -89,6 +90,43 @@ def with_accounts(
     ).select(*BASE_COLUMNS)
 
 
+def with_accounts_of_the_lost(
+    workers: DataFrame,
+    accounts: DataFrame,
+    strip_zeros: bool = False,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
+    staged: bool = False,
+) -> DataFrame:
+    """Of renamed workers LEFT JOIN the distinct accounts, the rows without an account id.
+
+    Those are the workers whose number no account has, and the pairs with an account that has no id.
+    Accounts with an id only say whether they have the number, so they make no pair.
+    """
+    rows = account_rows(accounts)
+    numbers = accounts.select(text_key(F.col("employee_number"), strip_zeros).alias("__held_number"))
+    marked = exists_flag(
+        workers.withColumn("__number", text_key(F.col("workday_employee_number"), strip_zeros)),
+        numbers.where(F.col("__held_number").isNotNull()),
+        {"__number": "__held_number"},
+        "__held",
+        spread_by=["okta_hire_date", "esd_dateofhire", "lst_updt_ts"],
+    ).drop("__number")
+    joined = join_identity(
+        marked,
+        rows.where(F.col("okta_users_id").isNull()).withColumn("__paired", F.lit(True)),
+        "workday_employee_number",
+        "employee_number",
+        strip_zeros,
+        hot_rows,
+        salts,
+        staged,
+        spread_by=["okta_hire_date", "esd_dateofhire", "lst_updt_ts"],
+        bucket_by=["okta_lastupdated", "display_name"],
+    )
+    return joined.where(F.col("__paired") | ~F.col("__held")).select(*BASE_COLUMNS)
+
+
 def worker_base(
     workforce: DataFrame,
     accounts: DataFrame,

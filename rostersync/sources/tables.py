@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rostersync.sources.contracts import Typed, conform
 from rostersync.sources.schemas import TABLES
 
 
@@ -24,21 +26,34 @@ def check_columns(df: DataFrame, name: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Sources:
-    """Where the inputs live: a Parquet folder (``root``) or a catalog schema (``schema``)."""
+    """Where the inputs live: a Parquet folder (``root``) or a catalog schema (``schema``).
+
+    ``on_misfit`` says what becomes of values that have no form in the declared type (``contracts.conform``).
+    """
 
     spark: SparkSession
     root: str | None = None
     schema: str | None = None
+    on_misfit: str = "fail"
 
     def load(self, name: str) -> DataFrame:
-        """All columns of one input. Column types are the table's own; readers prune what they use."""
+        """All columns of one input, the declared ones in their types; readers prune what they use."""
+        return self.typed(name).rows
+
+    def rejected(self) -> DataFrame:
+        """Rows of all inputs with values that do not fit: source, problems, row."""
+        found = [self.typed(name).rejected for name in TABLES]
+        return reduce(DataFrame.unionByName, found)
+
+    def typed(self, name: str) -> Typed:
+        """One input and what was rejected of it."""
         if name not in TABLES:
             raise KeyError(f"unknown source {name!r}; known: {', '.join(TABLES)}")
         if self.root is not None:
             df = self.spark.read.parquet(f"{self.root.rstrip('/')}/{name}.parquet")
         else:
             df = self.spark.table(f"{self.schema}.{name}" if self.schema else name)
-        return check_columns(df, name)
+        return conform(check_columns(df, name), TABLES[name], name, self.on_misfit)
 
 
 @dataclass(frozen=True)

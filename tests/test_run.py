@@ -123,6 +123,81 @@ def test_hot_number_on_both_sides_does_not_multiply(spark):
     assert {str(r[0]) for r in out.select("okta_hire_date").distinct().collect()} == {"2013-09-08"}
 
 
+def _unthinned(inputs, config, active):
+    """The rows before departments, from every pair of worker and account, as plain SQL ranks them."""
+    workers = enrich.worker_rows(inputs.workforce).distinct()
+    base = enrich.with_accounts(enrich.active_only(workers) if active else workers, inputs.accounts, config.strip_zeros)
+    if not active:
+        base = base.where(assign._previous_filter(config))
+    base.createOrReplaceTempView("every_pair")
+    keep = "OR okta_users_id IS NULL" if config.null_key == "keep_all" else ""
+    return base.sparkSession.sql(
+        f"""SELECT * EXCEPT (r) FROM (SELECT *, rank() OVER (PARTITION BY okta_users_id ORDER BY okta_hire_date DESC NULLS {config.nulls},
+        date(okta_lastupdated) DESC NULLS {config.nulls}, date(esd_dateofhire) DESC NULLS {config.nulls}) r FROM every_pair) WHERE r = 1 {keep}"""
+    )
+
+
+FILTERS = {
+    "none": None,
+    "worker": lambda: (F.col("esd_isactive") == "Yes") | F.col("exitdate").isNull(),
+    "account": lambda: F.coalesce(F.col("okta_status") == "ACTIVE", F.lit(True)),
+    "both": lambda: (F.col("esd_isactive") == "Yes", F.col("okta_status") != "INACTIVE"),
+    "mixed": lambda: (F.col("okta_hire_date") < F.col("okta_lastupdated")) | F.col("okta_users_id").isNull(),
+}
+
+
+@pytest.mark.parametrize("null_key", ["rank", "keep_all"])
+@pytest.mark.parametrize("kind", FILTERS)
+@pytest.mark.parametrize("seed, nulls, strip_zeros", [(21, "first", False), (22, "last", True)])
+def test_latest_before_the_join_equals_latest_after_it(spark, null_key, kind, seed, nulls, strip_zeros):
+    inputs, _, _ = _case(spark, seed, n=90, hot=0.3)
+    chosen = FILTERS[kind]() if FILTERS[kind] else None
+    config = assign.Config(previous_filter=chosen, null_key=null_key, nulls=nulls, strip_zeros=strip_zeros, hot_rows=5, salts=3)
+    shared = assign._shared_latest(inputs, config)
+    for flag, active in (("__previous", False), ("__current", True)):
+        got = shared.where(flag).select(*[F.col("okta_department_original").alias("okta_department") if c == "okta_department" else c for c in enrich.BASE_COLUMNS]).distinct()
+        want = _unthinned(inputs, config, active).select(*enrich.BASE_COLUMNS)
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect())), flag
+
+
+def _hot_inputs(spark, n, ids, lost):
+    """``n`` rows of one worker's number, ``ids`` accounts of that number with an id and ``lost`` without."""
+    days = F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int"))
+    null = F.lit(None)
+    workforce = spark.range(n).select(
+        F.lit("E0").alias("worker_id"), F.lit("Teacher").alias("business_title"), F.lit("Legal").alias("okta_department"),
+        days.alias("hire_date"), F.lit("Ann").alias("first_name"), F.lit("Lee").alias("last_name"),
+        F.lit("a@example.org").alias("email_address"), F.lit("SA North").alias("company"), null.cast("string").alias("manager"),
+        F.when(F.col("id") % 2 == 0, "Yes").otherwise("No").alias("active"), days.alias("original_hire_date"),
+        null.cast("date").alias("termination_date"), null.cast("timestamp_ntz").alias("lst_updt_ts"),
+    )
+    accounts = spark.range(ids + lost).select(
+        F.when(F.col("id") < ids, F.col("id").cast("string")).alias("id"), F.lit("E0").alias("employee_number"),
+        null.cast("timestamp_ntz").alias("lastupdated"), F.col("id").cast("string").alias("display_name"), F.lit("ACTIVE").alias("status"),
+    )
+    schools = spark.createDataFrame([("North", "HS", 22)], "esd_school_name string, school_type_abbrev string, dwh_school_year_id int")
+    lookup = spark.createDataFrame([("Teacher", "leg", "Team")], "business_titles string, department_okta string, network_groups string")
+    return assign.Inputs(workforce, accounts, schools, lookup)
+
+
+@pytest.mark.parametrize("options", [{"null_key": "keep_all"}, {"previous_filter": True}, {"null_key": "keep_all", "previous_filter": True}], ids=str)
+def test_options_make_no_pairs_of_a_number_hot_on_both_sides(spark, options):
+    """4,000 rows of a number and 4,000 accounts: 16 million pairs. Two accounts without id may pair with every row."""
+    options = dict(options)
+    if "previous_filter" in options:
+        options["previous_filter"] = (F.col("esd_isactive") == "Yes", F.col("okta_status") == "ACTIVE")
+    config = assign.Config(hot_rows=400, salts=8, **options)
+    lost = 2 if config.null_key == "keep_all" else 0
+    inputs = _hot_inputs(spark, 4000, 4000, lost)
+    workers = enrich.worker_rows(inputs.workforce)
+    scopes = {"__previous": assign._of_workers(workers, inputs, config), "__current": F.col("esd_isactive") == "Yes"}
+    base = assign._with_accounts(workers, inputs, config, scopes, staged=True)
+    within = 2000 if config.previous_filter is not None else 4000
+    best = 1 if config.previous_filter is not None else 2
+    # The latest row of each scope with every account, and the other rows with those without an id.
+    assert base.count() == best * (4000 + lost) + (within - best) * lost
+
+
 def test_directory(spark):
     inputs, _, _ = _case(spark, 1)
     workforce = spark.createDataFrame(
