@@ -293,4 +293,29 @@ def full_mart(mode: str = "pairwise", given: tuple[str, ...] = ()) -> str:
     return sql(as_text(f"({_mart(rows)})", MART_COLUMNS, TIMES), *needs, "lk", given=given)
 
 
+# The workers as text, and what the declared types make of them.
+TEXT_WORKFORCE = """
+SELECT worker_id, email_address, CASE WHEN worker_id % 59 = 0 THEN 'n/a' WHEN worker_id % 61 = 0 THEN '2021-02-30' WHEN worker_id % 67 = 0 THEN ''
+    ELSE CAST(hire_date AS VARCHAR) END AS hire_date,
+  original_hire_date, termination_date + to_hours(CASE WHEN worker_id % 71 = 0 THEN 9 ELSE 0 END) AS termination_date,
+  CASE WHEN worker_id % 73 = 0 THEN '2024-01-01 25:00:00' ELSE strftime(lst_updt_ts, '%Y-%m-%d %H:%M:%S') END AS lst_updt_ts
+FROM wf"""
+TYPED_WORKFORCE = f"""
+SELECT CAST(worker_id AS VARCHAR) AS worker_id, email_address, CAST(TRY_CAST(hire_date AS DATE) AS VARCHAR) AS hire_date,
+  CAST(TRY_CAST(original_hire_date AS DATE) AS VARCHAR) AS original_hire_date,
+  CAST(CAST(termination_date AS DATE) AS VARCHAR) AS termination_date, CAST(TRY_CAST(lst_updt_ts AS TIMESTAMP) AS VARCHAR) AS lst_updt_ts
+FROM ({TEXT_WORKFORCE})
+WHERE (hire_date IS NULL OR TRY_CAST(hire_date AS DATE) IS NOT NULL) AND (lst_updt_ts IS NULL OR TRY_CAST(lst_updt_ts AS TIMESTAMP) IS NOT NULL)
+  AND (termination_date IS NULL OR CAST(CAST(termination_date AS DATE) AS TIMESTAMP) = termination_date)"""
+REJECTED_WORKFORCE = f"""
+WITH t AS ({TEXT_WORKFORCE})
+SELECT email_address, 'hire_date' AS "column", 'date' AS declared, hire_date AS "value" FROM t WHERE hire_date IS NOT NULL AND TRY_CAST(hire_date AS DATE) IS NULL
+UNION ALL SELECT email_address, 'lst_updt_ts', 'timestamp_ntz', lst_updt_ts FROM t WHERE lst_updt_ts IS NOT NULL AND TRY_CAST(lst_updt_ts AS TIMESTAMP) IS NULL
+UNION ALL SELECT email_address, 'termination_date', 'date', strftime(termination_date, '%Y-%m-%d %H:%M:%S') FROM t
+  WHERE CAST(CAST(termination_date AS DATE) AS TIMESTAMP) <> termination_date"""
+
+# The older side with a filter, rows without an account id each kept.
+FILTERED_OLD = "SELECT *, 'Current' AS user_group_status FROM grouped_old WHERE (esd_isactive = 'Yes' OR okta_hire_date IS NULL) AND coalesce(okta_status, 'ACTIVE') = 'ACTIVE'"
+KEEP_ALL_OLD = f"SELECT * FROM ({_latest(f'({FILTERED_OLD} AND okta_users_id IS NOT NULL)')}) UNION ALL BY NAME SELECT * FROM ({FILTERED_OLD}) WHERE okta_users_id IS NULL"
+
 BASE_TEXT = as_text("base_new", BASE_COLUMNS, TIMES)

@@ -20,6 +20,7 @@ from rostersync.functions.text import (
 )
 from rostersync.operators.aggregate import count_by, single_valued
 from rostersync.operators.checks import check_not_null, check_unique
+from rostersync.operators.gates import Gate, gated
 from rostersync.operators.joins import exists_flag, join_identity, with_active_account
 from rostersync.operators.rank import global_dense_rank, latest_with_ties, rank_latest
 from rostersync.operators.reconcile import diff_added, diff_removed, reconcile
@@ -29,8 +30,10 @@ from rostersync.operators.sets import union_all, union_distinct
 from rostersync.operators.staging import materialise, staging_dir
 from rostersync.plans import assign, enrich
 from rostersync.plans.mart import group_type, mart
+from rostersync.sources.contracts import Typed, conform
 from rostersync.sources.schemas import MART_COLUMNS
-from rostersync.sources.sinks import as_table, as_view
+from rostersync.sources.schemas import TABLES as TABLES_DECLARED
+from rostersync.sources.sinks import as_table, as_view, publish, read_published
 from rostersync.sources.tables import Inputs, Sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -543,6 +546,15 @@ def current_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(assign.current_groups(S.inputs(spark, sf_dir), _config(spark, sf_dir)))
 
 
+@register(O.sql(_wide(f"({O.KEEP_ALL_OLD})", assign.PREVIOUS_COLUMNS), "grouped_old"))
+def previous_groups_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest before the join, with a filter on either side and every row without an account kept."""
+    active = (F.col("esd_isactive") == "Yes") | F.col("okta_hire_date").isNull()
+    standing = F.coalesce("okta_status", F.lit("ACTIVE")) == "ACTIVE"
+    config = assign.Config(null_key="keep_all", previous_filter=(active, standing))
+    return _text(assign.previous_groups(S.inputs(spark, sf_dir), config))
+
+
 @register(O.full_mart())
 def mart_of_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each step on its own: both assignments stored, then ``reconcile`` and ``mart``."""
@@ -578,6 +590,37 @@ def assignment_run_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(assign.run(_stored_inputs(spark, sf_dir), _config(spark, sf_dir, mode="set")))
 
 
+@register(O.full_mart())
+def assignment_run_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run under its gates, published twice; what is current is read back."""
+    target = f"{staging_dir(spark)}/{spark.sparkContext.applicationId}/published-{uuid.uuid4().hex}"
+    inputs = _stored_inputs(spark, sf_dir)
+    publish(inputs.schools, target)
+    assign.run_and_publish(inputs, target, _config(spark, sf_dir))
+    return _text(read_published(spark, target))
+
+
+# --- typed loading -----------------------------------------------------------------------------
+
+def _typed_workforce(spark: SparkSession, sf_dir: str) -> Typed:
+    return conform(S.workforce_as_text(spark, sf_dir), TABLES_DECLARED["dim_workforce"], "dim_workforce", "set_aside")
+
+
+@register(O.sql(O.TYPED_WORKFORCE, "wf"))
+def typed_workforce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workers exported as text, in their declared types; rows with a value that has none are set aside."""
+    days = ("hire_date", "original_hire_date", "termination_date", "lst_updt_ts")
+    return _typed_workforce(spark, sf_dir).rows.select("worker_id", "email_address", *[F.col(c).cast("string").alias(c) for c in days])
+
+
+@register(O.sql(O.REJECTED_WORKFORCE, "wf"))
+def rejected_workforce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values for which they were set aside."""
+    rejected = _typed_workforce(spark, sf_dir).rejected
+    email = F.get_json_object("row", "$.email_address").alias("email_address")
+    return rejected.select(email, F.inline("problems")).select("email_address", "column", "declared", "value")
+
+
 # --- checks and sinks --------------------------------------------------------------------------
 
 @register("SELECT o_custkey, count(*) AS n_records FROM orders GROUP BY 1 HAVING count(*) > 1")
@@ -590,6 +633,23 @@ def check_not_null_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_not_null(_events(spark, sf_dir), "ts").select("event_id")
 
 
+_GATES = {
+    "not_null": (Gate("orders", "not_null", ("o_custkey", "o_orderdate")), "count(*) FILTER (o_custkey IS NULL OR o_orderdate IS NULL)"),
+    "unique": (Gate("orders", "unique", ("o_custkey", "o_orderdate")), "max((SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1 AND o_custkey IS NOT NULL AND o_orderdate IS NOT NULL)))"),
+    "accepted": (Gate("orders", "accepted", ("o_orderstatus",), ("F", "O")), "count(*) FILTER (o_orderstatus NOT IN ('F', 'O'))"),
+    "holds": (Gate("orders", "holds", test="o_totalprice > 50000"), "count(*) FILTER (NOT o_totalprice > 50000)"),
+    "rows": (Gate("orders", "rows", least=10**7), "greatest(0, 10000000 - count(*))"),
+}
+
+
+@register(" UNION ALL ".join(f"SELECT '{kind}' AS gate, CAST({sql} AS BIGINT) AS violations FROM orders" for kind, (_, sql) in _GATES.items()))
+def gates_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each gate counts while the orders are written."""
+    with gated([gate for gate, _ in _GATES.values()], stop=False) as watch:
+        materialise(S.table(spark, sf_dir, "orders"), "orders")
+    return spark.createDataFrame([(o.gate.kind, o.violations) for o in watch.outcomes], "gate string, violations long")
+
+
 @register("SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1")
 def view_and_table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Through a named view, then a stored table, then an aggregate of what was read back."""

@@ -125,6 +125,19 @@ def workforce(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def workforce_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The workers as an export of text: some days are none, some are blank, one hour does not exist."""
+    rows = workforce(spark, sf_dir)
+    n, day, stamp = F.col("worker_id"), F.col("hire_date").cast("string"), F.col("lst_updt_ts").cast("string")
+    return rows.withColumns(
+        {
+            "hire_date": F.when(n % 59 == 0, "n/a").when(n % 61 == 0, "2021-02-30").when(n % 67 == 0, "").otherwise(day),
+            "termination_date": F.col("termination_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.when(n % 71 == 0, 9).otherwise(0)),
+            "lst_updt_ts": F.when(n % 73 == 0, "2024-01-01 25:00:00").otherwise(stamp),
+        }
+    )
+
+
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as accounts. Two neighbours in four share an account id; some have a number no worker has."""
     key, customer = F.col("o_orderkey"), F.col("o_custkey")

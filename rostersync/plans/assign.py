@@ -10,16 +10,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rostersync.operators.gates import Gate, gated
 from rostersync.operators.joins import HOT_ROWS, SALTS
 from rostersync.operators.rank import flag_latest, latest_with_ties
 from rostersync.operators.reconcile import reconcile_rows, trim_value
 from rostersync.operators.rules import classify
 from rostersync.operators.rulesets import People, current_rules, legacy_rules
-from rostersync.operators.staging import materialise
+from rostersync.operators.staging import materialise, run_folder
 from rostersync.functions.text import rewrite_title
 from rostersync.plans import enrich
 from rostersync.plans.mart import mart
 from rostersync.sources.schemas import ASSIGNMENT_COLUMNS, PREVIOUS_COLUMNS
+from rostersync.sources.sinks import publish
 from rostersync.sources.tables import Inputs
 
 
@@ -47,6 +49,13 @@ class Config:
     rank_strategy: str = "auto"
     hot_rows: int = HOT_ROWS
     salts: int = SALTS
+    # Checks on the staged relations (by their labels) that stop the run.
+    gates: tuple[Gate, ...] = (
+        Gate("directory", "not_null", ("full_name", "okta_department")),
+        Gate("directory", "unique", ("full_name",)),
+        Gate("reconciled", "not_null", ("user_group_status",)),
+        Gate("reconciled", "accepted", ("user_group_status",), ("add", "remove", "Current")),
+    )
 
 
 def _directory(inputs: Inputs, config: Config) -> DataFrame:
@@ -227,6 +236,11 @@ def run(inputs: Inputs, config: Config = Config()) -> DataFrame:
     lookups, distinct time stamps). The comparison reads each side twice, so that its joins and rules
     run once. Duplicates are removed once, at the end, because no join before it multiplies them.
     """
+    with gated(config.gates):
+        return _run(inputs, config)
+
+
+def _run(inputs: Inputs, config: Config) -> DataFrame:
     latest = _shared_latest(inputs, config)
     flags = ("__previous", "__current")
     previous = _as_previous(
@@ -252,3 +266,16 @@ def run(inputs: Inputs, config: Config = Config()) -> DataFrame:
         config.rank_strategy,
         staged=True,
     )
+
+
+def run_and_publish(inputs: Inputs, target: str, config: Config = Config()) -> DataFrame:
+    """The run as a whole: its result becomes the current version at ``target``, all it staged goes.
+
+    A run that fails, by a gate or otherwise, leaves the version published before, and nothing else. The
+    manifest notes how many rows broke which gate.
+    """
+    spark = inputs.workforce.sparkSession
+    with run_folder(spark, "assignment") as folder:
+        result = run(inputs, config)
+        passed = {name: n for relation in folder.written for name, n in relation["gates"].items()}
+        return publish(result, target, {"gates": passed})
