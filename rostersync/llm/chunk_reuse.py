@@ -34,6 +34,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 from tokenizers import Tokenizer
 
 from rostersync.llm.common import col, slices
+from rostersync.operators.staging import materialise
 
 WINDOW = 32  # bytes that a cut depends on
 LEAST, MOST = 192, 2048  # bytes of a chunk, but for the last of a text
@@ -140,7 +141,8 @@ class Words(dict):
         self.tokenizer, self.model, self.older = tokenizer, tokenizer.model, {}
         spec = json.loads(tokenizer.to_str())
         self.lowers = '"Lowercase"' in json.dumps(spec.get("normalizer"))
-        pattern = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])[0]["pattern"]["Regex"]
+        pre = spec.get("pre_tokenizer") or {}
+        pattern = pre.get("pretokenizers", [pre])[0].get("pattern", {}).get("Regex", "")
         # What stands before the run of letters begins with an apostrophe, and no added token is of letters.
         before, letters, _ = pattern.partition("[\\p{L}]+|")
         apart = all(x.startswith("'") for x in before.split("|") if x)
@@ -292,7 +294,7 @@ def _occurrences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner: dict[int, int] = {}
         for text in _texts(batch, 0):
             whole = _hash(text)
-            for chunk in set(chunks(text)):
+            for chunk in set(chunks(text)) if text else ():
                 key = _hash(chunk)
                 n[key] += 1
                 size[key] = len(chunk)
@@ -302,13 +304,29 @@ def _occurrences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_chunks(texts: DataFrame, most: int = DICTIONARY) -> DataFrame:
-    """(key, n, size, owner) of the ``most`` chunks with the largest repeated bytes, of those in two documents or more.
+    """(key, n, size, owner) of at most ``most`` chunks with the largest repeated bytes, of those in two documents or more.
 
-    ``texts`` has one column of text. ``n`` counts documents, ``owner`` is the smallest hash of a text that holds the chunk.
+    ``texts`` has one column of text. ``n`` counts documents, ``owner`` is the smallest hash of a text that
+    holds the chunk. The least that counts is read off a histogram of repeated bytes; of its last step as
+    large a part is taken as there is room for, by the chunks' hashes.
     """
     found = texts.mapInArrow(_occurrences, "key long, n long, size long, owner long")
     sums = found.groupBy("key").agg(F.sum("n").alias("n"), F.max("size").alias("size"), F.min("owner").alias("owner"))
-    return sums.filter("n > 1").orderBy(((F.col("n") - 1) * F.col("size")).desc(), "key").limit(most)
+    step = F.floor(8 * F.log2((F.col("n") - 1) * F.col("size"))).cast("int")
+    sums = materialise(sums.filter("n > 1").withColumn("step", step), "shared-chunks")
+    # A few hundred steps, whatever the input.
+    steps = sorted(((r["step"], r["count"]) for r in sums.groupBy("step").count().collect()), reverse=True)
+    taken, last, part = 0, None, 0.0
+    for last, held in steps:
+        part = min(1.0, (most - taken) / held)
+        taken += held
+        if taken >= most:
+            break
+    if last is None:
+        return sums.drop("step")
+    near = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int(part * (1 << 20))
+    chosen = sums.filter((F.col("step") > last) | (F.col("step") == last) & near)
+    return chosen.drop("step").limit(most)
 
 
 def dictionary(texts: DataFrame, model: str, most: int = DICTIONARY) -> dict[bytes, tuple[bytes, list[int]]]:
