@@ -38,6 +38,14 @@ def hash_key(*columns: Column, seed: int = 0) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 4)
 
 
+def refuse_names(keep: Iterable[str], results: Iterable[str]) -> None:
+    """Kept columns may not be called like results, whatever the case."""
+    taken = {r.lower() for r in results}
+    clash = [c for c in keep if c.lower() in taken]
+    if clash:
+        raise ValueError(f"kept columns are called like results: {', '.join(clash)}")
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: int, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that the texts (column number ``text``) of a slice hold about ``most_bytes``.
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostersync.llm.common import col, hash_key, slices
+from rostersync.llm.common import col, hash_key, refuse_names, slices
 
 STEPS, HIDDEN = 64, 8
 #: Bounds of the training sample: rows per language, and the characters read of each (a window of the
@@ -246,8 +246,10 @@ def identify(docs: DataFrame, model: tuple[Weights, list[str]] | None, text: str
     """Columns ``keep`` of every input row, with ``lang_pred`` and ``score`` of its whole text.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text without a model. Only
-    the text is looked at. Rows alike get the same answer; an empty table gives no rows.
+    the text is looked at. Of languages with equal probabilities the first in order is named. Rows alike
+    get the same answer; an empty table gives no rows. A kept column may not be called like a result.
     """
+    refuse_names(keep, ("lang_pred", "score"))
     body = col(text)
     rows = docs.select(F.struct(*[col(c) for c in keep]).alias("row"), F.when(has_letter(body), body.cast("string")).alias("text"))
     if model is None:

@@ -8,6 +8,10 @@ For a unigram model the score of a path is the sum of its pieces' scores. For a
 highest sum is not what the model means: there a path is admissible if every two neighbours are what
 merging their joined text gives, and exactly one path of a word is. The same search then runs with
 inadmissible steps masked out, and gives the library's ids.
+
+A word that has no or few others of its length, such as a text without spaces, goes alone: all its places
+are probed together, one length of substring after the other, neighbours are judged in blocks, and only
+the choice of the best step goes from place to place.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from rostersync.llm.common import col, slices
+from rostersync.llm.common import col, refuse_names, slices
 
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
@@ -34,6 +38,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN_PENALTY = np.float32(10.0)
 SLOTS = 1 << 18
 WORDS_AT_ONCE = 1 << 18
+LONG_WORD, PLACES_AT_ONCE = 32, 8192
 CACHE = 400_000
 
 
@@ -305,13 +310,90 @@ class PieceModel:
                 at += self.lengths[p]
         return np.array(made, np.int32).tobytes()
 
+    def _found(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every piece at every place of one long word: starts, pieces, and which characters are pieces.
+
+        All places are probed at once, one length after the other.
+        """
+        h = np.zeros(len(chars), np.uint64)
+        single = np.zeros(len(chars), bool)
+        starts, pieces = [], []
+        for k in range(1, min(self.longest, len(chars)) + 1):
+            h = h[: len(chars) - k + 1] * BASE + chars[k - 1 :] + np.uint64(1)
+            rows = np.flatnonzero(self.filter[h >> np.uint64(42)])
+            at = np.minimum(np.searchsorted(self.keys, h[rows]), len(self.keys) - 1)
+            hit = self.keys[at] == h[rows]
+            rows, piece = rows[hit], self.ids[at[hit]].astype(np.int64)
+            if k == 1:
+                single[rows] = True
+            if self.kind == BPE:
+                rows, piece = rows[self.reachable[piece]], piece[self.reachable[piece]]
+            starts.append(rows)
+            pieces.append(piece)
+        starts_, pieces_ = np.concatenate(starts), np.concatenate(pieces)
+        order = np.argsort(starts_, kind="stable")
+        return starts_[order], pieces_[order], single
+
+    def _neighbours(self, starts: np.ndarray, pieces: np.ndarray, low: int, high: int) -> set[int]:
+        """Pairs of pieces that meet at a place from ``low`` to ``high`` and that merging would leave side by side."""
+        ends = starts + self.lengths[pieces]
+        meet = np.flatnonzero((ends >= low) & (ends < high))
+        first = np.searchsorted(starts, ends[meet])
+        sizes = np.searchsorted(starts, ends[meet], side="right") - first
+        codes = np.unique(np.repeat(pieces[meet], sizes) * self.size + pieces[_ragged(first, sizes)])
+        return set(codes[self._fits(codes // self.size, codes % self.size)].tolist()) if len(codes) else set()
+
+    def _encode_long(self, word: str) -> bytes:
+        """Ids of one long word: the same search, from place to place, over what was found beforehand."""
+        chars = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        size, unknown = len(chars), len(self.scores) - 1
+        starts, pieces, single = self._found(chars)
+        first = np.searchsorted(starts, np.arange(size + 1)).tolist()
+        names, lengths, known = pieces.tolist(), self.lengths[pieces].tolist(), single.tolist()
+        last = [-1] * (size + 1)
+        score = [np.float32(-np.inf)] * (size + 1)
+        score[0] = np.float32(0)
+        gains = self.scores[pieces]
+        good: set[int] = set()
+        for i in range(size):
+            if self.kind == BPE:
+                if i % PLACES_AT_ONCE == 0:
+                    near = slice(first[max(0, i - self.longest)], first[min(size, i + PLACES_AT_ONCE)])
+                    good = self._neighbours(starts[near], pieces[near], i, i + PLACES_AT_ONCE)
+                before = last[i]
+                # The first to reach a place is the longest piece that may end there.
+                for at in range(first[i], first[i + 1]):
+                    end = i + lengths[at]
+                    if last[end] < 0 and (i == 0 or before == unknown or before * self.size + names[at] in good):
+                        last[end] = names[at]
+                if not known[i] and last[i + 1] < 0:
+                    last[i + 1] = unknown
+                continue
+            for at in range(first[i], first[i + 1]):
+                end, reached = i + lengths[at], score[i] + gains[at]
+                if reached > score[end]:
+                    score[end], last[end] = reached, names[at]
+            if not known[i] and (reached := score[i] + self.unknown_score) > score[i + 1]:
+                score[i + 1], last[i + 1] = reached, unknown
+        ids, at = [], size
+        while at:
+            ids.append(last[at])
+            at -= 1 if last[at] == unknown else int(self.lengths[last[at]])
+        made = np.array(ids[::-1], np.int32)
+        return self._with_bytes(word, made) if (made == unknown).any() else made.tobytes()
+
     def encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, 32 bits each. Words of one length are searched together."""
+        """Ids of each word, 32 bits each. Words of one length are searched together, long ones alone."""
         out = [b""] * len(words)
         by_length: dict[int, list[int]] = {}
         for i, word in enumerate(words):
             by_length.setdefault(len(word), []).append(i)
         for length, rows in by_length.items():
+            if length > LONG_WORD and 4 * len(rows) <= length:
+                # Steps of a long word would each move few rows.
+                for i in rows:
+                    out[i] = self._encode_long(words[i])
+                continue
             step = max(1, WORDS_AT_ONCE // length)
             for start in range(0, len(rows), step):
                 part = rows[start : start + step]
@@ -363,12 +445,13 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", keep: tuple[str
 
     ``round_trip`` says whether decoding gives the text back byte by byte. It does unless the text holds
     U+2581, which the format itself uses for a space. A null text gives null ids, 0 pieces and a null
-    ``round_trip``; an empty one an empty list. No begin, end or other special pieces are added. Rows
+    ``round_trip``; an empty one an empty list. A kept column may not be called like a result. No begin, end or other special pieces are added. Rows
     alike get the same answer; an empty table gives no rows. The driver reads the model file (its size
     does not depend on the data) and sends it to the tasks.
     """
     with open(model_file, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
+    refuse_names(keep, ("piece_ids", "n_pieces", "round_trip"))
     rows = docs.select(F.struct(*[col(c) for c in keep]).alias("row"), col(text).cast("string").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,7 +475,13 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", keep: tuple[str
 
 
 def decode(encoded: DataFrame, model_file: str, ids: str = "piece_ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` and the ``text`` of each row's ids; null ids give a null text."""
+    """Columns ``keep`` and the ``text`` of each row's ids.
+
+    A null list gives a null text, an empty one an empty text. Nulls within a list and ids that the model
+    does not have, negative ones among them, are passed over. Repeated rows get the same answer; an empty
+    table gives no rows. A kept column may not be called ``text``.
+    """
+    refuse_names(keep, ("text",))
     with open(model_file, "rb") as file:
         shared = encoded.sparkSession.sparkContext.broadcast(file.read())
     rows = encoded.select(F.struct(*[col(c) for c in keep]).alias("row"), col(ids).cast("array<int>").alias("ids"))
@@ -403,7 +492,11 @@ def decode(encoded: DataFrame, model_file: str, ids: str = "piece_ids", keep: tu
             lists = batch.column(1)
             null = pc.is_null(lists).to_numpy(zero_copy_only=False)
             counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            texts = model.decode(lists.flatten().to_numpy(zero_copy_only=False), counts)
+            ids_ = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+            there = (ids_ >= 0) & (ids_ < len(model.byte_sizes))
+            if not there.all():
+                counts = np.bincount(np.repeat(np.arange(len(counts)), counts)[there], minlength=len(counts))
+            texts = model.decode(ids_[there], counts)
             made = pa.array([None if n else t.decode("utf-8", "replace") for n, t in zip(null, texts, strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), made], names=["row", "text"])
 
