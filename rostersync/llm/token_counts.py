@@ -8,6 +8,7 @@ No pre-token is shuffled. The sample only decides what is fast, never a count.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 from collections import Counter
@@ -25,6 +26,10 @@ from rostersync.llm.common import col
 
 #: Fixed value: the pre-token pattern of the byte-level tokenizers this operator reads.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: How a tokenizer file names that pattern.
+PLAIN_SPLITS = tuple(
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": trim, "use_regex": True} for trim in (True, False)
+)
 FREQUENT = 50_000
 SAMPLE_DOCS, SAMPLE_CHARS = 4_000, 16_384
 CACHE = 400_000
@@ -68,11 +73,14 @@ class Counting:
         self.tokenizer.no_padding()
         names = self.words.decode().split("\0") if self.words else []
         self.known = Lengths(self.tokenizer, dict(zip(names, self.lengths.tolist(), strict=True)))
+        # A tokenizer that prepares or splits texts in another way is left to the library.
+        spec = json.loads(self.model)
+        self.own = spec.get("normalizer") is None and spec.get("pre_tokenizer") in PLAIN_SPLITS
         special = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
 
     def count(self, text: str) -> int:
-        if self.special and self.special.search(text) or not _all_known(text):
+        if not self.own or self.special and self.special.search(text) or not _all_known(text):
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return sum(map(self.known.__getitem__, _split.findall(text)))
 
@@ -83,26 +91,27 @@ class Counting:
         self.__init__(*state)
 
 
-def _sampled(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: Counter[str] = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
             found.update(w for w in _split.findall(text) if len(w) <= 64 and "\0" not in w)
-    top = found.most_common(most)
-    yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
 
 
-def frequent_words(docs: DataFrame, text: str, most: int, sample_docs: int, sample_chars: int) -> list[str]:
-    """The most frequent pre-tokens of about ``sample_docs`` texts, of each a window of ``sample_chars``."""
+def frequent_words(docs: DataFrame, doc_id: str, text: str, most: int, sample_docs: int, sample_chars: int) -> list[str]:
+    """The most frequent pre-tokens of about ``sample_docs`` rows, of each a window of ``sample_chars``.
+
+    Rows are drawn by a hash of id and text, so copies with ids of their own are drawn one by one. Their
+    pre-tokens are counted by one aggregation; what it can hold is bounded by the windows.
+    """
     every = max(1, docs.count() // sample_docs)
     body, key = col(text), F.xxhash64(col(text))
     window = F.substring(body, (F.pmod(key, F.greatest(F.length(body) - sample_chars, F.lit(0)) + 1) + 1).cast("int"), F.lit(sample_chars))
-    sample = docs.filter(body.isNotNull() & (F.pmod(F.xxhash64(F.lit(1), body), F.lit(every)) == 0)).select(window.alias("text"))
-    total: Counter[str] = Counter()
-    # At most sample_docs windows reach the driver, as counts.
-    for row in sample.mapInArrow(lambda b: _sampled(b, most), "word string, n long").toLocalIterator():
-        total[row["word"]] += row["n"]
-    return [w for w, _ in total.most_common(most)]
+    drawn = F.pmod(F.xxhash64(F.lit(1), col(doc_id), body), F.lit(every)) == 0
+    sample = docs.filter(body.isNotNull() & drawn).select(window.alias("text"))
+    counted = sample.mapInArrow(_sampled, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()]
 
 
 def token_counts(
@@ -119,12 +128,12 @@ def token_counts(
     No special tokens are added; strings of special tokens inside a text count as the library does by
     default, there is no truncation or padding. A null text counts as an empty one: 0 bytes, 0 tokens.
     One row per input row, repeated or not; an empty table gives no rows. Other columns are not looked
-    at. The driver reads the file (a byte-level BPE of the library's JSON form) and sends it to the
-    tasks.
+    at. The driver reads the file (of the library's JSON form) and sends it to the tasks. Files that split
+    texts by another pattern or normalize them first are counted by the library, text by text.
     """
     with open(tokenizer_file, encoding="utf-8") as file:
         model = file.read()
-    names = frequent_words(docs, text, frequent, sample_docs, sample_chars)
+    names = frequent_words(docs, doc_id, text, frequent, sample_docs, sample_chars)
     opened = Counting(model, b"", np.zeros(0, np.uint16))
     opened.open()
     lengths = np.array([len(opened.tokenizer.encode(w, add_special_tokens=False).ids) for w in names], np.uint16)

@@ -2,13 +2,16 @@
 
 import itertools
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import sentencepiece
 from oracle_check import compare, connect
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from rostersync.llm import language
 from rostersync.llm.common import n_words
@@ -22,7 +25,7 @@ from rostersync.llm.ngram_join import one_of_each, similar_documents
 from rostersync.llm.pieces import UNIGRAM, PieceModel, decode, encode
 from rostersync.llm.queries import REGISTRY, tokenizer_path
 from rostersync.llm.resample import kth_largest, resample
-from rostersync.llm.token_counts import token_counts
+from rostersync.llm.token_counts import frequent_words, token_counts
 
 SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, size int, row string, key long"
@@ -152,7 +155,6 @@ def test_languages_are_told_apart(spark, odd):
 
 
 def test_pieces_are_those_of_the_library(spark, odd):
-    sentencepiece = pytest.importorskip("sentencepiece")
     path = tokenizer_path("piece_bpe_32k.model")
     library = sentencepiece.SentencePieceProcessor(model_file=path)
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
@@ -167,7 +169,6 @@ def test_pieces_are_those_of_the_library(spark, odd):
 def test_unigram_paths_have_the_best_score():
     with open(tokenizer_path("piece_bpe_32k.model"), "rb") as file:
         model = PieceModel(file.read(), UNIGRAM)
-    sentencepiece = pytest.importorskip("sentencepiece")
     library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
     ids = {library.id_to_piece(i): i for i in range(259, 32000)}
     for word in ("▁hello", "▁and", "xyzzy", "▁▁abab"):
@@ -182,7 +183,6 @@ def test_unigram_paths_have_the_best_score():
 
 
 def test_tokens_are_those_of_the_library(spark, odd):
-    from tokenizers import Tokenizer
 
     path = tokenizer_path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
@@ -296,3 +296,71 @@ def test_a_full_sample_holds_every_language(spark, monkeypatch):
     counts, languages = runs[0]
     assert runs[0] == runs[1] and set(languages) == present and sum(counts.values()) == 20
     assert max(counts.values()) - min(counts.values()) <= 1
+
+
+def test_long_words_are_those_of_the_library(spark):
+    """Texts without spaces: 20,000 characters take a fraction of a second, a megabyte some seconds."""
+    path, rng = tokenizer_path("piece_bpe_32k.model"), np.random.default_rng(4)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    with open(path, "rb") as file:
+        data = file.read()
+    model = PieceModel(data)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    alphabets = {"cjk": [chr(c) for c in range(0x4E00, 0x9FA6)], "ascii": list(letters), "base64": [*letters, *letters.upper(), *"0123456789+/"],
+                 "odd": list("aé日\t\u0301's<|\U0001f64212\x85\u200b=-_.,"), "syllables": ["the", "in", "ation", "日", "==", "x"], "one": ["a"]}
+    model.encode(["warm up"])
+    for name, alphabet in alphabets.items():
+        text = "".join(alphabet[i] for i in rng.integers(0, len(alphabet), 20_000))
+        began = time.process_time()
+        ids, counts = model.encode([text])
+        assert time.process_time() - began < 2, name
+        assert ids.tolist() == library.encode(text) and counts.tolist() == [len(ids)], name
+    text = "".join(letters[i] for i in rng.integers(0, 26, 1_000_000))
+    assert model.encode([text])[0].tolist() == library.encode(text)
+    for size in (31, 33, 64, 65, 200, 300):
+        texts = ["".join(alphabets["syllables"][i] for i in rng.integers(0, 6, size)) for _ in range(40)]
+        ids, counts = model.encode(texts)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == library.encode(texts)
+    unigram = PieceModel(data, UNIGRAM)
+    for _ in range(60):
+        word = "▁" + "".join(alphabets["syllables"][i] for i in rng.integers(0, 6, 40))
+        assert unigram._encode_long(word) == unigram._encode_equal([word])[0]
+
+
+def test_decode_passes_over_what_is_no_id(spark):
+    path = tokenizer_path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    good = library.encode("Some words here")
+    rows = [(1, None), (2, []), (3, [good[0], None, 10**7, -1, *good[1:]]), (4, good), (4, good)]
+    df = spark.createDataFrame(rows, "doc_id long, piece_ids array<int>")
+    got = sorted(map(tuple, decode(df, path).collect()))
+    assert got == [(1, None), (2, ""), (3, "Some words here"), (4, "Some words here"), (4, "Some words here")]
+    assert decode(df.limit(0), path).count() == 0
+
+
+def test_kept_columns_called_like_results_are_refused(spark, odd):
+    for name in ("piece_ids", "N_pieces"):
+        with pytest.raises(ValueError, match=name):
+            encode(odd.withColumn(name, F.lit(1)), tokenizer_path("piece_bpe_32k.model"), keep=(name,))
+    with pytest.raises(ValueError, match="score"):
+        language.identify(odd.withColumn("score", F.lit(1)), None, keep=("score",))
+
+
+def test_sample_of_pre_tokens_takes_the_same_jobs_whatever_the_partitions(spark, odd):
+    def jobs(parts):
+        group = f"sample-{parts}"
+        spark.sparkContext.setJobGroup(group, group)
+        frequent_words(odd.repartition(parts), "doc_id", "text", 100, 10, 1000)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(24) <= jobs(2) + 1
+
+
+def test_token_counts_of_another_tokenizer_are_the_librarys(spark, odd):
+    """One that lower-cases, normalizes and splits otherwise."""
+    path = tokenizer_path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    got = Counter((r["doc_id"], r["n_tokens"]) for r in token_counts(odd, path).collect())
+    want = Counter((r["doc_id"], len(library.encode(r["text"] or "", add_special_tokens=False).ids)) for r in odd.collect())
+    assert got == want
