@@ -4,8 +4,9 @@ Rows are shuffled by a seeded hash and ranked within their source. Rank r of n g
 (r - 1/2) / n. In the order of fractional ranks every stretch holds the sources in their overall
 proportions, so equal cuts of that order are shards with the same mixture.
 
-No window spans a source or the table: rows are counted per small cell, the running sum over the counts
-gives each cell its offset, and only inside a cell rows are numbered.
+No window spans a source or the table. Within a source rows are counted per small cell of their hashes, the
+running sum over the counts gives each cell its offset, and only inside a cell rows are numbered. The order
+of all rows is cut into ranges instead, since many small sources share their fractional ranks.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ from rostersync.operators.staging import broadcast_if_small, materialise
 CELL_ROWS = 4096
 
 
-def _numbered(rows: DataFrame, group: str | None, cell: str, order: list[Column | str], label: str) -> DataFrame:
+def _numbered(rows: DataFrame, group: str, cell: str, order: list[Column | str], label: str) -> DataFrame:
     """Adds ``rank`` (from 0, in ``group`` by cell and order) and ``n`` (rows of the group)."""
-    keys = [group] if group else []
+    keys = [group]
     counts = rows.groupBy(*keys, cell).agg(F.count("*").alias("rows"))
     counts = materialise(counts, label)
     upto = Window.partitionBy(*keys).orderBy(cell)
@@ -34,14 +35,31 @@ def _numbered(rows: DataFrame, group: str | None, cell: str, order: list[Column
         F.sum("rows").over(whole).alias("n"),
     )
     offsets = materialise(offsets, label)
-    on = rows[cell] == offsets["at"]
-    if group:
-        on = rows[group].eqNullSafe(offsets["of"]) & on
+    on = rows[group].eqNullSafe(offsets["of"]) & (rows[cell] == offsets["at"])
     within = Window.partitionBy(*keys, cell).orderBy(*order)
     joined = rows.join(broadcast_if_small(offsets), on)
     return joined.withColumn("rank", F.col("offset") + F.row_number().over(within) - 1).drop("of", "at", "offset")
 
 
+def _numbered_by_range(rows: DataFrame, order: list[Column], label: str) -> DataFrame:
+    """Adds ``rank`` (from 0, in the order of all rows) and ``n`` (all rows).
+
+    The order is cut into ranges of about equal numbers of rows, also where many rows agree in its first
+    column. Where it is cut depends on a sample, so the ranges are written down; the ranks don't.
+    """
+    ranges = materialise(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), label)
+    sizes = ranges.groupBy("range").agg(F.count("*").alias("rows"))
+    # One row a range, as many as there are shuffle partitions.
+    upto = Window.orderBy("range")
+    offsets = sizes.select(
+        F.col("range").alias("at"), (F.sum("rows").over(upto) - F.col("rows")).alias("offset"),
+        F.sum("rows").over(Window.partitionBy()).alias("n"),
+    )
+    joined = ranges.join(broadcast_if_small(materialise(offsets, label)), F.col("range") == F.col("at"))
+    within = Window.partitionBy("range").orderBy(*order)
+    return joined.withColumn("rank", F.col("offset") + F.row_number().over(within) - 1).drop("at", "offset", "range")
+
+
 def interleave(
     docs: DataFrame,
     shards: int = 8,
@@ -76,9 +94,8 @@ def interleave(
     rows = rows.withColumn("cell", F.floor(F.col("key") / F.lit(2.0**60) * cells).cast("long"))
     ranked = _numbered(rows, "source", "cell", tie, "shard-ranks").withColumn("part", (F.col("rank") + 0.5) / F.col("n"))
     ranked = materialise(ranked.select("doc_id", "source", "size", "text_crc32", "rank", "part"), "shard-ranked")
-    ranked = ranked.withColumn("cell", F.floor(F.col("part") * cells).cast("long"))
-    order = ["part", F.col("source").asc_nulls_last(), "rank"]
-    placed = _numbered(ranked.select("doc_id", "source", "size", "text_crc32", "part", F.col("rank").alias("place"), "cell"), None, "cell", [F.col("part"), F.col("source").asc_nulls_last(), F.col("place")], "shard-places")
+    order = [F.col("part"), F.col("source").asc_nulls_last(), F.col("place")]
+    placed = _numbered_by_range(ranked.withColumnRenamed("rank", "place"), order, "shard-places")
     # Shard s takes the positions from ceil(s * n / shards) on.
     shard = F.floor(F.col("rank") * shards / F.col("n")).cast("int")
     first = F.ceil(F.col("shard") * F.col("n") / shards).cast("long")

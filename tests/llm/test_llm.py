@@ -17,7 +17,7 @@ from rostersync.llm import language
 from rostersync.llm.common import n_words
 from rostersync.llm.components import components
 from rostersync.llm.host_rules import judge, repeated_words
-from rostersync.llm.interleave import interleave
+from rostersync.llm.interleave import _numbered_by_range, interleave
 from rostersync.llm.lattice import ROOTS, near_vectors, nearest_e8
 from rostersync.llm.line_spread import drop_shared_lines, without_shared_lines
 from rostersync.llm.mixing import mix, mixture
@@ -364,3 +364,37 @@ def test_token_counts_of_another_tokenizer_are_the_librarys(spark, odd):
     got = Counter((r["doc_id"], r["n_tokens"]) for r in token_counts(odd, path).collect())
     want = Counter((r["doc_id"], len(library.encode(r["text"] or "", add_special_tokens=False).ids)) for r in odd.collect())
     assert got == want
+
+
+def test_interleave_equals_plain_python(spark):
+    """A third of all rows are sources of one row, which all have the fraction one half."""
+    rng = np.random.default_rng(6)
+    rows = [(i, f"text {rng.integers(0, 50)}", f"one{i}") for i in range(900)]
+    rows += [(i, f"text {i % 70}", "big") for i in range(900, 1800)]
+    rows += [(i, None if i % 9 == 0 else "x", [None, "two", "Two", "three"][i % 4]) for i in range(1800, 2700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    key = F.shiftrightunsigned(F.xxhash64(F.lit(5), F.col("doc_id"), F.col("text")), 4)
+    keys = {r["doc_id"]: r["key"] for r in df.select("doc_id", key.alias("key")).collect()}
+    by = defaultdict(list)
+    for doc_id, _, source in rows:
+        by[source].append(doc_id)
+    order = []
+    for source, ids in by.items():
+        for rank, doc_id in enumerate(sorted(ids, key=lambda i: (keys[i], i))):
+            order.append(((rank + 0.5) / len(ids), source is None, source or "", rank, doc_id))
+    n, want = len(rows), {}
+    for place, (*_, doc_id) in enumerate(sorted(order)):
+        shard = place * 8 // n
+        want[doc_id] = shard, place - -(-shard * n // 8)
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in interleave(df, 8).collect()}
+    assert got == want
+
+
+def test_ranges_of_ties_are_even(spark):
+    """Rows that agree in the fraction are cut by the rest of their order."""
+    df = spark.range(4000).select(F.lit(0.5).alias("part"), F.col("id").cast("string").alias("source"), F.lit(0).alias("place"))
+    order = [F.col("part"), F.col("source").asc_nulls_last(), F.col("place")]
+    ranged = df.repartitionByRange(8, *order).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(ranged) > 4 and max(r["count"] for r in ranged) < 1200
+    ranks = sorted((r["source"], r["rank"]) for r in _numbered_by_range(df, order, "test").collect())
+    assert ranks == [(s, i) for i, s in enumerate(sorted(map(str, range(4000))))]
