@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostersync.functions.text import matches_part, text_key
+from rostersync.operators.hot import HotKeys
 from rostersync.operators.staging import broadcast_if_small, materialise
 
 # NULL keys are spread over this many join keys.
@@ -70,6 +71,7 @@ def attach_many(
     spread_by: Sequence[str] | None = None,
     bucket_by: Sequence[str] | None = None,
     count_from: DataFrame | None = None,
+    hot_list: HotKeys | None = None,
 ) -> DataFrame:
     """LEFT JOIN to a ``right`` side that may repeat a key, any number of times.
 
@@ -77,8 +79,10 @@ def attach_many(
     their rows go to ``salts`` buckets per ``hot_rows`` rows of the key, by content, and a left row
     with such a key is copied once per bucket that is really occupied, so no copy stays without its
     match. The list of hot keys holds fewer than rows / ``hot_rows`` entries, that of buckets at most
-    ``salts`` times as many; both are broadcast. ``staged`` writes them down first: they are then found
-    once however often the join runs, broadcast only if small, and where no key is hot nothing is salted.
+    ``salts`` times as many; how both are joined is left to adaptive execution, which sees their sizes.
+    ``staged`` writes them down first: they are then found once however often the join runs, broadcast if
+    their size allows, and where no key is hot nothing is salted. ``hot_list`` (for a single text key)
+    gives the hot keys beforehand, so that several joins share one pass and none counts its right side.
     ``spread_by`` and ``bucket_by`` name the columns the salts of the two sides are hashed from;
     ``count_from`` is a cheaper relation with the right keys, each at least as often, to find hot keys in.
     """
@@ -86,22 +90,25 @@ def attach_many(
     hot_names = [f"{k}h" for k in keys]
     side = right.withColumnsRenamed({r: k for k, (_, r) in keys.items()})
     side = side.where(~_any_null([F.col(k) for k in keys]))
-    counted = (right if count_from is None else count_from).select(
-        *[F.col(r).alias(h) for (_, r), h in zip(keys.values(), hot_names)]
-    )
-    hot = (
-        counted.where(~_any_null([F.col(h) for h in hot_names]))
-        .groupBy(*hot_names)
-        .agg(F.count("*").alias("__n"))
-        .where(F.col("__n") > hot_rows)
-        .select(*hot_names, F.ceil(F.col("__n") * salts / hot_rows).cast("long").alias("__ways"))
+    if hot_list is not None:
+        if not hot_list.counts:
+            return attach(left, right, on, spread_by=spread_by)
+        counts = hot_list.relation(left, *hot_names, "__n")
+    else:
+        counted = (right if count_from is None else count_from).select(
+            *[F.col(r).alias(h) for (_, r), h in zip(keys.values(), hot_names)]
+        )
+        counts = counted.where(~_any_null([F.col(h) for h in hot_names])).groupBy(*hot_names).agg(F.count("*").alias("__n"))
+    hot = counts.where(F.col("__n") > hot_rows).select(
+        *hot_names, F.ceil(F.col("__n") * salts / hot_rows).cast("long").alias("__ways")
     )
-    spread_out = F.broadcast
-    if staged:
+    if staged and hot_list is None:
         hot = materialise(hot, "hot")
         if hot.isEmpty():
             return attach(left, right, on, spread_by=spread_by)
-        spread_out = broadcast_if_small
+
+    def spread_out(small: DataFrame) -> DataFrame:
+        return broadcast_if_small(small) if staged else small
 
     def same(columns: Iterable[str]) -> Column:
         test = F.lit(True)
@@ -147,6 +154,7 @@ def join_identity(
     spread_by: Sequence[str] | None = None,
     bucket_by: Sequence[str] | None = None,
     count_from: DataFrame | None = None,
+    hot_list: HotKeys | None = None,
 ) -> DataFrame:
     """Workers LEFT JOIN accounts on the identifiers compared as text; fans out per account.
 
@@ -157,7 +165,7 @@ def join_identity(
     right = accounts.select(*[c for c in accounts.columns if c != account_key], number)
     counted = None if count_from is None else count_from.select(number)
     joined = attach_many(
-        left, right, {"__worker": "__account"}, hot_rows, salts, staged, spread_by, bucket_by, counted
+        left, right, {"__worker": "__account"}, hot_rows, salts, staged, spread_by, bucket_by, counted, hot_list
     )
     return joined.drop("__worker")
 

@@ -143,7 +143,8 @@ def _with_accounts(
     if config.null_key == "keep_all" and staged:
         flagged = materialise(flagged, "best-workers")
     best = reduce(Column.__or__, [F.col(name) for name in scopes])
-    options = (inputs.accounts, config.strip_zeros, config.hot_rows, config.salts, staged)
+    hot_list = enrich.hot_numbers(inputs.accounts, config.strip_zeros, config.hot_rows) if staged else None
+    options = (inputs.accounts, config.strip_zeros, config.hot_rows, config.salts, staged, hot_list)
     base = enrich.with_accounts(flagged.where(best).drop(*scopes), *options)
     if config.null_key == "keep_all":
         within = reduce(Column.__or__, [F.coalesce(c, F.lit(False)) for c in scopes.values()])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rostersync.functions.text import name_key, normalise_company, rewrite_title, text_key
 from rostersync.operators.aggregate import single_valued
+from rostersync.operators.hot import HotKeys, hot_keys
 from rostersync.operators.joins import (
     HOT_ROWS,
     SALTS,
@@ -73,6 +74,7 @@ def with_accounts(
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
     staged: bool = False,
+    hot_list: HotKeys | None = None,
 ) -> DataFrame:
     """Renamed workers LEFT JOIN the distinct accounts."""
     return join_identity(
@@ -87,9 +89,15 @@ def with_accounts(
         spread_by=["okta_hire_date", "esd_dateofhire", "lst_updt_ts"],
         bucket_by=["okta_users_id", "okta_lastupdated"],
         count_from=accounts,
+        hot_list=hot_list,
     ).select(*BASE_COLUMNS)
 
 
+def hot_numbers(accounts: DataFrame, strip_zeros: bool = False, hot_rows: int = HOT_ROWS) -> HotKeys:
+    """Employee numbers with more than ``hot_rows`` accounts, for all joins on them."""
+    return hot_keys(accounts, text_key(F.col("employee_number"), strip_zeros), hot_rows)
+
+
 def with_accounts_of_the_lost(
     workers: DataFrame,
     accounts: DataFrame,
@@ -97,6 +105,7 @@ def with_accounts_of_the_lost(
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
     staged: bool = False,
+    hot_list: HotKeys | None = None,
 ) -> DataFrame:
     """Of renamed workers LEFT JOIN the distinct accounts, the rows without an account id.
 
@@ -123,6 +132,7 @@ def with_accounts_of_the_lost(
         staged,
         spread_by=["okta_hire_date", "esd_dateofhire", "lst_updt_ts"],
         bucket_by=["okta_lastupdated", "display_name"],
+        hot_list=hot_list,
     )
     return joined.where(F.col("__paired") | ~F.col("__held")).select(*BASE_COLUMNS)
 
