@@ -11,8 +11,10 @@ first, overlaps per pair in the end.
    has, too.
 4. Those that are left are grouped by the rarest n-grams they share (again a prefix, now by frequency).
    In each group all are compared with one of them; for what is then still apart within a group, pairs
-   are made of n-grams that the one in the middle does not have. Groups of near copies thus cost a few
-   comparisons per text, and no link between classes is lost.
+   are made of n-grams that the one in the middle does not have, or of members whose sizes fit what they
+   share. Groups of near copies thus cost a few comparisons per text, and no link between classes is lost.
+5. Overlaps of pairs are counted by fragment: a row for each pair and fragment has the partial count, and
+   the partial counts are summed per pair.
 
 An n-gram that very many texts have is no hot group: in step 2 a task counts what its own texts share and
 sends one row for such an n-gram; in step 3 counting combines in the tasks, and the join that gives the
@@ -45,8 +47,10 @@ FRAGMENT_DOCS, LEAST_FRAGMENTS, RANGES = 1024, 256, 32
 #: Fragments in which overlaps of pairs are counted.
 OVERLAP_FRAGMENTS = 4
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
-#: Rows of step 2: an n-gram of a node, an n-gram known to be shared, a node with a count (as ``gram``).
-OWN, KNOWN, COUNTED = 0, 1, 2
+#: Rows of the scan: an n-gram of a node, an n-gram known to be shared, a node with a count (as ``gram``); a document.
+OWN, KNOWN, COUNTED, DOCUMENT = 0, 1, 2, 3
+#: Sizes of sets are told apart by steps of this ratio when partners are looked for.
+SIZE_STEP = 1.02
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -95,12 +99,6 @@ def needed(n: np.ndarray, t: Fraction) -> np.ndarray:
     return -(-n * t.numerator // t.denominator)
 
 
-def _describe(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 1, 8 << 20):
-        _, n, node = shingle_sets(_texts(batch.column(1)), size)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(node.view(np.int64))], names=["doc_id", "text_key", "n", "node"])
-
-
 def _distinct(gram: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (n-gram, node), and for each the number of nodes its n-gram has."""
     order = np.lexsort((node, gram))
@@ -118,16 +116,17 @@ def _counted(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return node, n.astype(np.int64)
 
 
-def _prefixes(batches: Iterable[pa.RecordBatch], size: int, t: Fraction, fragments: int) -> Iterator[pa.RecordBatch]:
-    """N-grams of the prefixes, each to its fragment (ranges of the global order, that of the hashes).
+def _scan(batches: Iterable[pa.RecordBatch], size: int, t: Fraction, fragments: int) -> Iterator[pa.RecordBatch]:
+    """What a text's set is called, and the n-grams of its prefix: all that is read off the texts themselves.
 
-    What a slice of texts shares is counted here: the nodes get their counts, and one row tells the
-    fragment that the n-gram is shared. Copies within a task are sent once. A node whose copies lie in
-    several tasks may get too high a count, never one too low.
+    The n-grams go to their fragments (ranges of the global order, that of the hashes). What a slice of
+    texts shares is counted here: the nodes get their counts, and one row tells the fragment that the
+    n-gram is shared. Copies within a task are sent once. A node whose copies lie in several tasks may
+    get too high a count, never one too low.
     """
     sent: set[int] = set()
-    for batch in slices(batches, 0, 8 << 20):
-        value, n, node = shingle_sets(_texts(batch.column(0)), size)
+    for batch in slices(batches, 1, 8 << 20):
+        value, n, node = shingle_sets(_texts(batch.column(1)), size)
         length = np.minimum(n, n - needed(n, t) + 1 + n // MORE)
         for i, x in enumerate(node.tolist()):
             if x in sent:
@@ -136,27 +135,41 @@ def _prefixes(batches: Iterable[pa.RecordBatch], size: int, t: Fraction, fragmen
         owner = np.repeat(np.arange(len(n)), n)
         place = np.arange(len(value)) - np.repeat(np.cumsum(n) - n, n)
         taken = place < length[owner]
-        gram, node, nodes = _distinct(value[taken], node[owner[taken]])
+        gram, of, nodes = _distinct(value[taken], node[owner[taken]])
         known = np.unique(gram[nodes > 1])
-        counted, counts = _counted(node[nodes > 1])
-        gram, node = gram[nodes == 1], node[nodes == 1]
+        counted, counts = _counted(of[nodes > 1])
+        gram, of = gram[nodes == 1], of[nodes == 1]
         value = np.concatenate([gram, known, counts.view(np.uint64)])
         kind = np.repeat(np.array([OWN, KNOWN, COUNTED], np.int8), [len(gram), len(known), len(counts)])
         place = np.concatenate([gram, known, counted])
+        # Documents come first, each in the fragment of its set's name, with their keys in place of n-grams.
+        docs, rest = len(n), len(kind)
+        place = np.concatenate([node, place])
         fragment = (((place >> np.uint64(32)) * np.uint64(fragments * RANGES) >> np.uint64(32)) % np.uint64(fragments)).astype(np.int32)
-        node = np.concatenate([node, known, counted])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(fragment), pa.array(kind), pa.array(value.view(np.int64)), pa.array(node.view(np.int64))], names=["fragment", "kind", "gram", "node"]
-        )
+        columns = [
+            pa.array(fragment),
+            pa.array(np.concatenate([np.full(docs, DOCUMENT, np.int8), kind])),
+            pa.concat_arrays([batch.column(2), pa.array(value.view(np.int64))]),
+            pa.array(np.concatenate([node, of, known, counted]).view(np.int64)),
+            pa.concat_arrays([batch.column(0), pa.nulls(rest, pa.int64())]),
+            pa.concat_arrays([pa.array(n, pa.int64()), pa.nulls(rest, pa.int64())]),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["fragment", "kind", "gram", "node", "doc_id", "n"])
 
 
 def _count_shared(table: pa.Table) -> pa.Table:
-    """A fragment's partial counts: per node its n-grams that another node has, too."""
+    """A fragment's partial counts: per node its n-grams that another node has, too. Documents pass through."""
+    documents = table.filter(pc.equal(table["kind"], DOCUMENT))
+    table = table.filter(pc.less(table["kind"], DOCUMENT))
     gram, node, kind = table["gram"].to_numpy(), table["node"].to_numpy(), table["kind"].to_numpy()
     counted, counts, known = node[kind == COUNTED], gram[kind == COUNTED], np.unique(gram[kind == KNOWN])
     gram, node, nodes = _distinct(gram[kind == OWN], node[kind == OWN])
     node, n = _counted(node[(nodes > 1) | np.isin(gram, known)])
-    return pa.table({"node": np.concatenate([node, counted]), "shared": np.concatenate([n, counts])})
+    node, n = pa.array(np.concatenate([node, counted])), pa.array(np.concatenate([n, counts]))
+    none = pa.nulls(len(n), pa.int64())
+    shared = pa.table({"doc_id": none, "text_key": none, "n": none, "node": node, "shared": n})
+    named = documents.select(["doc_id", "gram", "n", "node"]).rename_columns(["doc_id", "text_key", "n", "node"])
+    return pa.concat_tables([named.append_column("shared", pa.nulls(len(named), pa.int64())), shared])
 
 
 def _whole(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -165,15 +178,18 @@ def _whole(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(np.repeat(node, n).view(np.int64))], names=["gram", "node"])
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) -> with ``common``, ``n_a`` and ``n_b``: overlaps per slice of the order, added up within the pair's row."""
-    side = lambda name, parts: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("parts").alias(parts))
-    partial_ = F.zip_with("x", "y", lambda p, q: F.size(F.array_intersect(p, q)).cast("long"))
+def _overlaps(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
+    """(a, b) -> with ``common``, ``n_a`` and ``n_b``: a partial overlap for each pair and fragment, summed per pair.
+
+    ``fragments`` has the n-grams of every node, a row for each fragment of the global order.
+    """
+    side = lambda name, grams: fragments.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), "fragment", F.col("grams").alias(grams))
     # Few pairs, as there mostly are, save moving all sets.
     few = broadcast_if_small(pairs.select("b").distinct())
-    both = side("a", "x").join(broadcast_if_small(pairs), "a").join(side("b", "y").join(few, "b", "left_semi"), "b")
-    common = F.aggregate(partial_, F.lit(0).cast("long"), lambda total, one: total + one)
-    return materialise(both.select("a", "b", "n_a", "n_b", common.alias("common")), "ngram-overlaps")
+    x, y = side("a", "x").join(broadcast_if_small(pairs), "a"), side("b", "y").join(few, "b", "left_semi")
+    partial_ = F.size(F.array_intersect("x", "y")).cast("long").alias("partial")
+    counted = x.join(y, ["b", "fragment"]).select("a", "b", "n_a", "n_b", partial_)
+    return materialise(counted.groupBy("a", "b", "n_a", "n_b").agg(F.sum("partial").alias("common")), "ngram-overlaps")
 
 
 def _similar(overlaps: DataFrame, t: Fraction) -> DataFrame:
@@ -181,6 +197,18 @@ def _similar(overlaps: DataFrame, t: Fraction) -> DataFrame:
     return overlaps.filter(F.col("common") * t.denominator >= union * t.numerator).select("a", "b")
 
 
+def _fragments(sets: DataFrame) -> DataFrame:
+    """``node``, ``n`` and ``grams`` of every set, a row for each fragment, also for one without n-grams."""
+    width = 64 - int(math.log2(OVERLAP_FRAGMENTS))
+    ranges = range(-OVERLAP_FRAGMENTS // 2, OVERLAP_FRAGMENTS // 2)
+    within = lambda f: F.filter("grams", lambda gram: F.shiftright(gram, width) == f)
+    return sets.select("node", "n", F.posexplode(F.array(*[within(f) for f in ranges])).alias("fragment", "grams"))
+
+
+def _step(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / math.log(SIZE_STEP)).cast("int")
+
+
 def _each_once(pairs: DataFrame) -> DataFrame:
     """Pairs of members (x, y), the smaller node first."""
     x, y = F.col("x.node"), F.col("y.node")
@@ -211,13 +239,10 @@ def _classes(groups: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]
     return placed, main.filter("classes > 1").select("gram", "main")
 
 
-def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str, size: int, t: Fraction) -> DataFrame:
+def similar_nodes(docs: DataFrame, scanned: DataFrame, text: str, doc_id: str, size: int, t: Fraction) -> DataFrame:
     """Links (a, b) between nodes that connect exactly what all links connect."""
-    fragments = max(LEAST_FRAGMENTS, -(-described.count() // FRAGMENT_DOCS))
-    texts = docs.select(col(text).cast("string").alias("text"))
     # Step 2.
-    prefixes = texts.mapInArrow(partial(_prefixes, size=size, t=t, fragments=fragments), "fragment int, kind byte, gram long, node long")
-    shared = prefixes.groupBy("fragment").applyInArrow(_count_shared, "node long, shared long")
+    described, shared = _documents(scanned), scanned.filter("shared IS NOT NULL")
     shared = shared.groupBy("node").agg(F.sum("shared").alias("shared"))
     need = F.ceil(F.col("n") * t.numerator / t.denominator).cast("long")
     nodes = described.filter("n > 0").groupBy("node", "doc_id", "text_key").agg(F.first("n").alias("n"), F.count("*").alias("rows"))
@@ -238,13 +263,10 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     # From here a row per text: its shared n-grams, the rarest first, and by ranges of the global order.
     sets = grams.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("nodes", "gram"))).alias("shared"), F.sum("nodes").alias("weight"))
     sets = sets.join(left.select("node", "n"), "node").filter(F.size("shared") >= need)
-    width = 64 - int(math.log2(OVERLAP_FRAGMENTS))
-    ranges = range(-OVERLAP_FRAGMENTS // 2, OVERLAP_FRAGMENTS // 2)
-    within = lambda f: F.filter("grams", lambda gram: F.shiftright(gram, width) == f)
-    parts = F.array(*[within(f) for f in ranges])
     # A text whose n-grams many others have is near to many.
     sets = sets.select("node", "n", (F.col("weight") / F.col("n")).alias("middle"), F.col("shared.gram").alias("grams"))
-    sets = materialise(sets.withColumn("parts", parts), "ngram-sets")
+    sets = materialise(sets, "ngram-sets")
+    fragments = materialise(_fragments(sets), "ngram-fragments")
     shared = F.size("grams").cast("long")
     # Step 4. The rarest n-grams a text shares; those that no other has come first and need no row.
     early = F.col("n") - F.ceil(F.col("n") * (2 * t.numerator) / (t.numerator + t.denominator)) + 1
@@ -257,7 +279,7 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     # Each with the one in the middle of its group.
     centre = groups.groupBy("gram").agg(F.max_by("member", F.struct("middle", "node")).alias("y"))
     compared = materialise(_each_once(groups.join(centre, "gram").select(x, "y")), "ngram-pairs")
-    overlaps = _overlaps(compared, sets)
+    overlaps = _overlaps(compared, fragments)
     links = _similar(overlaps, t)
     # Those outside their group's largest class with any one of it.
     placed, main = _classes(groups, links)
@@ -266,7 +288,7 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     any_ = inside.groupBy("gram").agg(F.min_by("member", F.xxhash64("gram", "node")).alias("y"))
     pairs = _each_once(outside.join(any_, "gram").filter(_may_be_similar(t)))
     pairs = materialise(pairs.join(compared, ["a", "b"], "left_anti"), "ngram-pairs")
-    compared, links = compared.unionByName(pairs), links.unionByName(_similar(_overlaps(pairs, sets), t))
+    compared, links = compared.unionByName(pairs), links.unionByName(_similar(_overlaps(pairs, fragments), t))
     # Those still outside with members of other classes. What x shares with a middle c, |x & c|, may be
     # too little for a similar y, whose overlap with x must be t / (1 + t) (n_x + n_y). Then they share
     # enough of what x has and c has not, so y is looked for there; it is little, and rare.
@@ -278,8 +300,14 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     outside = outside.join(middle, outside["node"] == middle["of"], "left").select("gram", x, "root", "c", "with_c")
     outside = materialise(outside, "ngram-outside")
     enough = F.coalesce(F.col("with_c") * (t.numerator + t.denominator) >= (F.col("x.n") + F.col("y.n")) * t.numerator, F.lit(True))
-    other = placed.select("gram", F.col("member").alias("y"), F.col("root").alias("root_y"))
-    pairs = _each_once(outside.join(other, "gram").filter((F.col("root") != F.col("root_y")) & enough & _may_be_similar(t)))
+    # Partners must be of a size that what x shares, with others and with c, allows.
+    ratio = F.lit(t.numerator + t.denominator) / F.lit(t.numerator)
+    shares = F.least(F.col("x.shared"), F.coalesce("with_c", "x.shared"))
+    most = F.least(F.floor(F.col("x.n") * t.denominator / t.numerator), F.floor(shares * ratio + 1e-6) - F.col("x.n"))
+    sized = outside.withColumns({"least": F.ceil(F.col("x.n") * t.numerator / t.denominator - 1e-6), "most": most}).filter("least <= most")
+    sized = sized.withColumn("step", F.explode(F.sequence(_step(F.col("least")), _step(F.col("most"))))).drop("least", "most")
+    other = placed.select("gram", F.col("member").alias("y"), F.col("root").alias("root_y"), _step(F.col("member.n")).alias("step"))
+    pairs = _each_once(sized.join(other, ["gram", "step"]).filter((F.col("root") != F.col("root_y")) & enough & _may_be_similar(t)))
     alone = outside.filter("c IS NOT NULL").select("x.node", "root", "c", "with_c").distinct()
     of_c = sets.select(F.col("node").alias("c"), F.col("grams").alias("of_c"))
     besides = alone.join(sets.select("node", "n", "grams"), "node").join(of_c, "c")
@@ -297,13 +325,23 @@ def similar_nodes(docs: DataFrame, described: DataFrame, text: str, doc_id: str,
     found = found.join(roots, F.col("y.node") == F.col("of"), "left").filter(F.col("root") != F.coalesce("root_y", "y.node"))
     pairs = pairs.unionByName(_each_once(found))
     pairs = materialise(pairs.distinct().join(compared, ["a", "b"], "left_anti"), "ngram-pairs")
-    return links.unionByName(_similar(_overlaps(pairs, sets), t))
+    return links.unionByName(_similar(_overlaps(pairs, fragments), t))
+
 
+def _scanned(docs: DataFrame, doc_id: str, text: str, size: int, t: Fraction) -> DataFrame:
+    """Documents (``doc_id``, ``text_key``, ``n``, ``node``) and partial counts of nodes (``node``, ``shared``), written down.
 
-def _described(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    One pass over the texts gives both.
+    """
+    fragments = max(LEAST_FRAGMENTS, -(-docs.count() // FRAGMENT_DOCS))
     rows = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).cast("string").alias("text"), F.xxhash64(col(text)).alias("text_key"))
-    described = rows.mapInArrow(partial(_describe, size=size), "doc_id long, text_key long, n long, node long")
-    return materialise(described, "ngram-docs")
+    found = rows.mapInArrow(partial(_scan, size=size, t=t, fragments=fragments), "fragment int, kind byte, gram long, node long, doc_id long, n long")
+    counted = found.groupBy("fragment").applyInArrow(_count_shared, "doc_id long, text_key long, n long, node long, shared long")
+    return materialise(counted, "ngram-scan")
+
+
+def _documents(scanned: DataFrame) -> DataFrame:
+    return scanned.filter("shared IS NULL").drop("shared")
 
 
 def _placed(described: DataFrame, links: DataFrame) -> DataFrame:
@@ -325,8 +363,9 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Other columns are not looked at. N-grams and sets are compared by 64-bit hashes.
     """
     t = Fraction(str(least))
-    described = _described(docs, doc_id, text, size)
-    placed = _placed(described, similar_nodes(docs, described, text, doc_id, size, t))
+    scanned = _scanned(docs, doc_id, text, size, t)
+    described = _documents(scanned)
+    placed = _placed(described, similar_nodes(docs, scanned, text, doc_id, size, t))
     of = placed.select("node", F.col("least.doc_id").alias("component_id"))
     linked = described.filter("n > 0").join(of, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = described.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
@@ -339,8 +378,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     Where equal rows share the smallest id, one of them stays.
     """
     t = Fraction(str(least))
-    described = _described(docs, doc_id, text, size)
-    placed = _placed(described, similar_nodes(docs, described, text, doc_id, size, t))
+    scanned = _scanned(docs, doc_id, text, size, t)
+    described = _documents(scanned)
+    placed = _placed(described, similar_nodes(docs, scanned, text, doc_id, size, t))
     best = placed.select("least.doc_id", "least.text_key").distinct()
     rows = described.filter("n > 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"))
     again = (rows["doc_id"].eqNullSafe(best["doc_id"])) & (rows["text_key"] == best["text_key"])

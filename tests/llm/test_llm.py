@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -21,7 +22,7 @@ from rostersync.llm.interleave import _numbered_by_range, interleave
 from rostersync.llm.lattice import ROOTS, near_vectors, nearest_e8
 from rostersync.llm.line_spread import drop_shared_lines, without_shared_lines
 from rostersync.llm.mixing import mix, mixture
-from rostersync.llm.ngram_join import one_of_each, similar_documents
+from rostersync.llm.ngram_join import OVERLAP_FRAGMENTS, _fragments, _overlaps, one_of_each, similar_documents
 from rostersync.llm.pieces import UNIGRAM, PieceModel, decode, encode
 from rostersync.llm.queries import REGISTRY, tokenizer_path
 from rostersync.llm.resample import kth_largest, resample
@@ -398,3 +399,42 @@ def test_ranges_of_ties_are_even(spark):
     assert len(ranged) > 4 and max(r["count"] for r in ranged) < 1200
     ranks = sorted((r["source"], r["rank"]) for r in _numbered_by_range(df, order, "test").collect())
     assert ranks == [(s, i) for i, s in enumerate(sorted(map(str, range(4000))))]
+
+
+def test_boilerplate_of_many_sizes_against_all_pairs(spark):
+    """Texts that share a long passage and differ in how much they have of their own, some of it shared again."""
+    rng = random.Random(12)
+    common = [f"c{i}" for i in range(104)]
+    texts = []
+    for i in range(160):
+        own = [f"o{i}_{j}" for j in range(rng.choice([0, 3, 10, 14, 18, 22, 26, 40]))]
+        extra = [f"e{rng.randint(0, 12)}_{j}" for j in range(rng.choice([0, 0, 6, 12, 20]))]
+        cut = rng.randint(0, 20)
+        texts.append(" ".join([*common[cut:], *extra, *own] if rng.random() < 0.7 else [*own, *common[: len(common) - cut], *extra]))
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in map(str.split, texts)]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in similar_documents(df).collect()}
+    assert got == {i: find(i) for i in range(len(sets))}
+    assert 20 < len(set(got.values())) < 150
+
+
+def test_partial_overlaps_are_summed_per_pair(spark):
+    rng = random.Random(2)
+    sets = {n: sorted(rng.sample(range(-(2**63), 2**63, 2**55), rng.randint(0, 200))) for n in range(12)}
+    made = spark.createDataFrame([(n, len(g), g) for n, g in sets.items()], "node long, n long, grams array<long>")
+    rows = _fragments(made)
+    assert rows.count() == 12 * OVERLAP_FRAGMENTS
+    pairs = spark.createDataFrame(list(itertools.combinations(sets, 2)), "a long, b long")
+    got = {(r["a"], r["b"]): r["common"] for r in _overlaps(pairs, rows).collect()}
+    assert got == {(a, b): len({*sets[a]} & {*sets[b]}) for a, b in itertools.combinations(sets, 2)}
