@@ -12,6 +12,8 @@ from rostersync.operators.staging import BROADCAST_ROWS, is_small, materialise
 
 # Up to this many distinct values are ranked by a plain window.
 WINDOW_VALUES = 100_000
+# Low bits of a monotonically increasing identifier: the row's place in its partition.
+PLACE_BITS = 33
 
 
 def _null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -22,10 +24,15 @@ def _null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
 
 
 def _number_by_range(values: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Number sorted rows from 1: inside each range, plus the size of the ranges before it."""
+    """Number sorted rows from 1: inside each range, plus the size of the ranges before it.
+
+    A range is one sorted partition, so a row's place in it is the low part of the identifier that the
+    sort's output is given there; no second exchange brings the rows of a range together.
+    """
     # The ranges are cut from a sample, so another run may cut elsewhere: write the outcome down.
-    ranges = materialise(
-        values.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges"
+    placed = values.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    ranges = materialise(placed, "ranges").withColumns(
+        {"__range": F.shiftright("__id", PLACE_BITS), "__place": F.col("__id").bitwiseAND((1 << PLACE_BITS) - 1)}
     )
     # One row per range, as many as there are shuffle partitions.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -35,11 +42,10 @@ def _number_by_range(values: DataFrame, order: list[Column], name: str) -> DataF
         .withColumn("__before", F.coalesce(F.sum("__size").over(before), F.lit(0)))
         .drop("__size")
     )
-    inside = Window.partitionBy("__range").orderBy(*order)
     return (
         ranges.join(F.broadcast(offsets), "__range")
-        .withColumn(name, F.row_number().over(inside) + F.col("__before"))
-        .drop("__range", "__before")
+        .withColumn(name, F.col("__place") + 1 + F.col("__before"))
+        .drop("__range", "__before", "__id", "__place")
     )
 
 

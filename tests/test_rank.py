@@ -134,3 +134,15 @@ def test_hot_null_key_is_split_by_adaptive_execution(spark, settings):
     got = latest_with_ties(df, ["k"], [F.col("v")])
     assert len(got.collect()) == 60000
     assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_are_numbered_where_they_are_sorted(spark):
+    """One exchange, by range; rows are numbered without another one."""
+    from rostersync.operators.rank import _number_by_range
+
+    values = spark.range(0, 5000, 1, 7).select(F.xxhash64("id").alias("v")).distinct()
+    ranked = _number_by_range(values, [F.col("v").desc()], "rnk")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number" not in plan and "hashpartitioning(__range" not in plan.replace("partial_count", "").split("BroadcastExchange")[0]
+    got = [r["rnk"] for r in ranked.orderBy(F.desc("v")).collect()]
+    assert got == list(range(1, 5001))
