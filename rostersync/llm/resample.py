@@ -1,6 +1,6 @@
 """Importance resampling: which raw documents look like the target, by hashed n-gram models.
 
-Words and word pairs of all documents are counted in hash buckets, and so are those of a bounded sample
+Words and word pairs of all documents are counted in hash buckets, more of them for more documents, and so are those of a bounded sample
 of labelled target documents. A document's log weight is the sum, over its words and pairs, of the log
 ratio of the two models. Gumbel noise made of the id is added, and the k largest are the sample.
 """
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,20 +20,26 @@ from pyspark.sql import functions as F
 from rostersync.llm.common import col, hash_key, slices, words_as_ids
 from rostersync.operators.staging import materialise
 
-BUCKETS = 10_000
+#: Hash buckets of the models: one a document, within these bounds. The ratios are broadcast, 8 bytes a bucket.
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 14, 1 << 20
 #: Bound of the sample the target model is fitted on (those with the smallest hashes of their ids).
 TARGET_DOCS = 20_000
 BINS, FEW = 4096, 10_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _bucket(keys: np.ndarray) -> np.ndarray:
+def buckets_for(documents: int) -> int:
+    """A power of two that grows with the documents, up to ``MOST_BUCKETS``."""
+    return min(max(LEAST_BUCKETS, 1 << max(0, documents - 1).bit_length()), MOST_BUCKETS)
+
+
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     keys = keys * MIX
     keys ^= keys >> np.uint64(31)
-    return (keys * MIX >> np.uint64(33)).astype(np.int64) % BUCKETS
+    return (keys * MIX >> np.uint64(33)).astype(np.int64) % buckets
 
 
-def grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+def grams(texts: list[bytes | None], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words and word pairs, and the number of the text each is in."""
     ids, counts, numbers = words_as_ids([t.lower() if t else t for t in texts])
     hashes = np.fromiter(map(zlib.crc32, numbers), np.uint64, len(numbers)) + np.uint64(1)
@@ -40,26 +47,29 @@ def grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     text = np.repeat(np.arange(len(texts)), counts)
     inside = np.flatnonzero(text[1:] == text[:-1])
     pairs = words[inside] * np.uint64(1 << 32) + words[inside + 1]
-    return np.concatenate([_bucket(words), _bucket(pairs)]), np.concatenate([text, text[inside]])
+    return np.concatenate([_bucket(words, buckets), _bucket(pairs, buckets)]), np.concatenate([text, text[inside]])
 
 
-def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((2, BUCKETS), np.int64)
+def _count(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    total = np.zeros((2, buckets), np.int64)
     for batch in slices(batches, 0, 8 << 20):
-        found, text = grams(pc.fill_null(batch.column(0), "").cast(pa.binary()).to_pylist())
+        found, text = grams(pc.fill_null(batch.column(0), "").cast(pa.binary()).to_pylist(), buckets)
         wanted = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[text]
-        total[0] += np.bincount(found, minlength=BUCKETS)
-        total[1] += np.bincount(found[wanted], minlength=BUCKETS)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(total[0]), pa.array(total[1])], names=["bucket", "raw", "target"])
+        total[0] += np.bincount(found, minlength=buckets)
+        total[1] += np.bincount(found[wanted], minlength=buckets)
+    some = np.flatnonzero(total[0])
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0][some]), pa.array(total[1][some])], names=["bucket", "raw", "target"])
 
 
-def ratios(docs: DataFrame, text: str, is_target: Column) -> np.ndarray:
+def ratios(docs: DataFrame, text: str, is_target: Column, buckets: int) -> np.ndarray:
     """Log ratio of the smoothed target and raw frequency of each bucket."""
     rows = docs.select(col(text).cast("string").alias("text"), F.coalesce(is_target, F.lit(False)).alias("wanted"))
-    counts = rows.mapInArrow(_count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target"))
-    models = np.ones((2, BUCKETS))
-    for bucket, raw, target in counts.collect():  # at most BUCKETS rows
-        models[:, bucket] += raw, target
+    counts = rows.mapInArrow(partial(_count, buckets=buckets), "bucket long, raw long, target long").groupBy("bucket")
+    table = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()  # at most `buckets` rows of numbers
+    models = np.ones((2, buckets))
+    at = table["bucket"].to_numpy()
+    models[0, at] += table["raw"].to_numpy()
+    models[1, at] += table["target"].to_numpy()
     models /= models.sum(axis=1, keepdims=True)
     return np.log(models[1]) - np.log(models[0])
 
@@ -96,11 +106,13 @@ def resample(
     doc_id: str = "doc_id",
     text: str = "text",
     seed: int = 9,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``doc_id``, ``log_weight`` and ``kept`` of every row; about ``share`` of the rows with words are kept.
 
     ``target_ids`` (one column ``doc_id``) names target documents; ``TARGET_DOCS`` of them at most are
-    learned from, the raw model counts all documents. A text that is null or has no words has a null
+    learned from, the raw model counts all documents. Words and word pairs share ``buckets`` hash buckets,
+    by default a power of two that grows with the documents, from 16,384 up to 1,048,576. A text that is null or has no words has a null
     weight and is not kept. Rows with one id and text get one weight and one draw, so they are kept or
     left together; at a tie on the last place all tied rows stay. An empty table gives no rows, and
     without targets the order is that of the noise. Other columns are not looked at.
@@ -109,12 +121,13 @@ def resample(
     chosen = chosen.orderBy(hash_key(F.col("of"), seed=1), "of").limit(TARGET_DOCS)
     own = col(doc_id)
     marked = docs.select(own.alias("id"), col(text).alias("text")).join(F.broadcast(materialise(chosen, "targets")), F.col("id") == F.col("of"), "left")
-    shared = docs.sparkSession.sparkContext.broadcast(ratios(marked, "text", F.col("of").isNotNull()))
+    buckets = buckets_for(docs.count()) if buckets is None else buckets
+    shared = docs.sparkSession.sparkContext.broadcast(ratios(marked, "text", F.col("of").isNotNull(), buckets))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = shared.value
         for batch in slices(batches, 1, 8 << 20):
-            found, at = grams(pc.fill_null(batch.column(1), "").cast(pa.binary()).to_pylist())
+            found, at = grams(pc.fill_null(batch.column(1), "").cast(pa.binary()).to_pylist(), buckets)
             n = batch.num_rows
             some = np.bincount(at, minlength=n) > 0
             weight = np.bincount(at, ratio[found], minlength=n)

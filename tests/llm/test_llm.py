@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rostersync.llm import language
+from rostersync.llm import resample as resample_module
 from rostersync.llm.common import n_words
 from rostersync.llm.components import components
 from rostersync.llm.host_rules import judge, repeated_words
@@ -438,3 +439,42 @@ def test_partial_overlaps_are_summed_per_pair(spark):
     pairs = spark.createDataFrame(list(itertools.combinations(sets, 2)), "a long, b long")
     got = {(r["a"], r["b"]): r["common"] for r in _overlaps(pairs, rows).collect()}
     assert got == {(a, b): len({*sets[a]} & {*sets[b]}) for a, b in itertools.combinations(sets, 2)}
+
+
+def _log_weights(texts, targets, buckets):
+    """Word and pair models kept in dictionaries, one word after the other."""
+    mask, mix = 2**64 - 1, int(resample_module.MIX)
+
+    def bucket(key):
+        key = key * mix & mask
+        key ^= key >> 31
+        return ((key * mix & mask) >> 33) % buckets
+
+    def found(text):
+        words = [zlib.crc32(w) + 1 for w in (text or "").encode().lower().split()]
+        return [bucket(w) for w in words] + [bucket(((a << 32) + b) & mask) for a, b in zip(words, words[1:], strict=False)]
+
+    raw, target = Counter(), Counter()
+    for i, text in enumerate(texts):
+        raw.update(found(text))
+        if i in targets:
+            target.update(found(text))
+    n_raw, n_target = sum(raw.values()) + buckets, sum(target.values()) + buckets
+    ratio = lambda g: math.log((target[g] + 1) / n_target) - math.log((raw[g] + 1) / n_raw)
+    return [math.fsum(map(ratio, found(t))) if found(t) else None for t in texts]
+
+
+@pytest.mark.parametrize("buckets", [None, 64])
+def test_log_weights_equal_dictionaries(spark, buckets):
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(["Ä", "b", "C c", "dog\tcat", "é", "x" * 50]) for _ in range(rng.randint(0, 40))) for _ in range(200)] + [None, "", " "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    targets = spark.createDataFrame([(i,) for i in (*range(0, 200, 3), 5000, None)], "doc_id long")
+    got = {r["doc_id"]: r["log_weight"] for r in resample(df, targets, 0.3, buckets=buckets).collect()}
+    want = _log_weights(texts, set(range(0, 200, 3)), buckets or resample_module.LEAST_BUCKETS)
+    for i, weight in enumerate(want):
+        assert got[i] == (None if weight is None else pytest.approx(weight, rel=1e-9, abs=1e-9))
+
+
+def test_buckets_grow_with_the_documents():
+    assert [resample_module.buckets_for(n) for n in (0, 1, 2**14, 2**14 + 1, 10**5, 10**12)] == [2**14, 2**14, 2**14, 2**15, 2**17, 2**20]
