@@ -478,3 +478,44 @@ def test_log_weights_equal_dictionaries(spark, buckets):
 
 def test_buckets_grow_with_the_documents():
     assert [resample_module.buckets_for(n) for n in (0, 1, 2**14, 2**14 + 1, 10**5, 10**12)] == [2**14, 2**14, 2**14, 2**15, 2**17, 2**20]
+
+
+def _probabilities(w, text):
+    """The network one position, unit and byte after the other, in plain Python."""
+    steps, hidden, languages = language.STEPS, w.u.shape[2], w.c.shape[0]
+    sums = [0.0] * languages
+    for start in range(0, len(text), steps):
+        piece = text[start : start + steps]
+        padded = piece + b" " * (steps - len(piece))
+        states = []
+        for d in range(2):
+            h, seen = [0.0] * hidden, []
+            for byte in padded if d == 0 else reversed(padded):
+                a = [sum(float(w.u[d, k, j]) * h[j] for j in range(hidden)) for k in range(3 * hidden)]
+                z = [1 / (1 + math.exp(-(a[j] + float(w.x[d, j, byte])))) for j in range(hidden)]
+                r = [1 / (1 + math.exp(-(a[hidden + j] + float(w.x[d, hidden + j, byte])))) for j in range(hidden)]
+                new = [math.tanh(r[j] * (a[2 * hidden + j] + float(w.b[d, j, 0])) + float(w.x[d, 2 * hidden + j, byte])) for j in range(hidden)]
+                h = [z[j] * h[j] + (1 - z[j]) * new[j] for j in range(hidden)]
+                seen.append(h)
+            states.append(seen if d == 0 else seen[::-1])
+        for t in range(len(piece)):
+            logits = [
+                float(w.c[k, 0]) + sum(float(w.v[d, k, j]) * states[d][t][j] for d in range(2) for j in range(hidden)) for k in range(languages)
+            ]
+            top = max(logits)
+            total = sum(math.exp(x - top) for x in logits)
+            for k in range(languages):
+                sums[k] += math.exp(logits[k] - top) / total
+    return [s / max(len(text), 1) for s in sums]
+
+
+def test_network_equals_plain_loops():
+    """Texts of one byte, of less and more than a segment, and an empty one."""
+    w = language.Weights.fresh(3, 4, 2)
+    rng = np.random.default_rng(3)
+    for a in w.parts():
+        a += rng.normal(0, 0.5, a.shape).astype(np.float32)
+    texts = [b"x", b"", "Größe, où?".encode() * 3, bytes(rng.integers(0, 256, 2 * language.STEPS + 7, np.uint8)), b"a" * language.STEPS]
+    got = language.document_probabilities(w, texts)
+    for text, row in zip(texts, got, strict=True):
+        assert row.tolist() == pytest.approx(_probabilities(w, text), abs=2e-5)
