@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import cache
 from itertools import combinations, product
 
 import numpy as np
@@ -23,9 +24,8 @@ from rostersync.operators.staging import materialise
 
 #: Width of the projections, in units of the lattice, and the cells a vector looks into per table.
 SCALE, PROBES, NEIGHBOURS = 0.45, 12, 11
-#: Share of pairs at a cosine of 0.98 that meet in one table, by blocks (measured, rounded down).
-MEET = {1: 0.97, 2: 0.88, 3: 0.70, 4: 0.50}
-MISS = 1e-5
+#: Chance to miss a pair at the threshold, drawn pairs from which it is worked out, and the most tables.
+MISS, DRAWN, MOST_TABLES = 1e-5, 10_000, 256
 #: Bits of a cell's name that one block adds, about.
 BLOCK_BITS = 8
 
@@ -74,9 +74,14 @@ def _mix(points: np.ndarray, table: int) -> np.ndarray:
 
 def cells(unit: np.ndarray, table: int, blocks: int, probes: int = PROBES, seed: int = 8) -> np.ndarray:
     """(n, d) unit vectors -> (n, probes) cell names, the own cell first, then the nearest ones."""
-    n, d = unit.shape
+    d = unit.shape[1]
     turn = np.random.default_rng([seed, table, d]).standard_normal((d, 8 * blocks)) * SCALE
-    y = unit @ turn
+    return _probed(unit @ turn, table, blocks, probes)
+
+
+def _probed(y: np.ndarray, table: int, blocks: int, probes: int) -> np.ndarray:
+    """(n, 8 blocks) projections -> (n, probes) cell names."""
+    n = len(y)
     points, costs = [], []
     for b in range(blocks):
         z = y[:, 8 * b : 8 * b + 8]
@@ -86,19 +91,54 @@ def cells(unit: np.ndarray, table: int, blocks: int, probes: int = PROBES, seed:
         points.append(np.concatenate([own[:, None], own[:, None] + ROOTS[top]], axis=1))
         # By how much a neighbour is farther away than the own point.
         costs.append(np.concatenate([np.zeros((n, 1)), 2 - 2 * np.take_along_axis(gain, top, axis=1)], axis=1))
-    # At most two blocks leave their own point: more is rarely among the nearest.
-    choices = [c for c in product(range(NEIGHBOURS + 1), repeat=blocks) if sum(x > 0 for x in c) <= 2]
-    total = np.stack([sum(costs[b][:, c[b]] for b in range(blocks)) for c in choices], axis=1)
+    choices = np.array(_choices(blocks))
+    total = np.stack([sum(costs[b][:, c[b]] for b in range(blocks)) for c in choices.tolist()], axis=1)
     best = np.argsort(total, axis=1, kind="stable")[:, :probes]
-    chosen = np.array(choices)[best]  # (n, probes, blocks)
+    chosen = choices[best]  # (n, probes, blocks)
     rows = np.arange(n)[:, None]
     return _mix(np.concatenate([points[b][rows, chosen[:, :, b]] for b in range(blocks)], axis=2), table)
 
 
-def plan(vectors: int) -> tuple[int, int]:
-    """(blocks, tables): cells about as many as vectors, and tables for the wanted recall."""
-    blocks = min(max(MEET), max(2, math.ceil(math.log2(max(vectors, 2)) / BLOCK_BITS)))
-    return blocks, math.ceil(math.log(MISS) / math.log(1 - MEET[blocks]))
+def _choices(blocks: int) -> list[list[int]]:
+    """Which point each block takes, its own (0) or a neighbour, in order. At most two blocks leave their
+    own point: more is rarely among the nearest."""
+    out = [[0] * blocks]
+    for left in (1, 2):
+        for at in combinations(range(blocks), left):
+            for taken in product(range(1, NEIGHBOURS + 1), repeat=left):
+                choice = [0] * blocks
+                for b, c in zip(at, taken, strict=True):
+                    choice[b] = c
+                out.append(choice)
+    return sorted(out)
+
+
+@cache
+def meeting(least: float, blocks: int) -> float:
+    """A lower bound of the share of pairs at a cosine of ``least`` that meet in one table.
+
+    Random projections of two unit vectors are normal numbers with the cosine as their correlation,
+    whatever their length, so pairs of such numbers are drawn and hashed as vectors are.
+    """
+    make = np.random.default_rng([blocks, 17])
+    x = make.standard_normal((DRAWN, 8 * blocks))
+    y = least * x + math.sqrt(max(0.0, 1 - least * least)) * make.standard_normal(x.shape)
+    met = 0
+    for start in range(0, DRAWN, 1000):
+        a, b = (_probed(v[start : start + 1000] * SCALE, 0, blocks, PROBES) for v in (x, y))
+        met += int(((a == b[:, :1]).any(axis=1) | (b == a[:, :1]).any(axis=1)).sum())
+    share = met / DRAWN
+    return share - 3 * math.sqrt(share * (1 - share) / DRAWN)
+
+
+def plan(vectors: int, least: float) -> tuple[int, int]:
+    """(blocks, tables): cells about as many as vectors, whatever their number, and tables for the wanted recall."""
+    blocks = max(2, math.ceil(math.log2(max(vectors, 2)) / BLOCK_BITS))
+    share = meeting(least, blocks)
+    tables = math.ceil(math.log(MISS) / math.log(1 - share)) if 0 < share < 1 else MOST_TABLES + 1 if share <= 0 else 1
+    if tables > MOST_TABLES:
+        raise ValueError(f"a cosine of {least} is too far for {vectors} vectors: {tables} tables would be needed")
+    return blocks, tables
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -163,7 +203,9 @@ def near_vectors(
     with equal vectors and labels are linked with each other, repeated ids too. ``component_id`` is the
     smallest id reachable by links (null if all are null); ``kept`` is vec_id = component_id (false for
     a null id that others replace). An empty table gives no rows. Other columns are not looked at.
-    Candidates come from hashing: a pair at the threshold is missed with a chance of about ``MISS``.
+    Candidates come from hashing: a pair at the threshold is missed with a chance of at most about ``MISS``,
+    whatever ``least`` and the number of vectors; thresholds so low that this takes more than
+    ``MOST_TABLES`` tables are refused.
     """
     body = col(embedding)
     finite = F.forall(body, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -181,7 +223,7 @@ def near_vectors(
         .agg(F.first("label").alias("label"), F.first("embedding").alias("embedding"), F.count("*").alias("copies"), F.min("vec_id").alias("first"))
     )
     nodes = materialise(nodes, "vectors")
-    blocks, tables = plan(nodes.count())
+    blocks, tables = plan(nodes.count(), least)
     read = nodes.select("node", "label", F.size("embedding").alias("dims"), "embedding")
     hashed = read.mapInArrow(_cells_of(blocks, tables), "node long, label long, dims int, cell long, own boolean")
     hashed = materialise(hashed, "cells")

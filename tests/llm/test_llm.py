@@ -14,7 +14,7 @@ from oracle_check import compare, connect
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rostersync.llm import language
+from rostersync.llm import language, lattice
 from rostersync.llm import resample as resample_module
 from rostersync.llm.common import n_words
 from rostersync.llm.components import components
@@ -519,3 +519,41 @@ def test_network_equals_plain_loops():
     got = language.document_probabilities(w, texts)
     for text, row in zip(texts, got, strict=True):
         assert row.tolist() == pytest.approx(_probabilities(w, text), abs=2e-5)
+
+
+@pytest.mark.parametrize("least, blocks", [(0.98, 2), (0.98, 3), (0.98, 5), (0.95, 2), (0.9, 2)])
+def test_share_of_pairs_that_meet(least, blocks):
+    """Real vectors of 40 numbers at the threshold, hashed by real projections, meet as often as was worked out."""
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((1500, 40))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.standard_normal(x.shape)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    y = least * x + math.sqrt(1 - least * least) * away
+    met = []
+    for table in range(4):
+        a, b = lattice.cells(x, table, blocks), lattice.cells(y, table, blocks)
+        met.append((a == b[:, :1]).any(axis=1) | (b == a[:, :1]).any(axis=1))
+    share = np.mean(met)
+    assert lattice.meeting(least, blocks) <= share + 0.02 and share <= lattice.meeting(least, blocks) + 0.05
+    # And the planned number of tables finds all but a few in a hundred thousand.
+    assert (1 - lattice.meeting(least, blocks)) ** lattice.plan(2 ** (8 * blocks), least)[1] <= lattice.MISS
+
+
+def test_plans_for_any_size_and_threshold():
+    assert [lattice.plan(n, 0.98)[0] for n in (0, 1000, 2**20, 2**33, 10**12)] == [2, 2, 3, 5, 5]
+    assert lattice.plan(10**4, 0.95)[1] > lattice.plan(10**4, 0.98)[1]
+    with pytest.raises(ValueError, match="too far"):
+        lattice.plan(10**9, 0.3)
+
+
+def test_vectors_at_a_lower_threshold_against_all_pairs(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((60, 24))
+    x = np.repeat(centres, 6, axis=0) + rng.standard_normal((360, 24)) * rng.choice([0.1, 0.25, 0.4], (360, 1))
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((unit @ unit.T) >= 0.93).sum(axis=1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors(df, 0.93).collect()}
+    assert [got[i] for i in range(360)] == want.tolist() and want.sum() > 300
