@@ -24,7 +24,7 @@ from rostersync.operators.gates import Gate, gated
 from rostersync.operators.joins import exists_flag, join_identity, with_active_account
 from rostersync.operators.rank import global_dense_rank, latest_with_ties, rank_latest
 from rostersync.operators.reconcile import diff_added, diff_removed, reconcile
-from rostersync.operators.rules import Rule, classify, like, unlike
+from rostersync.operators.rules import Rule, classify, classify_distinct, like, unlike
 from rostersync.operators.rulesets import current_rules, legacy_rules
 from rostersync.operators.sets import union_all, union_distinct
 from rostersync.operators.staging import materialise, staging_dir
@@ -348,6 +348,20 @@ def classify_current_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _grouped_now(spark, sf_dir).select(*_GROUPED, "group_name")
 
 
+@register(O.sql(_wide("grouped_old", _GROUPED), "grouped_old"))
+def classify_distinct_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older rules, once for each distinct tuple of what they read."""
+    return classify_distinct(_placed(spark, sf_dir, True, 22), legacy_rules()).select(*_GROUPED)
+
+
+@register(O.sql(_wide("grouped_new", (*_GROUPED, "group_name")), "grouped_new"))
+def classify_distinct_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup's patterns once for each title and department, then the current rules once for each tuple."""
+    placed = materialise(_placed(spark, sf_dir, False, 15), "placed")
+    found = enrich.lookup_group(placed, enrich.user_groups(S.lookup(spark, sf_dir)), distinct=True)
+    return classify_distinct(found, current_rules(), default="group_name").select(*_GROUPED, "group_name")
+
+
 @register(O.sql(_wide("overridden_new", _GROUPED), "overridden_new"))
 def override_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.apply_overrides(_grouped_now(spark, sf_dir), S.overrides(spark, sf_dir)).select(*_GROUPED)

@@ -207,6 +207,27 @@ def join_lookup(
     return df.join(side, test, "left")
 
 
+def join_lookup_distinct(
+    df: DataFrame,
+    lookup: DataFrame,
+    title: str = "okta_title",
+    department: str = "okta_department",
+    literal: bool = False,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """The same as ``join_lookup``, each distinct (title, department) being held against the patterns once.
+
+    The pairs are taken down and joined to the lookup, so a pattern is compiled for pairs, not for rows;
+    rows then find their matches by equality. Matches are broadcast if their size allows. Reads ``df``
+    twice, the first time two columns of it.
+    """
+    pairs = df.select(F.col(title).alias("__t"), F.col(department).alias("__d")).distinct()
+    pairs = materialise(pairs.where(F.col("__t").isNotNull() & F.col("__d").isNotNull()), "lookup-pairs")
+    matches = join_lookup(pairs, lookup, "__t", "__d", literal).where(F.col("title").isNotNull())
+    matches = broadcast_if_small(materialise(matches, "lookup-matches"))
+    return attach(df, matches, {title: "__t", department: "__d"}, spread_by=spread_by)
+
+
 def exists_flag(
     df: DataFrame,
     keys: DataFrame,

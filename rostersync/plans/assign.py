@@ -14,7 +14,7 @@ from rostersync.operators.gates import Gate, gated
 from rostersync.operators.joins import HOT_ROWS, SALTS
 from rostersync.operators.rank import flag_latest, latest_with_ties
 from rostersync.operators.reconcile import reconcile_rows, trim_value
-from rostersync.operators.rules import classify
+from rostersync.operators.rules import classify, classify_distinct
 from rostersync.operators.rulesets import People, current_rules, legacy_rules
 from rostersync.operators.staging import materialise, run_folder
 from rostersync.functions.text import rewrite_title
@@ -49,6 +49,8 @@ class Config:
     rank_strategy: str = "auto"
     hot_rows: int = HOT_ROWS
     salts: int = SALTS
+    # From so many latest records on, a run classifies distinct inputs and joins the answers back.
+    distinct_from: int = 5_000_000
     # Checks on the staged relations (by their labels) that stop the run.
     gates: tuple[Gate, ...] = (
         Gate("directory", "not_null", ("full_name", "okta_department")),
@@ -64,7 +66,7 @@ def _directory(inputs: Inputs, config: Config) -> DataFrame:
     )
 
 
-def _as_previous(rows: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
+def _as_previous(rows: DataFrame, inputs: Inputs, config: Config, distinct: bool = False) -> DataFrame:
     """Latest rows with departments -> school, older rules, constant status."""
     placed = enrich.attach_school(
         rows,
@@ -73,13 +75,13 @@ def _as_previous(rows: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
         spread_by=enrich.PERSON,
     )
     return (
-        classify(placed, legacy_rules(config.people))
+        (classify_distinct if distinct else classify)(placed, legacy_rules(config.people))
         .withColumn("user_group_status", F.lit("Current"))
         .select(*PREVIOUS_COLUMNS)
     )
 
 
-def _as_current(rows: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
+def _as_current(rows: DataFrame, inputs: Inputs, config: Config, distinct: bool = False) -> DataFrame:
     """Latest active rows with departments -> school, lookup, current rules, overrides."""
     placed = enrich.attach_school(
         rows,
@@ -87,8 +89,8 @@ def _as_current(rows: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
         config.prefix_only,
         spread_by=enrich.PERSON,
     )
-    found = enrich.lookup_group(placed, enrich.user_groups(inputs.lookup), config.literal_lookup)
-    grouped = classify(found, current_rules(), default="group_name")
+    found = enrich.lookup_group(placed, enrich.user_groups(inputs.lookup), config.literal_lookup, distinct)
+    grouped = (classify_distinct if distinct else classify)(found, current_rules(), default="group_name")
     if config.overrides is not None:
         grouped = enrich.apply_overrides(grouped, config.overrides, spread_by=enrich.PERSON)
     return grouped
@@ -244,12 +246,15 @@ def run(inputs: Inputs, config: Config = Config()) -> DataFrame:
 def _run(inputs: Inputs, config: Config) -> DataFrame:
     latest = _shared_latest(inputs, config)
     flags = ("__previous", "__current")
+    # The count is read off the stored files.
+    distinct = latest.count() >= config.distinct_from
     previous = _as_previous(
         latest.where("__previous").drop(*flags).withColumn("okta_title", rewrite_title(F.col("okta_title"))),
         inputs,
         config,
+        distinct,
     )
-    current = _as_current(latest.where("__current").drop(*flags), inputs, config)
+    current = _as_current(latest.where("__current").drop(*flags), inputs, config, distinct)
     current = current.select(*[c for c in ASSIGNMENT_COLUMNS if c != "user_group_status"])
     changes = reconcile_rows(
         materialise(previous.select(*ASSIGNMENT_COLUMNS), "previous"),

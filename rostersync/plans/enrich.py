@@ -17,6 +17,7 @@ from rostersync.operators.joins import (
     exists_flag,
     join_identity,
     join_lookup,
+    join_lookup_distinct,
     with_active_account,
 )
 from rostersync.operators.rulesets import SCHOOL_MODELS
@@ -243,9 +244,15 @@ def user_groups(lookup: DataFrame) -> DataFrame:
     )
 
 
-def lookup_group(workers: DataFrame, groups: DataFrame, literal: bool = False) -> DataFrame:
-    """Group by exact title and department pattern; every match gives a row."""
-    return join_lookup(workers, broadcast_if_small(materialise(groups, "lookup")), literal=literal)
+def lookup_group(workers: DataFrame, groups: DataFrame, literal: bool = False, distinct: bool = False) -> DataFrame:
+    """Group by exact title and department pattern; every match gives a row.
+
+    ``distinct`` tests each pair of title and department once.
+    """
+    groups = broadcast_if_small(materialise(groups, "lookup"))
+    if distinct:
+        return join_lookup_distinct(workers, groups, literal=literal, spread_by=PERSON)
+    return join_lookup(workers, groups, literal=literal)
 
 
 def apply_overrides(

@@ -1,9 +1,24 @@
 """One row per rule that fires it, and the order of rules."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from rostersync.operators.rules import Rule, Condition, classify, is_, like, repeated_rules, unlike
+from rostersync.operators.gates import Gate, gated
+from rostersync.operators.joins import join_lookup, join_lookup_distinct
+from rostersync.operators.rules import (
+    Condition,
+    Rule,
+    classify,
+    classify_distinct,
+    is_,
+    like,
+    repeated_rules,
+    rule_inputs,
+    unlike,
+)
 from rostersync.operators.staging import materialise
 from rostersync.operators.rulesets import People, current_rules, legacy_rules
 
@@ -218,3 +233,48 @@ def test_filter_on_the_group_does_not_copy_the_rules(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert plan.count("StartsWith(") == 1
     assert kept.count() == 1
+
+
+RANDOM_RULES = (
+    Rule("One", (like("a", "%x%"), unlike("b", "%q%")), suffix="c"),
+    Rule("Two", (is_("b", "m", "n"),)),
+    Rule("Three", (like("c", "y_", "%%"), like("a", "%")), suffix="c"),
+)
+
+
+@pytest.mark.parametrize("default", [None, "d"])
+@pytest.mark.parametrize("small", [True, False])
+def test_distinct_inputs_give_the_same_groups(spark, monkeypatch, default, small):
+    rng = random.Random(4)
+    draw = lambda: rng.choice([None, "", "x", "xq", "m", "n", "Y1", "y2"])
+    data = [(i, draw(), draw(), draw(), draw()) for i in range(400)] * 2
+    df = spark.createDataFrame(data, "i int, a string, b string, c string, d string").repartition(5)
+    if not small:
+        monkeypatch.setattr("rostersync.operators.rules.is_small", lambda _: False)
+    assert rule_inputs(RANDOM_RULES, default) == ["a", "b", "c", *([default] if default else [])]
+    for rows_ in (df, df.withColumn("looker_user_group", F.lit("old"))):
+        got, want = classify_distinct(rows_, RANDOM_RULES, default), classify(rows_, RANDOM_RULES, default)
+        assert got.columns == want.columns
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
+def test_rules_run_on_distinct_inputs_only(spark):
+    """The written tuples are as many as there are combinations, and the rules stand above them."""
+    df = spark.range(2000).select((F.col("id") % 3).cast("string").alias("a"), F.lit("m").alias("b"), F.lit(None).cast("string").alias("c"))
+    with gated([Gate("rule-inputs", "rows", least=4)], stop=False) as watch:
+        classify_distinct(df, RANDOM_RULES).collect()
+    assert [o.violations for o in watch.outcomes] == [1]
+
+
+def test_distinct_lookups_give_the_same_matches(spark):
+    rng = random.Random(6)
+    data = [(i, rng.choice([None, "T1", "T2", "T3"]), rng.choice([None, "", "Legal", "School Ops", "a_b", "50%"])) for i in range(300)]
+    df = spark.createDataFrame(data, "i int, okta_title string, okta_department string")
+    lookup = spark.createDataFrame(
+        [(f"T{j % 3}", p, f"g{j}") for j, p in enumerate(["", "legal", "l_g", "%", None, "a\\_b", "SCHOOL%ops", "x"] * 3)],
+        "title string, department string, group_name string",
+    )
+    for literal in (False, True):
+        got, want = join_lookup_distinct(df, lookup, literal=literal), join_lookup(df, lookup, literal=literal)
+        assert got.columns == want.columns
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))

@@ -56,6 +56,7 @@ def test_both_sides_equal_sql(spark, hot):
         {"previous_filter": "esd_isactive"},
         {"nulls": "last"},
         {"strip_zeros": True, "prefix_only": True, "literal_lookup": True, "trim_both": True},
+        {"distinct_from": 0},
         {"rank_strategy": "range", "excluded_departments": ("Executive", "Legal")},
     ],
     ids=str,
@@ -146,9 +147,10 @@ FILTERS = {
 }
 
 
-@pytest.mark.parametrize("null_key", ["rank", "keep_all"])
-@pytest.mark.parametrize("kind", FILTERS)
-@pytest.mark.parametrize("seed, nulls, strip_zeros", [(21, "first", False), (22, "last", True)])
+@pytest.mark.parametrize(
+    "kind, null_key, seed, nulls, strip_zeros",
+    [(kind, key, 21, "first", False) for kind in FILTERS for key in ("rank", "keep_all")] + [("both", "keep_all", 22, "last", True)],
+)
 def test_latest_before_the_join_equals_latest_after_it(spark, null_key, kind, seed, nulls, strip_zeros):
     inputs, _, _ = _case(spark, seed, n=90, hot=0.3)
     chosen = FILTERS[kind]() if FILTERS[kind] else None
