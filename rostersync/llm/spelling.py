@@ -24,6 +24,8 @@ No list is cut: whatever a list holds is compared, after division.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -59,18 +61,25 @@ def _marked(word: str) -> str:
     return "\x01" * MARKS + word + "\x02" * MARKS
 
 
+def _short_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Grams shorter than the longest and their places; a task holds no more than the alphabet allows."""
+    held: Counter[str] = Counter()
+    for batch in batches:
+        for word in batch.column(0).to_pylist():
+            marked = _marked(word)
+            for size in range(SHORTEST, LONGEST):
+                held.update([marked[p : p + size] for p in range(len(marked) - size + 1)])
+    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["gram", "n"])
+
+
 def frequent_grams(words: DataFrame, frequent: int) -> dict[str, int]:
     """Grams shorter than ``LONGEST`` in more than ``frequent`` places, with their numbers.
 
     At most one entry for each combination of ``LONGEST - 1`` letters of the alphabet.
     """
-    word = F.concat(F.lit("\x01" * MARKS), "word", F.lit("\x02" * MARKS))
-    places = [
-        F.transform(F.sequence(F.lit(1), F.length(word) - (size - 1)), lambda i, size=size: F.substring(word, i, F.lit(size)))
-        for size in range(SHORTEST, LONGEST)
-    ]
-    grams = words.select(F.explode(F.concat(*places)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-    return {r["gram"]: r["n"] for r in grams.filter(F.col("n") > frequent).collect()}
+    grams = words.select("word").mapInArrow(_short_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    found = grams.filter(F.col("n") > frequent).toArrow()
+    return dict(zip(found["gram"].to_pylist(), found["n"].to_pylist(), strict=True))
 
 
 def decompose(marked: str, frequent: dict[str, int]) -> list[tuple[int, int]]:
@@ -94,13 +103,19 @@ def affected(marked: str, grams: list[tuple[int, int]], frequent: dict[str, int]
     start up to there are a frequent gram; what such a one newly covers is hidden. It may hide a gram
     after the place if a changed one can reach its end.
     """
-    most = 0
+    most, starts = 0, [start for start, _ in grams]
     for i in range(MARKS, len(marked) - MARKS + 1):
         # The first start from which a gram can reach the place.
         first = next((p for p in range(max(0, i - LONGEST + 1), i) if i - p < SHORTEST or marked[p:i] in frequent), i)
-        before = [g for g in grams if g[0] >= first and g[0] < i or g[1] > i > g[0]]
-        replaced = sum(g in before or g[0] == i or i < g[0] and g[1] - LONGEST <= i for g in grams)
-        inserted = sum(g in before or g[0] >= i and g[1] - LONGEST < i for g in grams)
+        replaced = inserted = 0
+        for start, end in grams[bisect_left(starts, i - LONGEST) : bisect_left(starts, i + LONGEST)]:
+            if start < i:
+                hit = start >= first or end > i
+                replaced += hit
+                inserted += hit
+            else:
+                replaced += start == i or end - LONGEST <= i
+                inserted += end - LONGEST < i
         most = max(most, inserted, replaced if i < len(marked) - MARKS else 0)
     return most
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -101,6 +102,20 @@ def test_gram_bounds_hold_for_every_edit():
                     assert kept >= len(grams) - bound
 
 
+def test_very_long_words(spark):
+    """Time grows with the letters, not with their square."""
+    rng = random.Random(1)
+    long = "".join(rng.choice("abc") for _ in range(60_000))
+    words = [long, long[:30_000] + "d" + long[30_000:], long[:100] + long[101:], "a" * 50_000]
+    began = time.process_time()
+    marked = spelling._marked(long)
+    spelling.affected(marked, spelling.decompose(marked, {"ab": 9, "abc": 9}), {"ab": 9, "abc": 9})
+    assert time.process_time() - began < 5
+    counts = dict(zip(words, (9, 4, 3, 5), strict=True))
+    got = _got(spelling.variants(spark.createDataFrame(list(counts.items()), "word string, n int")))
+    assert [got[w][0] for w in words] == [None, long, long, None]
+
+
 def test_spelling_odd_tables(spark):
     odd = [(1, None), (None, "Hello hello HELLO hellp hellp, hello"), (2, ""), (2, "hello " * 30), (2, "hello " * 30), (3, "École ×÷ école 123 helló")]
     docs = spark.createDataFrame(odd, "doc_id long, text string").withColumn("word", F.lit("clash")).withColumn("n", F.lit(1))
