@@ -53,7 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result but the last written and read again."""
+    """All stages over ``documents``, each result but the last written and read again.
+
+    Null, empty and letterless texts go in the first stage. An empty table passes through all stages and
+    gives no rows. Null languages and sources are kept; a null source is a source of its own.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
