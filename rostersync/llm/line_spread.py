@@ -109,7 +109,9 @@ def drop_shared_lines(
 def without_shared_lines(docs: DataFrame, min_sites: int = 3, doc_id: str = "doc_id", text: str = "text", site: str = "source", length: str = "n_chars") -> DataFrame:
     """The input with clean texts and, where there is such a column, their lengths in ``length``.
 
-    Documents that had words and lost all of them are copies line by line; they go.
+    Documents that had words and lost all of them are copies line by line; they go. Null and empty texts
+    stay as they are, rows without a site keep their lines, and repeated rows are treated alike. An empty
+    table gives no rows. Other columns pass through, whatever their names.
     """
     cleaned = drop_shared_lines(docs, min_sites, doc_id, text, site)
     left = F.coalesce(F.col("clean").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))

@@ -177,7 +177,11 @@ def mixture(
 ) -> DataFrame:
     """The mixed rows themselves, with the columns of the input, each as often as ``mix`` says.
 
-    A row's copies follow from its source and key, so no row is moved to find them.
+    A row's copies follow from its source and key, so no row is moved to find them. Rows of one source
+    and id come as often as each other; a null id is an id like others, a null source a source of its own,
+    the last in order. Rows of size 0 or null, empty and null texts among them, add no words and follow the
+    same rule as the rest of their source. An empty table gives no rows. Other columns pass through, whatever
+    their names.
     """
     rows = materialise(_narrow(docs, size, doc_id, source, seed), "mix-rows")
     found = broadcast_if_small(cuts(rows, weights, (share,), most))

@@ -375,7 +375,9 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, least: str | float = "0.8") -> DataFrame:
     """The input with one row of each component, that of the smallest id, and all rows without n-grams.
 
-    Where equal rows share the smallest id, one of them stays.
+    Where equal rows share the smallest id, one of them stays. Null texts and texts without words stay; a
+    null id is larger than any other. An empty table gives no rows. Other columns pass through, whatever
+    their names.
     """
     t = Fraction(str(least))
     scanned = _scanned(docs, doc_id, text, size, t)

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_llm import brute_components, shingles
 
 from rostersync.llm import language, oracle
@@ -92,3 +93,24 @@ def test_run_against_brute_force(spark, tmp_path, monkeypatch):
     want = Counter((d["doc_id"], d["lang"], d["source"], tuple(library.encode(d["text"]))) for d in before)
     assert Counter((r["doc_id"], r["lang"], r["source"], tuple(r["piece_ids"])) for r in last) == want
     assert len(made["language"]) < len(rows) and len(made["near_duplicates"]) < len(made["language"])
+
+
+def test_run_on_an_empty_table_and_on_odd_rows(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    odd = [(None, None, None, None, None), (1, "", "en", None, 0), (2, "Words without a language or a source.", None, None, 37), (2, "Words without a language or a source.", None, None, 37)]
+    spark.createDataFrame(odd, docs.schema).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert {r["doc_id"] for r in got} == {2} and all(r["lang"] is None and r["source"] is None and r["piece_ids"] for r in got)
+
+
+def test_stages_keep_clashing_columns(spark):
+    """Columns called like what the operators add pass through the filtering stages."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    names = ["row", "key", "size", "node", "copies", "clean", "lang_pred", "score", "n", "gram"]
+    wide = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, None)
+        assert out.columns == wide.columns, name
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in out.collect() for n in names), name

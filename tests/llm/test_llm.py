@@ -557,3 +557,32 @@ def test_vectors_at_a_lower_threshold_against_all_pairs(spark):
     want = ((unit @ unit.T) >= 0.93).sum(axis=1) - 1
     got = {r["vec_id"]: r["n_links"] for r in near_vectors(df, 0.93).collect()}
     assert [got[i] for i in range(360)] == want.tolist() and want.sum() > 300
+
+
+def test_vectors_with_null_and_repeated_ids_and_clashing_columns(spark):
+    a, b, c = [1.0, 0.0, 0.1], [1.0, 0.0, 0.12], [0.0, 1.0, 0.0]
+    rows = [(None, a, 1), (5, b, 1), (5, b, 1), (7, c, 1), (8, c, 2), (None, c, 2), (None, [0.0, 0.0, 1.0], 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    for name in ("node", "n_links", "component_id", "kept", "a", "b", "cell", "first", "copies"):
+        df = df.withColumn(name, F.lit("clash"))
+    got = Counter(map(tuple, near_vectors(df).collect()))
+    assert got == Counter(
+        [(None, 2, 5, False), (5, 2, 5, True), (5, 2, 5, True), (7, 0, 7, True), (8, 1, 8, True), (None, 1, 8, False), (None, 0, None, True)]
+    )
+
+
+def test_host_rules_on_odd_rows(spark, odd):
+    """Counts of every odd text by plain Python."""
+    got = {r["doc_id"]: r for r in judge(odd).collect()}
+    for r in odd.collect():
+        words, text = (r["text"] or "").encode().split(), r["text"] or ""
+        lines = [line for line in text.split("\n") if line.encode().split()]
+        grams = defaultdict(list)
+        for i in range(len(words) - 2):
+            grams[tuple(words[i : i + 3])].append(i)
+        repeated = {i + k for places in grams.values() if len(places) > 1 for i in places for k in range(3)}
+        have = got[r["doc_id"]]
+        want = (len(words), sum(len(w.decode()) for w in words), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeated))
+        assert tuple(have[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want
+        assert have["base_failed"] == (len(words) < 50 or 100 * len(repeated) > 50 * len(words))
+        assert not (have["kept"] and have["base_failed"])
