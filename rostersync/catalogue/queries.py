@@ -74,6 +74,25 @@ def scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(union_all, counts)
 
 
+_PRESENT = (
+    "SELECT '{0}' AS source_name, column_name, n_present FROM "
+    "(UNPIVOT (SELECT count(COLUMNS(*)) AS '\\0' FROM {0}) ON COLUMNS(*) INTO NAME column_name VALUE n_present)"
+)
+
+
+@register(" UNION ALL ".join(_PRESENT.format(t) for t in TABLES))
+def scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of every table read: how many of its values are present."""
+
+    def present(name: str) -> DataFrame:
+        table = S.table(spark, sf_dir, name)
+        counts = table.agg(*[F.count(F.col(c)).alias(c) for c in table.columns])
+        named = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_present")) for c in table.columns])
+        return counts.select(F.lit(name).alias("source_name"), F.inline(named))
+
+    return reduce(union_all, map(present, TABLES))
+
+
 @register("SELECT c_custkey AS worker_id, c_name AS display_name, c_mktsegment AS department FROM customer")
 def scan_rename_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Names are matched whatever their case.
