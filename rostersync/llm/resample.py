@@ -7,6 +7,7 @@ ratio of the two models. Gumbel noise made of the id is added, and the k largest
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 from rostersync.llm.common import col, hash_key, slices, words_as_ids
 from rostersync.operators.staging import materialise
 
-#: Hash buckets of the models: one a document, within these bounds. The ratios are broadcast, 8 bytes a bucket.
-LEAST_BUCKETS, MOST_BUCKETS = 1 << 14, 1 << 20
+#: Hash buckets of the models, within bounds: as the different words of a text do, they grow with the
+#: square root of the documents, so that what tasks send grows little faster than what they read. The
+#: ratios are broadcast, 8 bytes a bucket.
+LEAST_BUCKETS, MOST_BUCKETS, PER_ROOT = 1 << 14, 1 << 20, 64
 #: Bound of the sample the target model is fitted on (those with the smallest hashes of their ids).
 TARGET_DOCS = 20_000
 BINS, FEW = 4096, 10_000
@@ -29,8 +32,9 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def buckets_for(documents: int) -> int:
-    """A power of two that grows with the documents, up to ``MOST_BUCKETS``."""
-    return min(max(LEAST_BUCKETS, 1 << max(0, documents - 1).bit_length()), MOST_BUCKETS)
+    """A power of two that grows with the square root of the documents, up to ``MOST_BUCKETS``."""
+    wanted = PER_ROOT * math.isqrt(documents)
+    return min(max(LEAST_BUCKETS, 1 << max(0, wanted - 1).bit_length()), MOST_BUCKETS)
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -112,7 +116,8 @@ def resample(
 
     ``target_ids`` (one column ``doc_id``) names target documents; ``TARGET_DOCS`` of them at most are
     learned from, the raw model counts all documents. Words and word pairs share ``buckets`` hash buckets,
-    by default a power of two that grows with the documents, from 16,384 up to 1,048,576. A text that is null or has no words has a null
+    by default a power of two that grows with the square root of the documents, from 16,384 up to 1,048,576.
+    A text that is null or has no words has a null
     weight and is not kept. Rows with one id and text get one weight and one draw, so they are kept or
     left together; at a tie on the last place all tied rows stay. An empty table gives no rows, and
     without targets the order is that of the noise. Other columns are not looked at.

@@ -477,7 +477,7 @@ def test_log_weights_equal_dictionaries(spark, buckets):
 
 
 def test_buckets_grow_with_the_documents():
-    assert [resample_module.buckets_for(n) for n in (0, 1, 2**14, 2**14 + 1, 10**5, 10**12)] == [2**14, 2**14, 2**14, 2**15, 2**17, 2**20]
+    assert [resample_module.buckets_for(n) for n in (0, 1, 10**4, 2**16, 2**16 + 600, 10**6, 10**12)] == [2**14, 2**14, 2**14, 2**14, 2**15, 2**16, 2**20]
 
 
 def _probabilities(w, text):
