@@ -71,24 +71,24 @@ def _added(current: DataFrame, previous: DataFrame, key: str, value: str, status
     return joined.where(_differs(value)).select(*kept, F.lit("add").alias(status))
 
 
-def _outcomes(
+def _removed(
     previous: DataFrame,
     current: DataFrame,
     key: str,
     value: str,
+    status: str,
     stamp: str,
-    staged: bool,
-    hot_rows: int,
-    salts: int,
+    staged: bool = False,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """What becomes of a group of a key at each current stamp of the key: ``__key``, ``__value``, ``__stamp``, ``__seen``, ``__gone``.
+    """Each previous row once per current stamp of its key, then once per status it has there.
 
-    Rows of a key with the same group share their outcomes, so the distinct pairs of key and group are
-    compared, not the rows. A group stands where it is the smallest or the largest at a stamp. In
-    between, which takes three groups at one key and stamp, a list of the groups in between tells.
+    Its group stands where it is the smallest or the largest there. In between, which takes three
+    groups at one key and stamp, a list of the groups in between tells.
     """
-    at = "__stamp"
-    groups = _groups(current, key, value, stamp).withColumnRenamed(f"__{stamp}", at)
+    at = f"__{stamp}"
+    groups = _groups(current, key, value, stamp)
     if staged:
         groups = materialise(groups, "groups")
     extent = _extent(groups, "__key", at)
@@ -99,15 +99,22 @@ def _outcomes(
             (F.col("__key") == F.col("__key2")) & F.col(at).eqNullSafe(F.col("__at2")),
         )
         .where((F.col("__value") > F.col("__lo")) & (F.col("__value") < F.col("__hi")))
-        .select("__key", F.col(at).alias("__at2"), "__value", F.lit(True).alias("__inner"))
+        .select("__key", at, "__value", F.lit(True).alias("__inner"))
     )
     if staged:
         inner = materialise(inner, "inner")
-    pairs = _groups(previous, key, value).withColumnsRenamed({"__key": "__old_key", "__value": "__old"})
-    joined = attach_many(pairs, extent, {"__old_key": "__key"}, hot_rows, salts, staged, ["__old"], ["__key", at])
-    on = {"__old_key": "__key", at: "__at2", "__old": "__value"}
-    joined = attach(joined, inner, on, null_safe=[at], spread_by=["__old_key"])
-    own = F.col("__old")
+    spread_by = _others(previous, key, value, status, stamp)
+    joined = attach_many(
+        previous, extent, {key: "__key"}, hot_rows, salts, staged, spread_by, ["__key", at]
+    )
+    joined = attach(
+        joined.withColumnRenamed(at, "__stamp"),
+        inner.withColumnRenamed(at, "__stamp2"),
+        {key: "__key", "__stamp": "__stamp2", value: "__value"},
+        null_safe=["__stamp"],
+        spread_by=spread_by,
+    )
+    own = F.col(value)
     holds = F.col("__seen") & (
         (own.isNull() & F.col("__hi").isNotNull())
         | (own == F.col("__lo"))
@@ -115,51 +122,13 @@ def _outcomes(
         | F.coalesce("__inner", F.lit(False))
     )
     # True for gone, False for standing; a status may itself be NULL, so it is not what is listed.
-    told = F.array_compact(F.array(F.when(_differs("__old"), True), F.when(holds, False)))
-    return joined.select(
-        F.col("__old_key").alias("__key"), F.col("__old").alias("__value"), at, "__seen", F.explode(told).alias("__gone")
-    )
-
-
-def _removed(
-    previous: DataFrame,
-    current: DataFrame,
-    key: str,
-    value: str,
-    status: str,
-    stamp: str,
-    staged: bool = False,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Each previous row once for each outcome of its key and group.
-
-    Only here, at the end, do rows multiply by the stamps of their key; the answer is as long.
-    """
-    outcomes = _outcomes(previous, current, key, value, stamp, staged, hot_rows, salts)
-    # NULL groups have outcomes like others.
-    named = {"__no_group": F.col("__value").isNull(), "__group": F.coalesce(F.col("__value").cast("string"), F.lit(""))}
-    outcomes = outcomes.withColumns(named).drop("__value")
-    if staged:
-        outcomes = materialise(outcomes, "outcomes")
-    rows = previous.withColumns({"__own_none": F.col(value).isNull(), "__own": F.coalesce(F.col(value).cast("string"), F.lit(""))})
-    joined = attach_many(
-        rows,
-        outcomes,
-        {key: "__key", "__own": "__group", "__own_none": "__no_group"},
-        hot_rows,
-        salts,
-        staged,
-        _others(previous, key, value, status, stamp),
-        ["__key", "__stamp"],
-    )
+    outcomes = F.array_compact(F.array(F.when(_differs(value), True), F.when(holds, False)))
     kept = [c for c in previous.columns if c not in (key, stamp, status)]
-    # A row without a key has no outcome: it is gone.
-    return joined.select(
+    return joined.withColumn("__gone", F.explode(outcomes)).select(
         *kept,
         F.when(F.col("__seen"), F.col(key)).alias(key),
         F.col("__stamp").alias(stamp),
-        F.when(F.coalesce("__gone", F.lit(True)), "remove").otherwise(F.col(status)).alias(status),
+        F.when(F.col("__gone"), "remove").otherwise(F.col(status)).alias(status),
     )
 
 
@@ -185,8 +154,7 @@ def diff_removed(
 
     Key and ``stamp`` come from the current side, NULL for keys that left it; a key with several
     current stamps gives one row per stamp, and may be both removed and standing. The answer of a key
-    thus grows with its previous rows times its current stamps; ``reconcile(mode="set")`` does not. What is
-    compared grows with its distinct groups times its stamps.
+    thus grows with its previous rows times its current stamps; ``reconcile(mode="set")`` does not.
     """
     out = _removed(previous, current, key, value, status, stamp)
     return out.select(*previous.columns).distinct()
