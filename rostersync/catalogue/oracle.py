@@ -308,10 +308,9 @@ FROM ({TEXT_WORKFORCE})
 WHERE (hire_date IS NULL OR TRY_CAST(hire_date AS DATE) IS NOT NULL) AND (lst_updt_ts IS NULL OR TRY_CAST(lst_updt_ts AS TIMESTAMP) IS NOT NULL)
   AND (termination_date IS NULL OR CAST(CAST(termination_date AS DATE) AS TIMESTAMP) = termination_date)"""
 REJECTED_WORKFORCE = f"""
-WITH t AS ({TEXT_WORKFORCE})
-SELECT email_address, 'hire_date' AS "column", 'date' AS declared, hire_date AS "value" FROM t WHERE hire_date IS NOT NULL AND TRY_CAST(hire_date AS DATE) IS NULL
-UNION ALL SELECT email_address, 'lst_updt_ts', 'timestamp_ntz', lst_updt_ts FROM t WHERE lst_updt_ts IS NOT NULL AND TRY_CAST(lst_updt_ts AS TIMESTAMP) IS NULL
-UNION ALL SELECT email_address, 'termination_date', 'date', strftime(termination_date, '%Y-%m-%d %H:%M:%S') FROM t
+SELECT email_address, 'hire_date' AS "column", 'date' AS declared, hire_date AS "value" FROM ({TEXT_WORKFORCE}) AS t WHERE hire_date IS NOT NULL AND TRY_CAST(hire_date AS DATE) IS NULL
+UNION ALL SELECT email_address, 'lst_updt_ts', 'timestamp_ntz', lst_updt_ts FROM ({TEXT_WORKFORCE}) AS t WHERE lst_updt_ts IS NOT NULL AND TRY_CAST(lst_updt_ts AS TIMESTAMP) IS NULL
+UNION ALL SELECT email_address, 'termination_date', 'date', strftime(termination_date, '%Y-%m-%d %H:%M:%S') FROM ({TEXT_WORKFORCE}) AS t
   WHERE CAST(CAST(termination_date AS DATE) AS TIMESTAMP) <> termination_date"""
 
 # The older side with a filter, rows without an account id each kept.
