@@ -8,10 +8,11 @@ all of them map tasks:
    the chunks that several documents share; the ``dictionary`` chunks that save most bytes are taken.
 2. The text with the smallest hash of each such chunk hands the chunk out, and it is encoded, once. A
    chunk has at most ``MOST`` bytes, so the dictionary is broadcast with a size known beforehand.
-3. Each text is cut again. Chunks of the dictionary come with their ids, all others are encoded in place,
-   where a worker's cache holds those met before. Then every join of two chunks is repaired: the library
-   encodes a window of words on both sides of it, and the window grows until its outer words come out
-   with exactly the ids that the chunks have for them. What lies between replaces the ids at the join.
+3. Each text is cut again. Chunks of the dictionary come with their ids; the words of all others are
+   encoded in place, each distinct one once for a slice of texts, where a worker's cache holds those met
+   before. Then every join of two chunks is repaired: the library encodes a window of words on both sides
+   of it, the first windows of a slice at once, and the window grows until its outer words come out with
+   exactly the ids that the chunks have for them. What lies between replaces the ids at the join.
 
 The dictionary decides how often a chunk is encoded, never an id: chunks are compared as bytes.
 """
@@ -23,10 +24,11 @@ import os
 import re
 from array import array
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +46,10 @@ CACHE, CHUNK_CACHE = 400_000, 4_096  # words and chunks that a worker remembers
 END = (b".", b",", b"!", b"?", b";", b":")
 #: Letters whose UTF-8 forms no normalizer named below changes but for their case: A to Z and U+00C0 to U+00FF without the two signs.
 LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Words of those letters, ASCII digits and signs but the apostrophe, and what a split as ``SPLIT`` makes of them.
+PLAIN = re.compile(rb"(?:[!-&(-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+PIECES = re.compile(LATIN.pattern + rb"|[0-9]|[!-/:-@\[-`{-~]+")
+SPLIT = ("[\\p{L}]+|", "[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
 #: How byte-level models write bytes: those that print stand for themselves, the others follow from U+0100 on.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_NAMES = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
@@ -131,9 +137,10 @@ def check_model(model: str) -> None:
 class Words(dict):
     """Word (bytes without ASCII white space) -> its ids as bytes of int32.
 
-    When full, the words become the older half, from which those met again come back. A word of Latin
-    letters alone is one pre-token, which the model takes without the steps before it; a full stop or the
-    like after it is the next one. All other words go through the library whole.
+    When full, the words become the older half, from which those met again come back. A run of Latin
+    letters, a digit and a run of signs are one pre-token each, which the model takes without the steps
+    before it, letters in lower case once for all their spellings where the tokenizer lowers them; a word
+    of several is put together from their ids. All other words go through the library whole.
     """
 
     def __init__(self, tokenizer: Tokenizer):
@@ -144,24 +151,42 @@ class Words(dict):
         pre = spec.get("pre_tokenizer") or {}
         pattern = pre.get("pretokenizers", [pre])[0].get("pattern", {}).get("Regex", "")
         # What stands before the run of letters begins with an apostrophe, and no added token is of letters.
-        before, letters, _ = pattern.partition("[\\p{L}]+|")
+        before, letters, after = pattern.partition(SPLIT[0])
         apart = all(x.startswith("'") for x in before.split("|") if x)
-        self.direct = bool(letters) and apart and not any(LATIN.fullmatch(t["content"].encode()) for t in spec["added_tokens"])
+        added = [t["content"].encode() for t in spec["added_tokens"]]
+        self.direct = bool(letters) and apart and not any(map(LATIN.fullmatch, added))
+        # Beyond letters and one sign, the split must be known to its end, and no added token lie in the word.
+        self.splits = self.direct and after == SPLIT[1]
+        self.added = re.compile(b"|".join(map(re.escape, added)) or b"(?!)")
+
+    def piece(self, word: bytes) -> bytes:
+        """Ids of one pre-token, of which the normalizer changes nothing more."""
+        name = word.decode() if word.isascii() else word.decode("latin-1").translate(BYTE_NAMES)
+        return array("i", [t.id for t in self.model.tokenize(name)]).tobytes()
 
     def letters(self, word: bytes) -> bytes:
         if self.lowers:
-            word = word.decode().lower().encode()
-        return array("i", [t.id for t in self.model.tokenize(word.decode("latin-1").translate(BYTE_NAMES))]).tobytes()
+            lower = word.lower() if word.isascii() else word.decode().lower().encode()
+            if lower != word:
+                return self[lower]
+        return self.piece(word)
+
+    def fresh(self, word: bytes) -> bytes:
+        """Ids of a word not met before."""
+        if self.direct:
+            if word.isalpha() or LATIN.fullmatch(word):
+                return self.letters(word)
+            if word[-1:] in END and LATIN.fullmatch(word, 0, len(word) - 1):
+                return self[word[:-1]] + self[word[-1:]]
+            if self.splits and PLAIN.fullmatch(word) and not self.added.search(word):
+                parts = PIECES.findall(word)
+                return b"".join(map(self.__getitem__, parts)) if len(parts) > 1 else self.piece(word)
+        return array("i", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            if self.direct and LATIN.fullmatch(word):
-                ids = self.letters(word)
-            elif self.direct and word[-1:] in END and LATIN.fullmatch(word, 0, len(word) - 1):
-                ids = self[word[:-1]] + self[word[-1:]]
-            else:
-                ids = array("i", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+            ids = self.fresh(word)
         if len(self) >= CACHE // 2:
             self.older = dict(self)
             self.clear()
@@ -195,12 +220,12 @@ class Reuse:
             self.met: dict[bytes, list[bytes | None]] = {}
         return self
 
-    def chunk(self, chunk: bytes) -> list[bytes | None]:
-        """The ids of each word of a chunk; None for a first or last one that may go on beyond its ends."""
+    def chunk(self, chunk: bytes, words: list[bytes] | None = None) -> list[bytes | None]:
+        """The ids of each of its words, split beforehand or here; None for a first or last one that may go on beyond its ends."""
         found = self.met.get(chunk)
         if found is not None:
             return found
-        words = chunk.split()
+        words = chunk.split() if words is None else words
         if (held := self.known.get(chunk)) is not None:
             ends = np.cumsum([0, *held[1]]).tolist()
             found = [held[0][a:b] for a, b in zip(ends, ends[1:], strict=False)]
@@ -218,35 +243,115 @@ class Reuse:
         self.met[chunk] = found
         return found
 
-    def encode(self, text: bytes) -> bytes:
-        """Ids of a text: those of its chunks, repaired where two meet."""
-        words: list[bytes] = []
-        ids: list[bytes | None] = []
-        joined: list[int] = []  # numbers of words that lie in two chunks or more
+    def lay(self, text: bytes, words: list[bytes], given: dict[int, bytes], joined: list[int]) -> None:
+        """Put the words of a text to ``words``, the ids its known chunks have for them to ``given``.
+
+        ``joined`` takes the numbers of words that lie in two chunks or more.
+        """
         open_word = False
         for chunk in chunks(text):
             new = chunk.split()
             if not new:
                 open_word = False
                 continue
-            new_ids = self.chunk(chunk)
+            at = len(words)
             if open_word and not chunk[:1].isspace():
-                if not joined or joined[-1] != len(words) - 1:
-                    joined.append(len(words) - 1)
-                words[-1] += new[0]
-                new, new_ids = new[1:], new_ids[1:]
-            words += new
-            ids += new_ids
+                at -= 1
+                if not joined or joined[-1] != at:
+                    joined.append(at)
+                words[at] += new[0]
+                words += new[1:]
+            else:
+                words += new
+            if chunk in self.known:
+                given.update((i, x) for i, x in enumerate(self.chunk(chunk, new), at) if x is not None)
             open_word = not chunk[-1:].isspace()
-        at_joins = set(joined)
-        for i in [i for i, x in enumerate(ids) if x is None and i not in at_joins]:
-            ids[i] = self.words[words[i]]  # at an end of the text, or beside white space
-        for i in joined:
-            ids[i] = None
+
+    def encode(self, texts: list[bytes]) -> pa.ListArray:
+        """Ids of texts: those of their chunks, repaired where two meet. Each other word is looked up once."""
+        words: list[bytes] = []
+        given: dict[int, bytes] = {}
+        joined: list[int] = []
+        starts = [0]
+        for text in texts:
+            here: list[bytes] = []
+            near: dict[int, bytes] = {}
+            cut: list[int] = []
+            self.lay(text, here, near, cut)
+            given.update((starts[-1] + i, x) for i, x in near.items())
+            joined += [starts[-1] + i for i in cut]
+            words += here
+            starts.append(len(words))
         for i in joined:
-            if ids[i] is None:
-                self.repair(words, ids, i)
-        return b"".join(ids)
+            given.pop(i, None)
+        keys: list[bytes | None] = [*words]
+        for i in (*given, *joined):
+            keys[i] = None
+        found = pa.array(keys, pa.binary()).dictionary_encode()
+        del keys
+        table = [*map(self.words.__getitem__, found.dictionary.to_pylist())]
+        # Of each word the number of its ids in the table; -1 while it has none.
+        at = found.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if given:
+            at[[*given]] = np.arange(len(table), len(table) + len(given))
+            table += given.values()
+        self.join(words, starts, joined, at, table)
+        sizes = np.array([*map(len, table)], np.int64) // 4
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.cumsum([0, *sizes]).astype(np.int32)), pa.array(np.frombuffer(b"".join(table), "<i4"), pa.int32())
+        )
+        ends = np.concatenate([[0], np.cumsum(sizes[at])])[starts]
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), lists.take(pa.array(at)).flatten())
+
+    def join(self, words: list[bytes], starts: list[int], joined: list[int], at: np.ndarray, table: list[bytes]) -> None:
+        """Repair all joined words. The library gets their first windows at once; those that disagree grow one by one."""
+
+        def ids(i: int) -> bytes | None:
+            return table[at[i]] if at[i] >= 0 else None
+
+        def put(i: int, new: bytes) -> None:
+            at[i] = len(table)
+            table.append(new)
+
+        ends = [(starts[t - 1], starts[t]) for t in np.searchsorted(starts, joined, "right").tolist()]
+        windows = [self.window(i, 1, *between, ids) for i, between in zip(joined, ends, strict=True)]
+        spans = [b" ".join(words[low : high + 1]).decode() for low, high in windows]
+        got = [np.array(e.ids, "<i4").tobytes() for e in self.tokenizer.encode_batch_fast(spans, add_special_tokens=False)]
+        for i, (start, end), (low, high), inside in zip(joined, ends, windows, got, strict=True):
+            if at[i] >= 0:
+                continue
+            outer = self.outer(i, low, high, ids)
+            # A window planned before others were repaired holds if it would be the same now.
+            if (low, high) == self.window(i, 1, start, end, ids) and self.agrees(inside, *outer):
+                for j in range(low, high + 1):
+                    if at[j] < 0:
+                        put(j, b"")
+                put(i, inside[len(outer[0]) : len(inside) - len(outer[1])])
+                continue
+            near = [ids(j) for j in range(start, end)]
+            before = [*near]
+            self.repair(words[start:end], near, i - start)
+            for j, (old, new) in enumerate(zip(before, near, strict=True), start):
+                if old is not new:
+                    put(j, new)
+
+    @staticmethod
+    def window(i: int, k: int, start: int, end: int, ids: Callable[[int], bytes | None]) -> tuple[int, int]:
+        """First and last word of the window of ``k`` words around ``i``, moved out to words with ids."""
+        low, high = max(start, i - k), min(end - 1, i + k)
+        while low > start and not ids(low):
+            low -= 1
+        while high < end - 1 and not ids(high):
+            high += 1
+        return low, high
+
+    @staticmethod
+    def outer(i: int, low: int, high: int, ids: Callable[[int], bytes | None]) -> tuple[bytes, bytes]:
+        return (ids(low) or b"" if low < i else b""), (ids(high) or b"" if high > i else b"")
+
+    @staticmethod
+    def agrees(got: bytes, first: bytes, last: bytes) -> bool:
+        return got.startswith(first) and got.endswith(last) and len(got) >= len(first) + len(last)
 
     def repair(self, words: list[bytes], ids: list[bytes | None], i: int) -> None:
         """Give the joined word ``i`` its ids by encoding it between words whose ids are known.
@@ -256,16 +361,11 @@ class Reuse:
         """
         k = 1
         while True:
-            low, high = max(0, i - k), min(len(words) - 1, i + k)
-            while low > 0 and not ids[low]:
-                low -= 1
-            while high < len(words) - 1 and not ids[high]:
-                high += 1
+            low, high = self.window(i, k, 0, len(words), ids.__getitem__)
             window = b" ".join(words[low : high + 1]).decode()
             got = np.array(self.tokenizer.encode(window, add_special_tokens=False).ids, "<i4").tobytes()
-            first = ids[low] or b"" if low < i else b""
-            last = ids[high] or b"" if high > i else b""
-            agree = got.startswith(first) and got.endswith(last) and len(got) >= len(first) + len(last)
+            first, last = self.outer(i, low, high, ids.__getitem__)
+            agree = self.agrees(got, first, last)
             whole = low == 0 and high == len(words) - 1
             if agree or whole:
                 break
@@ -374,6 +474,14 @@ class Names:
         self.tokenizer, self.own = tokenizer, json.loads(tokenizer.to_str()).get("decoder") is not None
         self.names = {} if self.own else {i: t for t, i in tokenizer.get_vocab().items()}
 
+    def column(self, lists: pa.ListArray) -> pa.Array:
+        """The same for a column of lists of ids as ``encode`` gives them, all of them the tokenizer's."""
+        if self.own:
+            return pa.array([*map(self.decode, lists.to_pylist())], pa.string())
+        if not hasattr(self, "by_id"):
+            self.by_id = pa.array([self.names.get(i) for i in range(max(self.names) + 1)], pa.string())
+        return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, self.by_id.take(lists.values)), " ")
+
     def decode(self, ids: list[int | None]) -> str:
         if self.own:
             return self.tokenizer.decode([i for i in ids if i is not None and i >= 0], skip_special_tokens=False)
@@ -410,13 +518,10 @@ def encode(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = reuse.value.open()
         names = Names(opened.tokenizer) if decoded else None
-        for batch in slices(batches, at, 4 << 20):
-            ids = [*map(opened.encode, _texts(batch, at))]
-            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-            flat = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
-            columns = [*batch.columns[:at], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
+        for batch in slices(batches, at, 2 << 20):
+            columns = [*batch.columns[:at], opened.encode(_texts(batch, at))]
             if names:
-                columns.append(pa.array([names.decode(np.frombuffer(x, "<i4").tolist()) for x in ids], pa.string()))
+                columns.append(names.column(columns[-1]))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -204,6 +204,50 @@ def test_windows_grow_until_the_guards_agree(tokenizer):
     assert b"".join(ids) == b"".join(right)
 
 
+class _Counting:
+    """Passes calls on and notes what they were for."""
+
+    def __init__(self, to):
+        self.to, self.seen, self.calls = to, [], 0
+
+    def __getattr__(self, name):
+        def call(what, **options):
+            self.calls += 1
+            self.seen += what if isinstance(what, list) else [what]
+            return getattr(self.to, name)(what, **options)
+
+        return call
+
+
+def test_words_of_plain_signs_are_put_together_from_their_runs(tokenizer):
+    """Each run goes to the model once, whatever its spelling and what stands beside it, and no such word to the library."""
+    reuse = chunk_reuse.Reuse(open(tokenizer_path(WORD_BPE), encoding="utf-8").read(), {}).open()
+    words = reuse.words
+    words.tokenizer, words.model = _Counting(words.tokenizer), _Counting(words.model)
+    plain = ["straße", "Straße,", "STRAßE&&&", "(365)", "365", "École***", "école", "a-b", "x.y@z.org", "<|straße|>", "!!!", "555-7216"]
+    rest = ["it's", "a×b", "a÷", "日本", "x<|endoftext|>y", "<|endoftext|>", "e\u0301", "a\x1cb", "\x7f"]
+    for word in [*plain, *rest, *plain]:
+        want = tokenizer.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(words[word.encode()], "<i4").tolist() == want, word
+    assert words.tokenizer.seen == rest
+    assert max(Counter(words.model.seen).values()) == 1
+
+
+def test_a_slice_of_texts_is_encoded_at_once(tokenizer):
+    """Joined words go to the library in one call, and each text comes out as alone."""
+    reuse = chunk_reuse.Reuse(open(tokenizer_path(WORD_BPE), encoding="utf-8").read(), {}).open()
+    texts = [(t or "").encode() for t in _odd_texts()]
+    got = reuse.encode(texts).to_pylist()
+    assert got == [tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+    assert got == [reuse.encode([t]).to_pylist()[0] for t in texts]
+    assert reuse.encode([]).to_pylist() == [] and reuse.encode([b"", b" "]).to_pylist() == [[], []]
+    rng = random.Random(5)
+    plain = [" ".join("".join(rng.choices("aeinst", k=rng.randint(2, 9))) for _ in range(900)).encode() for _ in range(20)]
+    reuse.tokenizer = _Counting(reuse.tokenizer)
+    assert reuse.encode(plain).to_pylist() == [tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in plain]
+    assert reuse.tokenizer.calls == 1 and len(reuse.tokenizer.seen) > 20
+
+
 def test_tokenizers_that_look_beyond_white_space_are_refused():
     with pytest.raises(ValueError):
         chunk_reuse.check_model(open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8").read())
