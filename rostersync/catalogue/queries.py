@@ -592,8 +592,9 @@ def previous_groups_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mart_of_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each step on its own: both assignments stored, then ``reconcile`` and ``mart``."""
     inputs, config = S.inputs(spark, sf_dir), _config(spark, sf_dir)
-    previous = materialise(assign.previous_groups(inputs, config), "previous")
-    current = materialise(assign.current_groups(inputs, config).select(*_CURRENT), "current")
+    prepared = assign.prepare(inputs, config)
+    previous = materialise(assign.previous_groups(inputs, config, prepared), "previous")
+    current = materialise(assign.current_groups(inputs, config, prepared).select(*_CURRENT), "current")
     changes = reconcile(previous, current, staged=True)
     return _text(mart(changes, inputs.lookup, staged=True))
 

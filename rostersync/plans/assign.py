@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostersync.operators.gates import Gate, gated
+from rostersync.operators.hot import HotKeys
 from rostersync.operators.joins import HOT_ROWS, SALTS
 from rostersync.operators.rank import flag_latest, latest_with_ties
 from rostersync.operators.reconcile import reconcile_rows, trim_value
@@ -66,6 +67,20 @@ def _directory(inputs: Inputs, config: Config) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """What either assignment asks of the inputs: the managers' departments, written down, and the hot numbers."""
+
+    directory: DataFrame
+    hot_list: HotKeys
+
+
+def prepare(inputs: Inputs, config: Config = Config()) -> Prepared:
+    """One pass each, for callers that make both assignments."""
+    hot_list = enrich.hot_numbers(inputs.accounts, config.strip_zeros, config.hot_rows)
+    return Prepared(materialise(_directory(inputs, config), "directory"), hot_list)
+
+
 def _as_previous(rows: DataFrame, inputs: Inputs, config: Config, distinct: bool = False) -> DataFrame:
     """Latest rows with departments -> school, older rules, constant status."""
     placed = enrich.attach_school(
@@ -130,7 +145,12 @@ def _of_workers(workers: DataFrame, inputs: Inputs, config: Config) -> Column |
 
 
 def _with_accounts(
-    workers: DataFrame, inputs: Inputs, config: Config, scopes: Mapping[str, Column], staged: bool = False
+    workers: DataFrame,
+    inputs: Inputs,
+    config: Config,
+    scopes: Mapping[str, Column],
+    staged: bool = False,
+    hot_list: HotKeys | None = None,
 ) -> DataFrame:
     """Workers and their accounts, without the rows that can be no account's latest within any scope.
 
@@ -145,7 +165,8 @@ def _with_accounts(
     if config.null_key == "keep_all" and staged:
         flagged = materialise(flagged, "best-workers")
     best = reduce(Column.__or__, [F.col(name) for name in scopes])
-    hot_list = enrich.hot_numbers(inputs.accounts, config.strip_zeros, config.hot_rows) if staged else None
+    if staged and hot_list is None:
+        hot_list = enrich.hot_numbers(inputs.accounts, config.strip_zeros, config.hot_rows)
     options = (inputs.accounts, config.strip_zeros, config.hot_rows, config.salts, staged, hot_list)
     base = enrich.with_accounts(flagged.where(best).drop(*scopes), *options)
     if config.null_key == "keep_all":
@@ -155,40 +176,50 @@ def _with_accounts(
     return base
 
 
-def _all_pairs(workers: DataFrame, inputs: Inputs, config: Config, staged: bool = False) -> DataFrame:
+def _all_pairs(
+    workers: DataFrame, inputs: Inputs, config: Config, staged: bool = False, hot_list: HotKeys | None = None
+) -> DataFrame:
     """Workers and their accounts, every pair: for a filter that compares the two."""
-    return enrich.with_accounts(workers, inputs.accounts, config.strip_zeros, config.hot_rows, config.salts, staged)
+    options = (inputs.accounts, config.strip_zeros, config.hot_rows, config.salts, staged, hot_list)
+    return enrich.with_accounts(workers, *options)
 
 
-def _latest_with_department(base: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
+def _latest_with_department(base: DataFrame, directory: DataFrame, config: Config) -> DataFrame:
     """Ranking needs only dates of worker and account, and the joins after it drop no row, so the
-    latest records are picked before departments, schools and rules are looked up."""
+    latest records are picked before departments, schools and rules are looked up. It reads the account
+    join twice (best dates per account, then the rows), so that is written down."""
     latest = latest_with_ties(
-        base, ["okta_users_id"], enrich.latest_order(), config.nulls, config.null_key
+        materialise(base, "base"), ["okta_users_id"], enrich.latest_order(), config.nulls, config.null_key, staged=True
     )
-    return enrich.inherit_department(latest, _directory(inputs, config), spread_by=enrich.PERSON)
+    return enrich.inherit_department(latest, directory, spread_by=enrich.PERSON)
 
 
-def previous_groups(inputs: Inputs, config: Config = Config()) -> DataFrame:
+def previous_groups(
+    inputs: Inputs, config: Config = Config(), prepared: Prepared | None = None
+) -> DataFrame:
     """The older assignment: one group per latest account record, inactive people included."""
+    prepared = prepared or prepare(inputs, config)
     workers = enrich.worker_rows(inputs.workforce, rewrite=True).distinct()
     asked = _of_workers(workers, inputs, config)
     if asked is None:
-        base = _all_pairs(workers, inputs, config)
+        base = _all_pairs(workers, inputs, config, True, prepared.hot_list)
     else:
-        base = _with_accounts(workers, inputs, config, {"__previous": asked})
+        base = _with_accounts(workers, inputs, config, {"__previous": asked}, True, prepared.hot_list)
     base = base.where(_previous_filter(config))
-    return _as_previous(_latest_with_department(base, inputs, config), inputs, config)
+    return _as_previous(_latest_with_department(base, prepared.directory, config), inputs, config)
 
 
-def current_groups(inputs: Inputs, config: Config = Config()) -> DataFrame:
+def current_groups(
+    inputs: Inputs, config: Config = Config(), prepared: Prepared | None = None
+) -> DataFrame:
     """The current assignment: active people only, filtered before ranking.
 
     Keeps the lookup's ``title``, ``department`` and ``group_name`` beside the assignment columns.
     """
+    prepared = prepared or prepare(inputs, config)
     workers = enrich.active_only(enrich.worker_rows(inputs.workforce)).distinct()
-    base = _with_accounts(workers, inputs, config, {"__current": F.lit(True)})
-    return _as_current(_latest_with_department(base, inputs, config), inputs, config).select(
+    base = _with_accounts(workers, inputs, config, {"__current": F.lit(True)}, True, prepared.hot_list)
+    return _as_current(_latest_with_department(base, prepared.directory, config), inputs, config).select(
         *[c for c in ASSIGNMENT_COLUMNS if c != "user_group_status"], "title", "department", "group_name"
     )
 

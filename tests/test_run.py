@@ -1,5 +1,6 @@
 """The assignment run on made inputs: against SQL, step by step, and with each option."""
 
+import dataclasses
 from collections import Counter
 
 import duckdb
@@ -49,6 +50,23 @@ def test_both_sides_equal_sql(spark, hot):
     assert compare(new, con, O.sql(O.as_text("latest_new", columns, O.TIMES), "latest_new", given=GIVEN)) == []
 
 
+def test_each_side_joins_the_accounts_once(spark, tmp_path, monkeypatch):
+    """The join is written down and read twice; what both sides ask of the inputs is found once."""
+    inputs, overrides, _ = _case(spark, 5, hot=0.34)
+    inputs.accounts.write.parquet(str(tmp_path / "okta_user"))
+    inputs = dataclasses.replace(inputs, accounts=spark.read.parquet(str(tmp_path / "okta_user")))
+    config = assign.Config(overrides=overrides, hot_rows=10, salts=4)
+    prepared = assign.prepare(inputs, config)
+    alone = [rows(side(inputs, config)) for side in (assign.previous_groups, assign.current_groups)]
+    monkeypatch.setattr(assign.enrich, "hot_numbers", None)
+    monkeypatch.setattr(assign.enrich, "manager_directory", None)
+    for side, want in zip((assign.previous_groups, assign.current_groups), alone):
+        got = side(inputs, config, prepared)
+        assert rows(got) == want
+        read = got.inputFiles()
+        assert any("/base-" in f for f in read) and not any("okta_user" in f for f in read)
+
+
 @pytest.mark.parametrize(
     "options",
     [
